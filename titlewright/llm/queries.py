@@ -8,18 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlewright.llm.bpe import bpe
+from titlewright.llm import mixing, sharding
 from titlewright.llm.lines import line_dedup
 from titlewright.llm.minhash import near_duplicates
+from titlewright.llm.neighbours import nearest
 from titlewright.llm.substrings import substring_dedup
+from titlewright.llm.toxicity import Model, fit_chain, score_chain
 from titlewright.llm.transport import read_transport, store_transport
 from titlewright.llm.warc import read_warc, write_warc
-from titlewright.session import scratch
+from titlewright.session import materialize, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    own = docs.select("doc_id", "source", "lang", mixing.topic_of(F.col("text")).alias("topic"), mixing.token_count(F.col("text")).alias("tokens"))
+    mixed = mixing.mix_sources(materialize(own, "tokens"))
+    return mixed.select("doc_id", F.coalesce("source", F.lit("(none)")).alias("source"), F.coalesce("lang", F.lit("(none)")).alias("lang"), "topic", "tokens", F.round("p", 6).alias("p"), "selected")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_warc(_table(spark, sf_dir, "pages"), path)
@@ -36,6 +46,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Model:
+    """The chain of the labels table: low quality first, then toxic, which sees the former's probability."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return fit_chain(docs, labels, ("low_quality", "toxic"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_chain(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), "toxic", (~F.col("toxic")).alias("kept"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), 16)
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -51,9 +81,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op2_warc, op3_substring_dedup, op4_line_dedup, op8_minhash, op9_media_columns, op10_bpe)
+    ops = (op1_mixing, op2_warc, op3_substring_dedup, op4_line_dedup, op5_toxicity, op6_sharding, op7_neighbours, op8_minhash, op9_media_columns, op10_bpe)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": mixing.SQL, "op6_sharding": sharding.SQL}
