@@ -106,7 +106,7 @@ def _set_rows(it, cfg: NearDup):
         for lo, hi in batches(texts):
             g, sizes = shingle_sets(texts[lo:hi], cfg.words)
             ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([g[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([g[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary()), pa.array([np.unique((g[e - n : e] & U(0xFFFFFFFF)).astype(np.uint32)).tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["doc_id", "shingles", "low"])
 
 
 def _linked(it, cfg: NearDup):
@@ -120,26 +120,58 @@ def _linked(it, cfg: NearDup):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _near_pairs(it, least: float):
-    """Within blocks of a bucket (minor rows against all), pairs of different components whose short sketches agree."""
+def _near_links(it, least: float, percent: int):
+    """Within blocks of a bucket (minor rows against all), links that join different components, one for each joining.
+
+    Pairs whose short sketches agree are compared on their whole sets, of 32 bits of each hash, here; only a forest of links
+    leaves the block, never a row for each pair.
+    """
     for t in groups(it, ["bh", "qb", "db"]):
         minor = t.column("minor").to_numpy(zero_copy_only=False).astype(bool)
         if not minor.any() or minor.all():
             continue
         rep, comp, hub = (t.column(k).to_numpy() for k in ("rep", "comp", "hub"))
         sk = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(len(rep), -1)
+        low = [np.frombuffer(x, np.uint32) for x in t.column("low").to_pylist()]
+        size = np.array([len(x) for x in low])
+        every = np.flatnonzero(~minor)
+        root = {int(c): int(c) for c in np.unique(comp)}
+
+        def find(c: int, root=root) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out = []
         for i in np.flatnonzero(minor):
-            like = (sk[~minor] == sk[i]).mean(1) >= least
-            like &= (comp[~minor] != comp[i]) & (rep[~minor] != hub[~minor]) & (rep[i] != hub[i])
-            if like.any():
-                other = rep[~minor][like]
-                yield pa.RecordBatch.from_arrays([longs(np.minimum(other, rep[i])), longs(np.maximum(other, rep[i]))], ["a", "b"])
+            like = (sk[every] == sk[i]).mean(1) >= least
+            like &= (comp[every] != comp[i]) & (rep[every] != hub[every]) & (rep[i] != hub[i])
+            like &= 100 * np.minimum(size[every], size[i]) >= percent * np.maximum(size[every], size[i])
+            near = every[like]
+            near = near[[find(int(c)) != find(int(comp[i])) for c in comp[near]]] if len(near) else near
+            if not len(near):
+                continue
+            values = np.concatenate([low[j] for j in near])
+            at = np.minimum(np.searchsorted(low[i], values), len(low[i]) - 1)
+            both = np.add.reduceat((low[i][at] == values).astype(np.int64), np.concatenate(([0], np.cumsum(size[near])[:-1])))
+            for j in near[100 * both >= percent * (size[near] + size[i] - both)]:
+                x, y = find(int(comp[j])), find(int(comp[i]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+        if out:
+            a, b = np.array(out, np.int64).T
+            yield pa.RecordBatch.from_arrays([longs(a), longs(b)], ["a", "b"])
+
+
+def _sets(docs: DataFrame, ids: DataFrame, cfg: NearDup) -> DataFrame:
+    """The shingle sets of the documents in ids, the only step that moves texts."""
+    some = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return materialize(some.mapInArrow(lambda it: _set_rows(it, cfg), "doc_id bigint, shingles binary, low binary"), "sets")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, cfg: NearDup) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = materialize(some.mapInArrow(lambda it: _set_rows(it, cfg), "doc_id bigint, shingles binary"), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda it: _linked(it, cfg), "a bigint, b bigint")
@@ -152,7 +184,8 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     In each bucket all members are verified against the bucket's least member, on their whole sets. What these links
     don't yet join is then compared exhaustively within its bucket: rows outside the bucket's main component against all
     rows of other components, in blocks of bounded size; pairs whose sketches agree in under half of the coordinates
-    (5 standard deviations under the threshold) are dropped, the rest verified on whole sets. No bucket is capped.
+    (5 standard deviations under the threshold) are dropped, the rest compared on whole sets, and the links that join
+    components are verified once more on full hashes. No bucket is capped.
 
     Null or empty texts, and texts of white space only, have no shingles: component_id is their own id and they are kept.
     Repeated rows are one class. Rows that share an id but differ in text are one node. Rows with a null id are linked
@@ -170,7 +203,8 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
 
     texts = src.where("doc_id is not null")
     star = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialize(_verified(texts, star, cfg), "links")
+    sets = _sets(texts, shared.select(F.col("rep").alias("doc_id")).distinct(), cfg)
+    links = materialize(_verified(star, sets, cfg), "links")
     comps = components(links)
 
     known = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).select("bh", "hub", "rep", "comp").distinct()
@@ -178,13 +212,13 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     sizes = known.groupBy("bh", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("bh").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.sum("n").alias("total"), F.max("n").alias("main_n"), F.count("*").alias("comps"))
     mixed = mixed.where("comps > 1 and total > 2").select("bh", "main", F.ceil((F.col("total") - F.col("main_n")) / 512).alias("nq"), F.ceil(F.col("total") / 4096).alias("nd"))
-    odd = known.join(mixed, "bh").join(reps.select("rep", "short").dropDuplicates(["rep"]), "rep")
+    odd = known.join(mixed, "bh").join(reps.select("rep", "short").dropDuplicates(["rep"]), "rep").join(sets.select(F.col("doc_id").alias("rep"), "low"), "rep")
     spread = F.xxhash64("rep")
-    every = odd.select("bh", "hub", "rep", "comp", "short", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nq") - 1)).alias("qb"), F.pmod(spread, "nd").alias("db"))
-    minor = odd.where("comp <> main").select("bh", "hub", "rep", "comp", "short", F.lit(True).alias("minor"), F.pmod(spread, "nq").alias("qb"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nd") - 1)).alias("db"))
+    every = odd.select("bh", "hub", "rep", "comp", "short", "low", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nq") - 1)).alias("qb"), F.pmod(spread, "nd").alias("db"))
+    minor = odd.where("comp <> main").select("bh", "hub", "rep", "comp", "short", "low", F.lit(True).alias("minor"), F.pmod(spread, "nq").alias("qb"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nd") - 1)).alias("db"))
     blocks = every.unionByName(minor).repartition("bh", "qb", "db").sortWithinPartitions("bh", "qb", "db")
-    more = materialize(blocks.mapInArrow(lambda it: _near_pairs(it, 0.5), "a bigint, b bigint").distinct(), "pairs")
-    further = _verified(texts, more, cfg)
+    more = materialize(blocks.mapInArrow(lambda it: _near_links(it, 0.5, cfg.percent), "a bigint, b bigint").distinct(), "pairs")
+    further = _verified(more, sets, cfg)
     comps = components(links.unionByName(further))
 
     of = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
