@@ -4,7 +4,7 @@ A window is `window` consecutive words of one document. Its fingerprint is a pai
 `anchor` words in it, which neighbouring windows share and which is therefore stored once for all of them, and a 48-bit
 check value over all of its words. Both must agree, 112 bits together, before a window counts as repeated.
 
-The index is a list of runs in the shared folder. A run is immutable: for each bucket (top bits of the anchor) the sorted,
+The index is a list of runs in the shared folder. A run is immutable: for each bucket (by the anchor) the sorted,
 distinct fingerprints that one batch brought. A new batch is fingerprinted chunk by chunk, dealt out by bucket and
 merge-joined there with each run; what no run holds becomes a run of its own. Runs of a level are compacted by merging
 as soon as there are `fan_in` of them, so a batch meets a logarithmic number of runs.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import groups, longs
 from titlewright.llm.files import parts
-from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, words
+from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, mix, words
 from titlewright.session import drop_path, release_shuffles, scratch
 
 _GRAM = 0xD6E8FEB86659FD93
@@ -103,12 +103,9 @@ class Index:
     fan_in: int = 2
     runs: list[Run] = field(default_factory=list)
 
-    @property
-    def shift(self) -> int:
-        return 64 - max(1, (self.buckets - 1).bit_length())
-
     def bucket(self, a: np.ndarray) -> np.ndarray:
-        return ((a >> U(self.shift)).astype(np.int64) * self.buckets) >> max(1, (self.buckets - 1).bit_length())
+        """Anchors are least hashes and so lie near zero; mixed once more they are even."""
+        return ((mix(a) >> U(32)) * U(self.buckets) >> U(32)).astype(np.int64)
 
     def discard(self, spark: SparkSession) -> None:
         for run in self.runs:
@@ -152,9 +149,9 @@ def _chunk_rows(it, index: Index):
         del found
         _, first = np.unique(_key(a, c), return_index=True)  # documents come in order, so the first is the least
         a, c, doc = a[first], c[first], doc[first]
-        order = np.lexsort((doc, a))
-        a, c, doc = a[order], c[order], doc[order]
         bucket = index.bucket(a)
+        order = np.lexsort((doc, a, bucket))
+        a, c, doc, bucket = a[order], c[order], doc[order], bucket[order]
         cut = np.searchsorted(bucket, np.arange(index.buckets + 1))
         for b in range(index.buckets):
             if cut[b] < cut[b + 1]:
