@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import os
 import sys
@@ -64,6 +65,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings, with __ for . in their names, for the jobs that run inside; what was set before comes back."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver next collects garbage."""
     gc.collect()
