@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from titlewright.llm.arrow import groups, longs
 from titlewright.llm.files import parts
 from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, mix, words
-from titlewright.session import drop_path, release_shuffles, scratch
+from titlewright.session import drop_path, release_shuffles, scratch, settings
 
 _GRAM = 0xD6E8FEB86659FD93
 _WINDOW = 0xA0761D6478BD642F
+_PIECE = 1 << 16
+#: Blobs travel in small batches, so that what Spark holds for Arrow outside its heap stays small.
+_SMALL = {"spark__sql__execution__arrow__maxBytesPerBatch": str(4 << 20)}
 _MARK_SCHEMA = "kind string, bucket int, chunk bigint, data binary"
 
 
@@ -71,6 +74,14 @@ def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray | None = None) -> bytes:
     return b"".join((np.array([len(at), len(a), ids is not None], np.int64).tobytes(), a[at].tobytes(), own, n.astype(np.uint8).tobytes(), (c >> U(16)).astype(np.uint32).tobytes(), (c & U(0xFFFF)).astype(np.uint16).tobytes()))
 
 
+def _run_rows(bucket: int, a: np.ndarray, c: np.ndarray):
+    """A bucket's share of a run: its fingerprints in order, in rows of bounded size."""
+    order = np.argsort(a, kind="stable")
+    for lo in range(0, len(order), _PIECE):
+        at = order[lo : lo + _PIECE]
+        yield pa.RecordBatch.from_pydict({"kind": ["run"], "bucket": pa.array([bucket], pa.int32()), "chunk": pa.array([None], pa.int64()), "data": pa.array([pack(a[at], c[at])], pa.binary())})
+
+
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     runs, total, has = np.frombuffer(data, np.int64, 3)
     at = 24
@@ -195,9 +206,7 @@ def _merge_rows(it, index: Index, runs: list[str]):
                 old |= rk[near] == uk if len(rk) else False
         del a, c, key
         if (~old).any():
-            a, c = ua[~old], uc[~old]
-            order = np.argsort(a, kind="stable")
-            yield pa.RecordBatch.from_pydict({"kind": ["run"], "bucket": pa.array([bucket], pa.int32()), "chunk": pa.array([None], pa.int64()), "data": pa.array([pack(a[order], c[order])], pa.binary())})
+            yield from _run_rows(bucket, ua[~old], uc[~old])
         first = np.where(old, np.iinfo(np.int64).min, first)
         tell = np.repeat(old | (size > 1), size)
         whose = chunk[tell]
@@ -274,6 +283,12 @@ def _digest_rows(t, buf, starts, begins, gone):
     return pa.RecordBatch.from_arrays([ids, longs(n), longs(r), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def _write_run(rows: DataFrame, path: str) -> None:
+    """Fingerprints don't compress, nor do they repeat."""
+    writer = rows.write.partitionBy("kind", "bucket").option("compression", "uncompressed")
+    writer.option("parquet.enable.dictionary", "false").option("parquet.block.size", str(8 << 20)).parquet(path)
+
+
 def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes: int = 2 << 20) -> str:
     """Remove from a batch every word covered by a window that occurs earlier, in the batch or in the index, and add the
     batch's windows to the index. Documents of a batch must follow those of earlier batches. Gives the path of a table
@@ -291,14 +306,16 @@ def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes:
     prints = src.select("chunk", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(lambda it: _chunk_rows(it, index), "bucket int, chunk bigint, data binary")
     stage, runs = scratch(spark, "run"), [r.path for r in index.runs]
     merged = prints.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _merge_rows(it, index, runs), _MARK_SCHEMA)
-    merged.write.partitionBy("kind", "bucket").option("compression", "uncompressed").parquet(stage)
+    with settings(spark, **_SMALL):
+        _write_run(merged, stage)
     release_shuffles(spark)
     marks = spark.read.schema(_MARK_SCHEMA).parquet(stage).where("kind = 'mark'").select("chunk", F.lit(0).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("real_id"), F.lit(None).cast("binary").alias("text"), "data")
     both = src.select("chunk", "doc_id", "real_id", F.coalesce("text", F.lit(b"")).alias("text"), F.lit(None).cast("binary").alias("data")).unionByName(marks)
     both = both.repartition("chunk").sortWithinPartitions("chunk")
     make, kept = (_digest_rows, "kept_sha256") if digest else (_text_rows, "kept")
     out = scratch(spark, "kept")
-    both.mapInArrow(lambda it: _apply_marks(it, index, make), f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string").write.parquet(out)
+    with settings(spark, **_SMALL):
+        both.mapInArrow(lambda it: _apply_marks(it, index, make), f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string").write.parquet(out)
     drop_path(spark, f"{stage}/kind=mark")
     release_shuffles(spark)
     index.runs.append(Run(stage))
@@ -312,8 +329,7 @@ def _compacted(it, index: Index, runs: list[str]):
             got = [(a, c) for path in runs for a, c, _ in _read_run(path, bucket)]
             if got:
                 a, c = (np.concatenate(x) for x in zip(*got, strict=True))
-                order = np.argsort(a, kind="stable")
-                yield pa.RecordBatch.from_pydict({"kind": ["run"], "bucket": pa.array([bucket], pa.int32()), "data": pa.array([pack(a[order], c[order])], pa.binary())})
+                yield from _run_rows(bucket, a, c)
 
 
 def compact(spark: SparkSession, index: Index) -> None:
@@ -322,8 +338,9 @@ def compact(spark: SparkSession, index: Index) -> None:
     while len(index.runs) >= index.fan_in and len({r.level for r in index.runs[-index.fan_in :]}) == 1:
         old = index.runs[-index.fan_in :]
         paths, path = [r.path for r in old], scratch(spark, "run")
-        rows = spark.range(0, index.buckets, 1, index.buckets).mapInArrow(lambda it: _compacted(it, index, paths), "kind string, bucket int, data binary")
-        rows.write.partitionBy("kind", "bucket").option("compression", "uncompressed").parquet(path)
+        rows = spark.range(0, index.buckets, 1, index.buckets).mapInArrow(lambda it: _compacted(it, index, paths), _MARK_SCHEMA)
+        with settings(spark, **_SMALL):
+            _write_run(rows, path)
         index.runs[-index.fan_in :] = [Run(path, old[0].level + 1)]
         for p in paths:
             drop_path(spark, p)
