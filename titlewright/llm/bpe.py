@@ -53,10 +53,11 @@ class Vocabulary:
         chars = byte_chars()
         byte_of = {c: b for b, c in enumerate(chars)}
         self.start = [ids[c] for c in chars]
-        self.pairs = {}
+        self.pairs, self.merged = {}, []
         for rank, merge in enumerate(spec["model"]["merges"]):
             x, y = merge if isinstance(merge, list) else merge.split(" ")
-            self.pairs.setdefault((ids[x], ids[y]), (rank, ids[x + y]))
+            self.pairs.setdefault(ids[x] << 32 | ids[y], rank)
+            self.merged.append(ids[x + y])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = [b""] * (max([*ids.values(), *self.added.values()]) + 1)
         for token, i in ids.items():
@@ -67,61 +68,70 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Merges the pair of least rank, the leftmost of equals, until none is left."""
-        ids = [self.start[b] for b in word]
-        if len(ids) > 48:
+        ids = list(map(self.start.__getitem__, word))
+        if len(ids) > 64:
             return self._merge_long(ids)
-        get = self.pairs.get
-        while len(ids) > 1:
-            best = at = None
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-                m = get(pair)
-                if m is not None and (best is None or m < best):
-                    best, at = m, i
-            if best is None:
+        get, merged, none = self.pairs.get, self.merged, 1 << 40
+        ranks = [get(x << 32 | y, none) for x, y in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            ids[at : at + 2] = [best[1]]
+            i = ranks.index(least)
+            ids[i] = new = merged[least]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(new << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | new, none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap, in n log n steps."""
         n = len(ids)
         before, after, get = list(range(-1, n - 1)), [*range(1, n), -1], self.pairs.get
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := get((ids[i], ids[i + 1])))]
+        heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1) if (rank := get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, x, y, to = heapq.heappop(heap)
+            rank, i, x, y = heapq.heappop(heap)
             j = after[i]
             if ids[i] != x or j < 0 or ids[j] != y:
                 continue
-            ids[i], ids[j] = to, -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] >= 0 and (m := get((ids[k], ids[after[k]]))):
-                    heapq.heappush(heap, (m[0], k, ids[k], ids[after[k]], m[1]))
+                if k >= 0 and after[k] >= 0 and (rank := get(ids[k] << 32 | ids[after[k]])) is not None:
+                    heapq.heappush(heap, (rank, k, ids[k], ids[after[k]]))
         return [i for i in ids if i >= 0]
 
 
 class _Memo(dict):
-    """Packed ids of keys, computed on demand and forgotten all at once when there are too many."""
+    """Packed ids of keys, computed on demand. When there are too many they become the old generation, from which keys that are
+    asked for again return; the generation before goes."""
 
     def __init__(self, make, most: int):
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 100:
+                return value
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self.make(key)
-        if len(key) < 200:
-            self[key] = value
+        self[key] = value
         return value
 
 
 class Encoder:
-    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 200_000):
+    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 250_000):
         self.vocab, self.lexicon = Vocabulary(path), lexicon
         self.split = regex.compile(SPLIT)
-        self.tokens = _Memo(lambda t: packed(self.vocab.merge(t.encode("utf-8", "surrogatepass"))), memo // 2)
+        self.tokens = _Memo(lambda t: packed(self.vocab.merge(t.encode("utf-8", "surrogatepass"))), memo // 4)
         self.words = _Memo(self._word, memo)
 
     def _word(self, word: str) -> bytes:
@@ -154,7 +164,7 @@ class Encoder:
         return b"".join(map(self.vocab.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def _count_rows(it, most: int = 300_000):
+def _count_rows(it, most: int = 500_000):
     counts: Counter = Counter()
 
     def out():
@@ -197,7 +207,7 @@ def _encode_rows(it, path: str, name: str, full: bool):
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def bpe(docs: DataFrame, path: str, lexicon_words: int = 65_536, full: bool = True) -> DataFrame:
+def bpe(docs: DataFrame, path: str, lexicon_words: int = 131_072, full: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with full, the ids, for every row.
 
     path: the tokenizer's file, the same on all machines. lexicon_words bounds the lexicon, a few MB that Spark ships to each
