@@ -240,7 +240,7 @@ def worklist_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.worklist_origins(titles(spark, sf_dir), ["FR", "ES"], 15).select("tmdb_id", "slice")
 
 
-_SPEC = discover.DiscoverSpec("movie", genres=(18,), keywords=(10051, 779), without_genres=(27,), origin_country=("EN", "FR", "ES"), vote_count_gte=20, release_date_gte="1930-01-01", release_date_lte="2020-12-31", sort_by="vote_count.desc")
+_SPEC = discover.DiscoverSpec("movie", genres=(18, 10402), keywords=(236615, 779), without_genres=(27,), origin_country=("EN", "FR", "ES"), vote_count_gte=20, release_date_gte="1930-01-01", release_date_lte="2020-12-31", sort_by="vote_count.desc")
 
 
 def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,14 +248,14 @@ def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(""", g AS (SELECT tmdb_id, list(genre_id) AS ids FROM title_genres GROUP BY 1), k AS (SELECT tmdb_id, list(keyword_id) AS ids FROM title_keywords GROUP BY 1)
-SELECT t.tmdb_id FROM titles t JOIN g USING (tmdb_id) JOIN k USING (tmdb_id) WHERE media_type = 'movie' AND list_contains(g.ids, 18) AND list_has_any(k.ids, [10051, 779]) AND NOT list_contains(g.ids, 27)
+SELECT t.tmdb_id FROM titles t JOIN g USING (tmdb_id) JOIN k USING (tmdb_id) WHERE media_type = 'movie' AND list_has_all(g.ids, [18, 10402]) AND list_has_any(k.ids, [236615, 779]) AND NOT list_contains(g.ids, 27)
 AND origin_country IN ('EN', 'FR', 'ES') AND vote_count >= 20 AND year BETWEEN 1930 AND 2020""", adapters=True)
 def discover_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.discover(_catalogue(spark, sf_dir), _SPEC).select("tmdb_id")
 
 
 @query("""SELECT * FROM (VALUES ('include_adult', 'false'), ('primary_release_date.gte', '1930-01-01'), ('primary_release_date.lte', '2020-12-31'), ('sort_by', 'vote_count.desc'), ('vote_count.gte', '20'),
-('with_genres', '18'), ('with_keywords', '10051|779'), ('with_origin_country', 'EN|FR|ES'), ('without_genres', '27')) AS p(name, value)""")
+('with_genres', '18,10402'), ('with_keywords', '236615|779'), ('with_origin_country', 'EN|FR|ES'), ('without_genres', '27')) AS p(name, value)""")
 def discover_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(_SPEC.params().items()), "name string, value string")
 
@@ -338,11 +338,11 @@ def grounding_bonus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.ground(scored, titles(spark, sf_dir), KEY).select("tmdb_id", "label", "grounded", _r("confidence").alias("confidence"))
 
 
-@query(_CLASSIFY + "SELECT p.tmdb_id, p.primary_genre, t.rn::INT AS rank, t.label, t.grounded, round(t.c, 6) AS confidence FROM prim p LEFT JOIN top t USING (tmdb_id)", adapters=True)
+@query(_CLASSIFY + "SELECT p.tmdb_id, p.primary_genre, coalesce(t.rn, 0)::INT AS rank, t.label, t.grounded, round(t.c, 6) AS confidence FROM prim p LEFT JOIN top t USING (tmdb_id)", adapters=True)
 def classify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = ballots(spark, sf_dir)
     labels = classify.classify_axis(v, subgenre_items(spark, sf_dir), titles(spark, sf_dir), KEY, "subgenres")
-    return classify.fused_primary(v, KEY).join(labels, KEY, "left").select("tmdb_id", "primary_genre", "rank", "label", "grounded", _r("confidence").alias("confidence"))
+    return classify.fused_primary(v, KEY).join(labels, KEY, "left").select("tmdb_id", "primary_genre", F.coalesce("rank", F.lit(0)).alias("rank"), "label", "grounded", _r("confidence").alias("confidence"))
 
 
 @query(_CLASSIFY + "SELECT tmdb_id, rn::INT AS rank, label, round(c, 6) AS confidence FROM mtop", adapters=True)
@@ -477,11 +477,11 @@ def lenient_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return axis("subgenres").unionByName(axis("moods"))
 
 
-@query("""SELECT * FROM (VALUES (1, true, 'Drama', 1), (2, false, NULL, NULL), (3, false, NULL, NULL), (4, true, NULL, 0)) AS v(n, parsed, primary_genre, subgenres)""")
+@query("""SELECT * FROM (VALUES (1, true, 'Drama', 1), (2, false, NULL, -1), (3, false, NULL, -1), (4, true, NULL, 0)) AS v(n, parsed, primary_genre, subgenres)""")
 def strict_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     raws = [(1, 'Here: ```json\n{"primary_genre":"Drama","subgenres":[{"label":"Heist","confidence":0.9}]}\n```'), (2, '{"primary_genre":"Drama","subgenres":["Heist"]}'), (3, "no braces"), (4, '{"moods":null}')]
     v = spark.createDataFrame(raws, "n int, raw string").withColumn("v", votes.parse_strict(F.col("raw")))
-    return v.select("n", F.col("v").isNotNull().alias("parsed"), "v.primary_genre", F.when(F.col("v").isNotNull(), F.size("v.subgenres")).alias("subgenres"))
+    return v.select("n", F.col("v").isNotNull().alias("parsed"), "v.primary_genre", F.when(F.col("v").isNotNull(), F.size("v.subgenres")).otherwise(-1).alias("subgenres"))
 
 
 @query(f""", g AS (SELECT tmdb_id, string_agg(genre, ', ' ORDER BY pos) AS s FROM title_genres GROUP BY 1), k AS (SELECT tmdb_id, string_agg('k' || keyword_id, ', ' ORDER BY pos) AS s FROM title_keywords GROUP BY 1)
