@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlewright.llm.bpe import bpe
-from titlewright.llm import mixing, sharding
+from titlewright.llm import mixing, sharding, sql
 from titlewright.llm.lines import line_dedup
 from titlewright.llm.minhash import near_duplicates
 from titlewright.llm.neighbours import nearest
@@ -86,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL, "op6_sharding": sharding.SQL}
+    return sql.oracle_sql()
