@@ -15,6 +15,7 @@ import os
 import re
 import tempfile
 import uuid
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -26,10 +27,14 @@ from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import longs
 from titlewright.llm.transducer import Transducer, compile_words, packed
+from titlewright.session import materialize
 
 #: Fixed value: the splitting rule of byte-level BPE tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _UNEVEN = re.compile(r" \s|\s |\A | \Z")
+#: Marks that don't begin a contraction.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+_PLAIN_WORDS = bytes(i if chr(i).isalnum() or i > 127 else 32 for i in range(256))
 _WORKER: dict = {}
 
 
@@ -128,17 +133,27 @@ class _Memo(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 250_000):
+    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 300_000):
         self.vocab, self.lexicon = Vocabulary(path), lexicon
         self.split = regex.compile(SPLIT)
-        self.tokens = _Memo(lambda t: packed(self.vocab.merge(t.encode("utf-8", "surrogatepass"))), memo // 4)
-        self.words = _Memo(self._word, memo)
+        self.words, self.tokens = _Memo(self._word, memo), _Memo(self._token, memo // 4)
+        self.marks = {m: self._token(m) for m in _MARKS}
+
+    def _token(self, token: str) -> bytes:
+        if token[0] == " " and token[1:].isalpha():
+            return self.words[token[1:]]
+        return array("I", self.vocab.merge(token.encode("utf-8", "surrogatepass"))).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """A word with the space before it."""
-        word = " " + word
-        got = self.lexicon.get(word.encode("utf-8", "surrogatepass")) if self.lexicon else None
-        return self._plain(word) if got is None else got
+        """A word with the space before it. Letters alone are one token; so are they before a mark, which is another."""
+        if word.isalpha():
+            raw = (" " + word).encode()
+            got = self.lexicon.get(raw) if self.lexicon else None
+            return array("I", self.vocab.merge(raw)).tobytes() if got is None else got
+        mark = self.marks.get(word[-1:])
+        if mark is not None and (rest := word[:-1]).isalpha():
+            return self.words[rest] + mark
+        return self._plain(" " + word)
 
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, self.split.findall(text)))
@@ -164,26 +179,43 @@ class Encoder:
         return b"".join(map(self.vocab.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def _count_rows(it, most: int = 500_000):
+def _count_rows(it, most: int = 400_000):
     counts: Counter = Counter()
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     for batch in it:
         for text in batch.column(0).to_pylist():
-            if text and not _UNEVEN.search(text):
-                counts.update(text.split(" ")[1:])
+            if text:
+                counts.update(text.translate(_PLAIN_WORDS).split())
                 if len(counts) > most:
                     yield out()
                     counts.clear()
     yield out()
 
 
-def frequent_words(docs: DataFrame, words: int) -> DataFrame:
-    """The `words` most frequent words, counted over all documents."""
-    counts = docs.select("text").mapInArrow(_count_rows, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return counts.where("n > 1 and length(word) between 1 and 64").orderBy(F.desc("n"), "word").limit(words)
+def frequent_words(docs: DataFrame, words: int) -> list[bytes]:
+    """The most frequent words without their marks, `words` at most, counted over all documents: all those that are at least as
+    frequent as a bound, which is the least one (among steps of a sixteenth of a doubling) that gives no more than that."""
+    src = docs.select(F.col("text").cast("binary").alias("text"))
+    counts = src.mapInArrow(_count_rows, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64")
+    counts = materialize(counts, "words")
+    step = F.floor(F.log2("n") * 16)
+    held, bound = 0, None
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # about a thousand steps at most
+        held += row["count"]
+        if held > words:
+            break
+        bound = row["step"]
+    return [] if bound is None else sorted(bytes(r[0]) for r in counts.where(step >= bound).select("word").collect())
+
+
+def _letters(word: bytes) -> bool:
+    try:
+        return word.decode().isalpha()
+    except UnicodeDecodeError:
+        return False
 
 
 def _encode_rows(it, path: str, name: str, full: bool):
@@ -217,7 +249,7 @@ def bpe(docs: DataFrame, path: str, lexicon_words: int = 131_072, full: bool = T
     spark = docs.sparkSession
     src = docs.select("doc_id", "text")
     encoder = Encoder(path)
-    entries = {(" " + r[0]).encode("utf-8", "surrogatepass"): encoder._plain(" " + r[0]) for r in frequent_words(src, lexicon_words).select("word").collect()}
+    entries = {b" " + w: packed(encoder.vocab.merge(b" " + w)) for w in frequent_words(src, lexicon_words) if _letters(w)}
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     folder = os.path.realpath(tempfile.mkdtemp())  # the driver serves the file from here for as long as it runs
     with open(local := os.path.join(folder, name), "wb") as f:
