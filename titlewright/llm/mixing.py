@@ -75,7 +75,8 @@ def calibrate(raked: DataFrame, share: float = SHARE, rounds: int = CALIBRATIONS
         if not open_:
             break
         factor = max(0.0, budget - given) / open_
-    return raked.withColumn("p", F.coalesce(F.least(F.lit(1.0), F.lit(factor) * ratio), F.lit(1.0)))
+    # Sums of doubles differ in their last bits with the order of rows; rounding keeps the draws repeatable.
+    return raked.withColumn("p", F.round(F.coalesce(F.least(F.lit(1.0), F.lit(factor) * ratio), F.lit(1.0)), 12))
 
 
 def _draw(salt: str) -> Column:
@@ -116,7 +117,7 @@ def _sql() -> str:
     steps.append(f"f_0 AS MATERIALIZED (SELECT {SHARE} * sum(n) AS budget, {SHARE} * sum(n) AS f FROM cells)")
     for r in range(CALIBRATIONS):
         steps.append(f"f_{r + 1} AS MATERIALIZED (SELECT any_value(budget) AS budget, coalesce(greatest(0, any_value(budget) - sum(CASE WHEN f * (w / n) >= 1 THEN n ELSE 0 END)) / nullif(sum(CASE WHEN f * (w / n) >= 1 THEN 0 ELSE w END), 0), any_value(f)) AS f FROM {last}, f_{r})")
-    steps.append(f"ps AS MATERIALIZED (SELECT source, lang, topic, coalesce(least(1.0, f * (w / nullif(n, 0))), 1.0) AS p FROM {last}, f_{CALIBRATIONS})")
+    steps.append(f"ps AS MATERIALIZED (SELECT source, lang, topic, round(coalesce(least(1.0, f * (w / nullif(n, 0))), 1.0), 12) AS p FROM {last}, f_{CALIBRATIONS})")
     draw = "('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
     return "WITH " + ",\n".join(steps) + f"\nSELECT doc_id, source, lang, topic, tokens::BIGINT AS tokens, round(p, 6) AS p, {draw} < p AS selected FROM docs JOIN ps USING (source, lang, topic)"
 
