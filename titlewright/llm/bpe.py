@@ -133,7 +133,7 @@ class _Memo(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 300_000):
+    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 450_000):
         self.vocab, self.lexicon = Vocabulary(path), lexicon
         self.split = regex.compile(SPLIT)
         self.words, self.tokens = _Memo(self._word, memo), _Memo(self._token, memo // 4)
@@ -239,7 +239,7 @@ def _encode_rows(it, path: str, name: str, full: bool):
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def bpe(docs: DataFrame, path: str, lexicon_words: int = 131_072, full: bool = True) -> DataFrame:
+def bpe(docs: DataFrame, path: str, lexicon_words: int = 262_144, full: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with full, the ids, for every row.
 
     path: the tokenizer's file, the same on all machines. lexicon_words bounds the lexicon, a few MB that Spark ships to each
