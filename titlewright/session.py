@@ -6,14 +6,18 @@ import atexit
 import contextlib
 import gc
 import os
+import shutil
 import sys
 import tempfile
 import uuid
+import weakref
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+_OPEN: set[str] = set()
+_PATHS: dict[int, str] = {}
 
 
 def ship_code() -> None:
@@ -32,21 +36,25 @@ def shared_root(spark: SparkSession) -> str:
         if not _LOCAL:
             os.makedirs("/tmp/checkpoints", exist_ok=True)
             _LOCAL.append(tempfile.mkdtemp(dir="/tmp/checkpoints"))
-            atexit.register(_sweep)
+            atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
         root = f"file://{_LOCAL[0]}"
     return root.rstrip("/")
 
 
-def _sweep() -> None:
-    import shutil
-
-    for path in _LOCAL:
-        shutil.rmtree(path, ignore_errors=True)
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, which goes when the driver ends, if not before."""
+    if not _OPEN:
+        atexit.register(_sweep)
+    path = f"{shared_root(spark)}/titlewright/{name}-{uuid.uuid4().hex}"
+    _OPEN.add(path)
+    return path
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_root(spark)}/titlewright/{name}-{uuid.uuid4().hex}"
+def _sweep() -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        spark = SparkSession.getActiveSession()
+        for path in sorted(_OPEN) if spark else ():
+            drop_path(spark, path)
 
 
 def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -55,13 +63,23 @@ def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = scratch(spark, name)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = path
+    weakref.finalize(out, _PATHS.pop, id(out), None)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read any more."""
+    for df in tables:
+        if path := _PATHS.pop(id(df), None):
+            drop_path(df.sparkSession, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder through Hadoop's file system, wherever it lies."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    _OPEN.discard(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
