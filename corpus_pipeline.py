@@ -11,7 +11,7 @@ from titlewright.llm.minhash import near_duplicates
 from titlewright.llm.mixing import mix_sources, token_count, topic_of
 from titlewright.llm.queries import toxicity_model
 from titlewright.llm.toxicity import score_chain
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 #: The first stage's decisions come from fitted models, which SQL can't express.
 ORACLE_SQL = None
@@ -59,5 +59,6 @@ STAGES = [("toxicity", toxicity), ("lines", lines), ("near_duplicates", near_dup
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

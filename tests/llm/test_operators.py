@@ -43,7 +43,7 @@ def corpus(spark):
     texts += [texts[20]] * 6 + [texts[21].upper()] + [passage + " " + passage]
     rows = [(i, t, ["en", "fr", None][i % 3], f"s{i % 4}" if i % 7 else None, len(t or ""), i, "q", 1, 2) for i, t in enumerate(texts)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, chunk bigint, key string, pos int, size int"
-    return spark.createDataFrame(rows, schema).repartition(5).localCheckpoint()
+    return spark.createDataFrame(rows, schema).repartition(5).cache()
 
 
 @pytest.fixture(scope="module")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import longs
 from titlewright.llm.transducer import Transducer, compile_words, packed
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 #: Fixed value: the splitting rule of byte-level BPE tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -208,7 +208,9 @@ def frequent_words(docs: DataFrame, words: int) -> list[bytes]:
         if held > words:
             break
         bound = row["step"]
-    return [] if bound is None else sorted(bytes(r[0]) for r in counts.where(step >= bound).select("word").collect())
+    found = [] if bound is None else sorted(bytes(r[0]) for r in counts.where(step >= bound).select("word").collect())
+    discard(counts)
+    return found
 
 
 def _letters(word: bytes) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
     now = edges.select(F.col(u).cast("bigint").alias("u"), F.col(v).cast("bigint").alias("v")).where("u <> v")
     seen = None
     while True:
-        now = materialize(_large(_small(now)), "edges")
+        before, now = now, materialize(_large(_small(now)), "edges")
+        discard(before)
         is_now = now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if seen is not None and tuple(is_now) == seen:
             break

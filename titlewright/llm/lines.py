@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import longs
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -107,6 +107,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     dealt = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     longs_ = ", ".join(f"{c} bigint" for c in _COLUMNS)
     seen = materialize(dealt.mapInArrow(lambda it: _stream(it, least_docs), f"kind string, {longs_}"), "seen")
+    discard(lines)
     edge = seen.where("kind = 'edge'")
     once = edge.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
     # Two keys a partition at most, whatever the input.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from titlewright.llm.arrow import groups, lists, longs
 from titlewright.llm.components import components
 from titlewright.llm.hashing import ASCII_LOWER, U, batches, grams, joined, mix, words
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 _SHINGLE = 0xA24BAED4963EE407
 _NONE = U(0xFFFFFFFFFFFFFFFF)
@@ -205,9 +205,9 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     star = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     sets = _sets(texts, shared.select(F.col("rep").alias("doc_id")).distinct(), cfg)
     links = materialize(_verified(star, sets, cfg), "links")
-    comps = components(links)
+    near = components(links)
 
-    known = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).select("bh", "hub", "rep", "comp").distinct()
+    known = shared.join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).select("bh", "hub", "rep", "comp").distinct()
     known = materialize(known, "known")
     sizes = known.groupBy("bh", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("bh").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.sum("n").alias("total"), F.max("n").alias("main_n"), F.count("*").alias("comps"))
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     more = materialize(blocks.mapInArrow(lambda it: _near_links(it, 0.5, cfg.percent), "a bigint, b bigint").distinct(), "pairs")
     further = _verified(more, sets, cfg)
     comps = components(links.unionByName(further))
+    discard(shared, sets, links, known, more)
 
     of = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     flat = rows.select("doc_id", "n_shingles", "d1", "d2")

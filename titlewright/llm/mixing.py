@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.session import drop_path, materialize
+from titlewright.session import discard, materialize
 
 DIMS = ("source", "lang", "topic")
 _NONE = "(none)"
@@ -56,10 +56,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             factor = sums.select(dim, F.coalesce(F.try_divide(F.col("target"), F.col("have")), F.lit(0.0)).alias("factor"))
             now = now.join(factor, dim).withColumn("w", F.col("w") * F.col("factor")).drop("factor")
         now = materialize(now, "raked")
-        path = now.inputFiles()[:1]
-        if old:
-            drop_path(cells.sparkSession, old)
-        old = path[0].rpartition("/")[0] if path else None
+        if old is not None:
+            discard(old)
+        old = now
     return now
 
 

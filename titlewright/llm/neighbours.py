@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlewright.llm.arrow import groups, longs
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -158,6 +158,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     schema = "vec_id bigint, vec binary, buckets array<bigint>"
     data = materialize(rows.mapInArrow(lambda it: _hash_rows(it, cfg, dim, longest, kind, False), schema), "hashed")
     asks = materialize(rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(lambda it: _hash_rows(it, cfg, dim, longest, kind, True), schema), "probing")
+    discard(base)
 
     def sizes(df: DataFrame, block: int, name: str) -> DataFrame:
         return df.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.ceil(F.count("*") / block).alias(name))

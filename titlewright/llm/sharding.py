@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlewright.session import materialize
+from titlewright.session import discard, materialize
 
 _LEAST = -(1 << 63)
 _SAMPLES = 64  # of a range
@@ -85,6 +85,7 @@ def assign_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
     """
     rows = materialize(records(docs), "records")
     placed = materialize(ranged(rows), "ranged")
+    discard(rows)
     totals = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over ranges, not over records
     starts = totals.select("range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("byte0"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("row0"), F.sum("bytes").over(Window.partitionBy()).alias("total"))
@@ -94,6 +95,7 @@ def assign_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
     run = run.join(F.broadcast(starts), "range").withColumn("row", F.col("row0") + F.col("own_row"))
     share = F.floor((F.col("byte0") + F.col("own_byte")) * F.lit(shards).cast("decimal(20,0)") / F.col("total").cast("decimal(20,0)"))
     run = materialize(run.select("doc_id", "size", "text_crc32", share.cast("int").alias("shard"), "row"), "placed")
+    discard(placed)
     first = run.groupBy("shard").agg(F.min("row").alias("row_of_shard"))
     out = run.join(F.broadcast(first), "shard")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("row") - F.col("row_of_shard")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
