@@ -1,0 +1,117 @@
+"""The registered queries that SQL can't express, and the pipeline, against brute force on the smallest tables."""
+
+import hashlib
+import re
+import struct
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from test_operators import brute_near, line_key, words
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from titlewright.llm import mixing, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def coded(ref, text):
+    ids = ref.encode(text or "", add_special_tokens=False).ids
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return len(ids), sha(struct.pack(f"<{len(ids)}I", *ids)), sha(ref.decode(ids, skip_special_tokens=False).encode())
+
+
+def test_op5(spark):
+    got = {r["doc_id"]: r for r in queries.op5_toxicity(spark, SF).collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert set(got) == {r["doc_id"] for r in documents(spark).collect()} and all(r["kept"] != r["toxic"] for r in got.values())
+    assert sum(got[i]["toxic"] == bool(t) for i, t in labels.items()) >= 0.9 * len(labels)
+
+
+def test_op7(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    x = {r["vec_id"]: np.array(r["embedding"], float) for r in rows}
+    got = defaultdict(list)
+    for r in queries.op7_neighbours(spark, SF).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    hits = total = 0
+    for q in x:
+        if q % 20 == 0:
+            want = sorted((i for i in x if i != q), key=lambda i: (-(x[i] * x[q]).sum(), i))[:20]
+            assert sorted(k for k, _, _ in got[q]) == list(range(1, len(want) + 1))
+            assert all(abs(s - (x[i] * x[q]).sum()) < 1e-12 for _, i, s in got[q])
+            hits += len(set(want) & {i for _, i, _ in got[q]})
+            total += len(want)
+    assert hits >= 0.9 * total
+
+
+def test_op9(spark):
+    got = {r["doc_id"]: r for r in queries.op9_media_columns(spark, SF).collect()}
+    for r in documents(spark).collect():
+        raw = (r["text"] or "").encode()
+        full = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        g = got[r["doc_id"]]
+        assert (g["n_bytes"], g["payload_bytes"], g["payload_sha256"], g["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-16:]))
+
+
+def test_op10(spark):
+    ref = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op10_bpe(spark, SF).collect()}
+    assert got == {r["doc_id"]: coded(ref, r["text"]) for r in documents(spark).collect()}
+
+
+def brute_mix(rows):
+    """Of (doc_id, text, lang, source) those that are drawn."""
+    topic = lambda t: next((n for n, p in mixing.TOPICS if re.search(p, t)), "prose")
+    cell = {i: (s or "(none)", g or "(none)", topic(t)) for i, t, g, s in rows}
+    n = defaultdict(float)
+    for i, t, _, _ in rows:
+        n[cell[i]] += len(words(t))
+    targets = []
+    for d in range(3):
+        sums = defaultdict(float)
+        for c, k in n.items():
+            sums[c[d]] += k
+        powers = {v: s**mixing.ALPHA for v, s in sums.items()}
+        targets.append({v: p / sum(powers.values()) for v, p in powers.items()})
+    w = dict(n)
+    for _ in range(mixing.ROUNDS):
+        for d in range(3):
+            have = defaultdict(float)
+            for c, k in w.items():
+                have[c[d]] += k
+            w = {c: k * targets[d][c[d]] / have[c[d]] if have[c[d]] else 0.0 for c, k in w.items()}
+    budget = factor = mixing.SHARE * sum(n.values())
+    for _ in range(mixing.CALIBRATIONS):
+        full = {c for c in n if n[c] and factor * w[c] / n[c] >= 1}
+        open_ = sum(w[c] for c in n if c not in full)
+        if not open_:
+            break
+        factor = max(0.0, budget - sum(n[c] for c in full)) / open_
+    p = {c: min(1.0, factor * w[c] / n[c]) if n[c] else 1.0 for c in n}
+    draw = lambda i: int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) / 2**52
+    return [r for r in rows if draw(r[0]) < p[cell[r[0]]]]
+
+
+def test_pipeline(spark):
+    docs = documents(spark)
+    clean = corpus_pipeline.toxicity(spark, docs, SF).collect()
+    assert 0 < len(clean) < docs.count()
+    holds = defaultdict(set)
+    for r in clean:
+        for x in r["text"].split("\n"):
+            if len(line_key(x)) >= 40:
+                holds[line_key(x)].add(r["doc_id"])
+    cut = [(r["doc_id"], "\n".join(x for x in r["text"].split("\n") if len(holds.get(line_key(x), ())) < 5 or r["doc_id"] == max(holds[line_key(x)])), r["lang"], r["source"]) for r in clean]
+    near = brute_near([(i, t) for i, t, _, _ in cut])
+    single = [r for r in cut if near[r[0]][1] == r[0]]
+    ref = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: coded(ref, t) for i, t, _, _ in brute_mix(single)}
+    got = {r["doc_id"]: tuple(r)[1:] for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want and len(want) > 20

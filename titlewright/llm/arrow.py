@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_MOST = 8 << 20
+
+
+def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """df.mapInArrow with batches of 8 MB at most, for this session from now on: whole texts in batches by rows alone would take
+    hundreds of megabytes on both sides."""
+    now = df.sparkSession.conf.get(_BATCH, None) or ""
+    size = int(now.removesuffix("b")) if now.removesuffix("b").lstrip("-").isdigit() else _MOST + 1
+    if not 0 < size <= _MOST:
+        df.sparkSession.conf.set(_BATCH, str(_MOST))
+    return df.mapInArrow(make, schema)
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import longs
+from titlewright.llm.arrow import longs, map_arrow
 from titlewright.llm.transducer import Transducer, compile_words, packed
 from titlewright.session import discard, materialize
 
@@ -133,7 +133,7 @@ class _Memo(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 450_000):
+    def __init__(self, path: str, lexicon: Transducer | None = None, memo: int = 330_000):
         self.vocab, self.lexicon = Vocabulary(path), lexicon
         self.split = regex.compile(SPLIT)
         self.words, self.tokens = _Memo(self._word, memo), _Memo(self._token, memo // 4)
@@ -199,7 +199,7 @@ def frequent_words(docs: DataFrame, words: int) -> list[bytes]:
     """The most frequent words without their marks, `words` at most, counted over all documents: all those that are at least as
     frequent as a bound, which is the least one (among steps of a sixteenth of a doubling) that gives no more than that."""
     src = docs.select(F.col("text").cast("binary").alias("text"))
-    counts = src.mapInArrow(_count_rows, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64")
+    counts = map_arrow(src, _count_rows, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64")
     counts = materialize(counts, "words")
     step = F.floor(F.log2("n") * 16)
     held, bound = 0, None
@@ -258,4 +258,4 @@ def bpe(docs: DataFrame, path: str, lexicon_words: int = 262_144, full: bool = T
         f.write(compile_words(entries))
     spark.sparkContext.addFile(local)
     kind = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * full
-    return src.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(lambda it: _encode_rows(it, path, name, full), kind)
+    return map_arrow(src.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), lambda it: _encode_rows(it, path, name, full), kind)

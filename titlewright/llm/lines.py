@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import longs
+from titlewright.llm.arrow import longs, map_arrow
 from titlewright.session import discard, materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -106,7 +106,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     order = ["h1", "h2", F.desc("doc_id"), "pos", "text_key"]
     dealt = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     longs_ = ", ".join(f"{c} bigint" for c in _COLUMNS)
-    seen = materialize(dealt.mapInArrow(lambda it: _stream(it, least_docs), f"kind string, {longs_}"), "seen")
+    seen = materialize(map_arrow(dealt, lambda it: _stream(it, least_docs), f"kind string, {longs_}"), "seen")
     discard(lines)
     edge = seen.where("kind = 'edge'")
     once = edge.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
@@ -115,7 +115,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     late = edge.join(F.broadcast(wide), ["h1", "h2"]).where("doc_id <> last")
     gone = seen.where("kind = 'drop'").select("doc_id", "text_key", "pos").unionByName(late.select("doc_id", "text_key", "pos"))
     per = gone.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("positions"))
-    return per.mapInArrow(_bitmap_rows, "doc_id bigint, text_key bigint, bitmap binary")
+    return map_arrow(per, _bitmap_rows, "doc_id bigint, text_key bigint, bitmap binary")
 
 
 def _kept_lines(text: bytes | None, bitmap: bytes | None) -> tuple[bytes, int, int]:
@@ -151,5 +151,5 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, dige
     maps = keep_bitmaps(src.select("doc_id", "text_key", "text"), least_chars, least_docs)
     both = src.join(maps, ["doc_id", "text_key"], "left").withColumn("raw", F.col("text").cast("binary")).drop("text_key", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema if f.name not in ("raw", "bitmap"))
-    out = both.mapInArrow(lambda it: _apply(it, digest), f"{kinds}, n_lines bigint, n_dropped bigint, kept string")
+    out = map_arrow(both, lambda it: _apply(it, digest), f"{kinds}, n_lines bigint, n_dropped bigint, kept string")
     return out.select("doc_id", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)], "n_lines", "n_dropped", F.col("kept").alias("kept_sha256") if digest else F.col("kept"))

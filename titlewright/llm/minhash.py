@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import groups, lists, longs
+from titlewright.llm.arrow import groups, lists, longs, map_arrow
 from titlewright.llm.components import components
 from titlewright.llm.hashing import ASCII_LOWER, U, batches, grams, joined, mix, words
 from titlewright.session import discard, materialize
@@ -168,13 +168,13 @@ def _near_links(it, least: float, percent: int):
 def _sets(docs: DataFrame, ids: DataFrame, cfg: NearDup) -> DataFrame:
     """The shingle sets of the documents in ids, the only step that moves texts."""
     some = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return materialize(some.mapInArrow(lambda it: _set_rows(it, cfg), "doc_id bigint, shingles binary, low binary"), "sets")
+    return materialize(map_arrow(some, lambda it: _set_rows(it, cfg), "doc_id bigint, shingles binary, low binary"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda it: _linked(it, cfg), "a bigint, b bigint")
+    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), lambda it: _linked(it, cfg), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     """
     cfg = cfg or NearDup()
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = materialize(src.mapInArrow(lambda it: _sketch_rows(it, cfg), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, short binary"), "sketches")
+    rows = materialize(map_arrow(src, lambda it: _sketch_rows(it, cfg), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, short binary"), "sketches")
     live = rows.where("n_shingles > 0 and doc_id is not null")
     classes = live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     reps = live.join(classes, ["d1", "d2"]).where("doc_id = rep").select("rep", "bands", "short")
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
     every = odd.select("bh", "hub", "rep", "comp", "short", "low", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nq") - 1)).alias("qb"), F.pmod(spread, "nd").alias("db"))
     minor = odd.where("comp <> main").select("bh", "hub", "rep", "comp", "short", "low", F.lit(True).alias("minor"), F.pmod(spread, "nq").alias("qb"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nd") - 1)).alias("db"))
     blocks = every.unionByName(minor).repartition("bh", "qb", "db").sortWithinPartitions("bh", "qb", "db")
-    more = materialize(blocks.mapInArrow(lambda it: _near_links(it, 0.5, cfg.percent), "a bigint, b bigint").distinct(), "pairs")
+    more = materialize(map_arrow(blocks, lambda it: _near_links(it, 0.5, cfg.percent), "a bigint, b bigint").distinct(), "pairs")
     further = _verified(more, sets, cfg)
     comps = components(links.unionByName(further))
     discard(shared, sets, links, known, more)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlewright.llm.arrow import groups, longs
+from titlewright.llm.arrow import groups, longs, map_arrow
 from titlewright.session import discard, materialize
 
 
@@ -151,13 +151,13 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     lengths = src.where("embedding is not null").groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     most = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
     dim = most[0] if most else 1
-    base = materialize(src.mapInArrow(lambda it: _vector_rows(it, dim, kind), "vec_id bigint, vec binary, norm double"), "vectors")
+    base = materialize(map_arrow(src, lambda it: _vector_rows(it, dim, kind), "vec_id bigint, vec binary, norm double"), "vectors")
     longest = base.agg(F.max("norm")).first()[0] or 0.0
 
     rows = base.select("vec_id", "vec")
     schema = "vec_id bigint, vec binary, buckets array<bigint>"
-    data = materialize(rows.mapInArrow(lambda it: _hash_rows(it, cfg, dim, longest, kind, False), schema), "hashed")
-    asks = materialize(rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(lambda it: _hash_rows(it, cfg, dim, longest, kind, True), schema), "probing")
+    data = materialize(map_arrow(rows, lambda it: _hash_rows(it, cfg, dim, longest, kind, False), schema), "hashed")
+    asks = materialize(map_arrow(rows.where(F.pmod("vec_id", F.lit(every)) == 0), lambda it: _hash_rows(it, cfg, dim, longest, kind, True), schema), "probing")
     discard(base)
 
     def sizes(df: DataFrame, block: int, name: str) -> DataFrame:
@@ -172,5 +172,5 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     asked = asks.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
     asked = asked.select("bucket", "vec_id", "vec", F.lit(True).alias("is_query"), F.explode(F.sequence(zero, F.col("nd") - 1)).alias("db"), F.pmod(spread, "nq").alias("qb"))
     dealt = held.unionByName(asked).repartition("bucket", "db", "qb").sortWithinPartitions("bucket", "db", "qb")
-    found = dealt.mapInArrow(lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
-    return found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
+    found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
+    return map_arrow(found.repartition("query_id").sortWithinPartitions("query_id"), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")

@@ -25,7 +25,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import groups, longs
+from titlewright.llm.arrow import groups, longs, map_arrow
 from titlewright.llm.files import parts
 from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, mix, words
 from titlewright.session import drop_path, release_shuffles, scratch, settings
@@ -303,9 +303,9 @@ def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes:
     least = -(1 << 62)
     src = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(least)).alias("doc_id"), F.col("doc_id").cast("bigint").alias("real_id"), F.col("text").cast("binary").alias("text"))
     src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("bigint"))
-    prints = src.select("chunk", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(lambda it: _chunk_rows(it, index), "bucket int, chunk bigint, data binary")
+    prints = map_arrow(src.select("chunk", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk"), lambda it: _chunk_rows(it, index), "bucket int, chunk bigint, data binary")
     stage, runs = scratch(spark, "run"), [r.path for r in index.runs]
-    merged = prints.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _merge_rows(it, index, runs), _MARK_SCHEMA)
+    merged = map_arrow(prints.repartition("bucket").sortWithinPartitions("bucket"), lambda it: _merge_rows(it, index, runs), _MARK_SCHEMA)
     with settings(spark, **_SMALL):
         _write_run(merged, stage)
     release_shuffles(spark)
@@ -315,7 +315,7 @@ def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes:
     make, kept = (_digest_rows, "kept_sha256") if digest else (_text_rows, "kept")
     out = scratch(spark, "kept")
     with settings(spark, **_SMALL):
-        both.mapInArrow(lambda it: _apply_marks(it, index, make), f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string").write.parquet(out)
+        map_arrow(both, lambda it: _apply_marks(it, index, make), f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string").write.parquet(out)
     drop_path(spark, f"{stage}/kind=mark")
     release_shuffles(spark)
     index.runs.append(Run(stage))
@@ -338,7 +338,7 @@ def compact(spark: SparkSession, index: Index) -> None:
     while len(index.runs) >= index.fan_in and len({r.level for r in index.runs[-index.fan_in :]}) == 1:
         old = index.runs[-index.fan_in :]
         paths, path = [r.path for r in old], scratch(spark, "run")
-        rows = spark.range(0, index.buckets, 1, index.buckets).mapInArrow(lambda it: _compacted(it, index, paths), _MARK_SCHEMA)
+        rows = map_arrow(spark.range(0, index.buckets, 1, index.buckets), lambda it: _compacted(it, index, paths), _MARK_SCHEMA)
         with settings(spark, **_SMALL):
             _write_run(rows, path)
         index.runs[-index.fan_in :] = [Run(path, old[0].level + 1)]

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from titlewright.llm.arrow import map_arrow
+
 
 _PUNCT = bytes(32 if i < 48 or 58 <= i <= 64 or 91 <= i <= 96 or 123 <= i <= 127 else i for i in range(256))
 _UPPER, _MARKS = bytes(range(65, 91)), bytes(i for i in range(33, 127) if not chr(i).isalnum())
@@ -150,7 +152,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], c
     # Bounded by cfg.sample.
     some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     names = ["doc_id", *[f"y{i}" for i in range(len(categories))]]
-    got = some.select(*names, "text").mapInArrow(_feature_rows, "doc_id bigint, " + "".join(f"y{i} int, " for i in range(len(categories))) + "parts binary, dense binary")
+    got = map_arrow(some.select(*names, "text"), _feature_rows, "doc_id bigint, " + "".join(f"y{i} int, " for i in range(len(categories))) + "parts binary, dense binary")
     rows = sorted(got.collect())
     if not rows:
         return Model(categories, {}, [np.zeros(_DENSE + i + 1) for i in range(len(categories))], [1.1] * len(categories), [0.0] * len(categories))
@@ -223,6 +225,6 @@ def score_chain(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id"
     score alike, null ids stay, other columns are ignored, and an empty table gives no rows."""
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").cast("binary").alias("raw"))
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + ", ".join(f"p{i} double" for i in range(len(model.categories)))
-    out = src.mapInArrow(lambda it: _predict_rows(it, model, len(keep)), kinds)
+    out = map_arrow(src, lambda it: _predict_rows(it, model, len(keep)), kinds)
     toxic = (F.col(f"p{len(model.categories) - 1}") >= F.lit(model.thresholds[-1])).alias("toxic")
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"p{i}").alias(f"p_{c}") for i, c in enumerate(model.categories)], toxic)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import longs
+from titlewright.llm.arrow import longs, map_arrow
 
 PACKET, FRAME, TICKS, FRAMES, ACCESS = 188, 192, 2160, 12, 4
 PMT_PID, DATA_PID = 0x1000, 0x0100
@@ -248,7 +248,7 @@ def store_transport(docs: DataFrame) -> DataFrame:
     other columns are ignored, and an empty table gives no rows. A text is held in memory as a whole, with its stream.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return src.mapInArrow(_store_rows, "doc_id bigint, n_bytes bigint, media binary")
+    return map_arrow(src, _store_rows, "doc_id bigint, n_bytes bigint, media binary")
 
 
 _POINTS = "points array<struct<pts:bigint,offset:bigint>>"
@@ -281,4 +281,4 @@ def read_transport(media: DataFrame, digest: bool = False) -> DataFrame:
     foreign stream has an empty payload and no points."""
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in media.schema if f.name != "media")
     own = "payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string" if digest else "payload binary, times array<bigint>"
-    return media.mapInArrow(lambda it: _read_rows(it, digest), f"{kept}, payload_bytes bigint, {own}, feature string, {_POINTS}")
+    return map_arrow(media, lambda it: _read_rows(it, digest), f"{kept}, payload_bytes bigint, {own}, feature string, {_POINTS}")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titlewright.llm.arrow import map_arrow
 from titlewright.llm.files import open_fs
 
 MAGIC = b"\x1f\x8b\x08"
@@ -71,7 +72,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 1000, date: str =
     payload, a null url leaves its header out, a null page_id is less than any other and stays null when read. Bytes of a
     url that a header can't hold are percent-encoded. An empty table gives archives without records.
     """
-    members = roles(pages, least_bytes).mapInArrow(lambda it: _member_rows(it, date, level), "members binary")
+    members = map_arrow(roles(pages, least_bytes), lambda it: _member_rows(it, date, level), "members binary")
     members.select(F.col("members").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
 
 
@@ -173,4 +174,4 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = 4 << 20) -> Dat
     total = files.agg(F.coalesce(F.sum(F.ceil(F.col("length") / range_bytes)), F.lit(0))).first()[0]
     start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))).alias("start")
     ranges = files.select("path", "length", start).select("path", "start", F.least("length", F.col("start") + range_bytes).alias("end"))
-    return ranges.repartition(max(1, int(total)), "path", "start").mapInArrow(_range_rows, _FIELDS)
+    return map_arrow(ranges.repartition(max(1, int(total)), "path", "start"), _range_rows, _FIELDS)
