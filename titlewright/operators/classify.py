@@ -28,7 +28,8 @@ class EscalationConfig:
 
 def primary_tally(votes: DataFrame, key: list[str]) -> DataFrame:
     """key, primary_genre, n, top (the largest n) and total of the votes for genres of the vocabulary."""
-    counts = votes.where(F.col("primary_genre").isin(dims.PRIMARY)).groupBy(*key, "primary_genre").agg(F.count("*").alias("n"))
+    # Dealt out by title once: counts, ranks and joins by title keep that partitioning.
+    counts = votes.where(F.col("primary_genre").isin(dims.PRIMARY)).repartition(*key).groupBy(*key, "primary_genre").agg(F.count("*").alias("n"))
     own = Window.partitionBy(*key)
     return counts.select("*", F.max("n").over(own).alias("top"), F.sum("n").over(own).alias("total"))
 
@@ -58,7 +59,7 @@ def label_confidence(votes: DataFrame, items: DataFrame, key: list[str]) -> Data
     items: key, pass, pos, label, confidence. votes: a row for each vote that could be read. One vote may name a label twice.
     """
     denominators = votes.groupBy(*key).agg(F.count("*").alias("votes"))
-    sums = items.groupBy(*key, "label").agg(_fold(F.collect_list(F.struct("pass", "pos", "confidence"))).alias("sum"))
+    sums = items.repartition(*key).groupBy(*key, "label").agg(_fold(F.collect_list(F.struct("pass", "pos", "confidence"))).alias("sum"))
     return sums.join(denominators, key).select(*key, "label", (F.col("sum") / F.greatest(F.lit(1), F.col("votes")).cast("double")).alias("confidence"))
 
 
@@ -133,6 +134,7 @@ SYSTEM_PROMPT = (
 def prompt(title: str = "title") -> Column:
     """The user's part of a labelling request for a row with the columns of a title."""
     listed = ", ".join
+    # Fixed value: the wording of the request.
     head = f"VOCABULARY:\n  primary_genre: [{listed(dims.PRIMARY)}]\n  subgenres:     [{listed(dims.SUBGENRES + dims.THEMATIC)}]\n  moods:         [{listed(dims.MOODS)}]\n\n"
     tail = '\n\nReturn JSON:\n{ "primary_genre": "<one>",\n  "subgenres": [{"label":"<from list>","confidence":0-1}, ...≤3],\n  "moods":     [{"label":"<from list>","confidence":0-1}, ...≤3] }'
     return F.concat(
