@@ -48,18 +48,19 @@ def tempered(cells: DataFrame, dim: str, alpha: float = ALPHA) -> DataFrame:
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """cells with w, shares that sum to the targets of each dim in turn. Values without a target get nothing; an empty table
-    stays empty. Each round writes its cells to the shared folder."""
-    now, old = cells.withColumn("w", F.col("n")), None
+    stays empty. Each step (a dim of a round) is one aggregate and one join, written to the shared folder, so that no step's
+    plan holds the steps before it."""
+    goals = cells.withColumn("w", F.col("n"))
+    for dim, target in targets.items():
+        goals = goals.join(target.withColumnRenamed("target", f"target_{dim}"), dim, "left")
+    now = materialize(goals, "raked")
     for _ in range(rounds):
-        for dim, target in targets.items():
-            sums = now.groupBy(dim).agg(F.sum("w").alias("have")).join(target, dim, "left")
-            factor = sums.select(dim, F.coalesce(F.try_divide(F.col("target"), F.col("have")), F.lit(0.0)).alias("factor"))
-            now = now.join(factor, dim).withColumn("w", F.col("w") * F.col("factor")).drop("factor")
-        now = materialize(now, "raked")
-        if old is not None:
-            discard(old)
-        old = now
-    return now
+        for dim in targets:
+            sums = now.groupBy(dim).agg(F.sum("w").alias("have"))
+            share = F.coalesce(F.try_divide(F.col(f"target_{dim}"), F.col("have")), F.lit(0.0))
+            before, now = now, materialize(now.join(sums, dim).withColumn("w", F.col("w") * share).drop("have"), "raked")
+            discard(before)
+    return now.drop(*[f"target_{d}" for d in targets])
 
 
 def calibrate(raked: DataFrame, share: float = SHARE, rounds: int = CALIBRATIONS) -> DataFrame:
