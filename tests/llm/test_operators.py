@@ -540,3 +540,22 @@ def test_chain_edges(spark, corpus, labelled):
     assert score_chain(empty(corpus), model).collect() == []
     twice = spark.createDataFrame([(1, None), (1, None), (None, "vile3 vile4 a b c d e f g h")], "doc_id bigint, text string")
     assert Counter((r["doc_id"], r["toxic"]) for r in score_chain(twice, model).collect()) == {(1, False): 2, (None, True): 1}
+
+
+def test_bpe_on_odd_strings():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from titlewright.llm.bpe import Encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ref, own, rng = Tokenizer.from_file(path), Encoder(path, memo=100), random.Random(1)
+    pieces = ["a", "B", "é", "日", "1", "½", "'", "s", " ", " ", " ", "\n", "\t", "\r", "\xa0", "　", " ", "\x1c", "\x85", "!", "'ll", "don't", "_", "<|endoftext|>", "\U0001f600", "́"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        ids = ref.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
+        assert own.decode(own.encode(text)) == text
+    for n in (60, 64, 65, 66, 200, 5000):  # both ways of merging
+        text = "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+        assert own.encode(text) == struct.pack(f"<{len(ref.encode(text).ids)}I", *ref.encode(text).ids)

@@ -31,7 +31,8 @@ from titlewright.session import discard, materialize
 
 #: Fixed value: the splitting rule of byte-level BPE tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_UNEVEN = re.compile(r" \s|\s |\A | \Z")
+_UNEVEN = re.compile(r" \s|\s ")
+_OTHER_SPACE = re.compile("[" + "".join(re.escape(chr(i)) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n") + "]")
 #: Marks that don't begin a contraction.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _PLAIN_WORDS = bytes(i if chr(i).isalnum() or i > 127 else 32 for i in range(256))
@@ -48,6 +49,13 @@ def byte_chars() -> list[str]:
     return out
 
 
+def uneven(text: str) -> bool:
+    """Whether a space begins or ends the text or stands beside other white space. The usual texts need no pattern for it."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    return _OTHER_SPACE.search(text) is not None and _UNEVEN.search(text) is not None
+
+
 class Vocabulary:
     """Merges and ids of a byte-level BPE tokenizer file without normaliser or prefix space."""
 
@@ -159,7 +167,7 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, self.split.findall(text)))
 
     def _piece(self, text: str) -> bytes:
-        if _UNEVEN.search(text):
+        if uneven(text):
             return self._plain(text)
         first, *rest = text.split(" ")
         return self._plain(first) + b"".join(map(self.words.__getitem__, rest))
