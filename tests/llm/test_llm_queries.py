@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from test_operators import brute_near, line_key, words
+from test_llm_operators import brute_near, line_key, words
 from tokenizers import Tokenizer
 
 import corpus_pipeline
