@@ -172,6 +172,19 @@ def test_lines_edges(spark, corpus):
     assert by == {(0, 2): 2, (1, 2): 2, (2, 2): 2, (3, 2): 2, (4, 0): 2, (None, 0): 2}
 
 
+def test_lines_strip_white_space_only(spark):
+    from titlewright.llm.lines import line_dedup
+
+    stem = "or " + "z" * 36
+    texts = [f"{c}{stem}{c}{stem[:1]}" for c in "fF"] * 2 + [f"\x0cf{stem}fo", f"fzf{stem}", "fzf" + stem + "\x0c\x0b", f"\x0c fzf{stem} \x0c"] + [f"\r{x}{stem}" for x in ("FZF", "zf", "fz", "z")]
+    texts += ["f" + "y" * 39, "y" * 39 + "F"] * 5 + ["y" * 39, "\x0c" + "y" * 39 + "\x0c"] * 3 + ["w" * 40 + x for x in ("", "f", "F", "\x0c", "\x0cf")]
+    rows = list(enumerate(texts))
+    want = brute_lines(rows)
+    assert sum(x[1] for x in want.values()) > 10
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), digest=True).collect()}
+    assert got == want
+
+
 # --- 8
 
 

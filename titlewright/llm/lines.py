@@ -28,7 +28,7 @@ _COLUMNS = ["h1", "h2", "doc_id", "text_key", "pos"]
 def line_rows(docs: DataFrame, least_chars: int) -> DataFrame:
     """Key hash (128 bits), doc_id, a hash of the document's text and position of every line with a long enough key."""
     lines = docs.where("doc_id is not null").select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    key = F.translate(F.expr("btrim(line, ' \\t\\n\\u000b\\f\\r')"), _UPPER, _LOWER)
+    key = F.translate(F.btrim("line", F.lit(_SPACE)), _UPPER, _LOWER)
     long = lines.where(F.char_length("line") >= least_chars).select("doc_id", "text_key", "pos", key.alias("key")).where(F.char_length("key") >= least_chars)
     return long.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(0x5BD1E995), "key").alias("h2"), "doc_id", "text_key", F.col("pos").cast("bigint").alias("pos"))
 
