@@ -433,6 +433,45 @@ def test_neighbours(spark):
     assert [tuple(r) for r in nearest(few).orderBy("query_id", "rank").collect()] == [(0, 1, 3, 0.5), (0, 2, 20, 0.5), (20, 1, 0, 0.5), (20, 2, 3, 0.5)]
 
 
+@pytest.mark.parametrize("kind", ["one long", "lognormal", "many axes"])
+def test_neighbours_of_any_length(spark, kind):
+    from titlewright.llm.neighbours import nearest
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 200 if kind == "many axes" else 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    if kind == "one long":
+        x[77] *= 10
+    if kind == "lognormal":
+        x *= np.exp(rng.normal(size=(len(x), 1)))
+    got = defaultdict(set)
+    for r in nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert len(got[q]) == 20
+        hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits / 3000 >= 0.97
+
+
+def test_neighbours_that_no_bucket_has(spark):
+    from titlewright.llm.neighbours import nearest
+
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(700, 32)) * 0.001 + np.eye(32)[0]
+    x[:3] *= -1
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(x)] + [(0, (-x[5]).tolist())] + [(900, x[9].tolist())] * 50
+    got = defaultdict(list)
+    for r in nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    vecs = dict(rows)
+    assert set(got) == {i for i in vecs if i % 20 == 0} and all(len(set(ids)) == 20 for ids in got.values())
+    s = {i: float((np.array(v) * vecs[0]).sum()) for i, v in rows if i}
+    assert got[0] == sorted(s, key=lambda i: (-s[i], i))[:20]
+
+
 def test_hadamard():
     from titlewright.llm.neighbours import hadamard
 

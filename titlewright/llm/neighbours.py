@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by inner product: cross-polytope hashing, multiprobe tables and exact reranking.
 
 Each table turns a vector by three rounds of random signs and a Hadamard transform and takes the nearest signed axis as its
-bucket. Candidates get one more coordinate that brings them all to the longest one's length, so that the nearest direction is the
-largest inner product. A query looks into the buckets of the axes that it is next nearest to as well, and every candidate found is
-scored exactly. Buckets are dealt out in blocks of bounded size on both sides, so no bucket is capped and none has to fit in a task.
+bucket. Candidates are hashed in bands of similar length, by direction: within a band the nearest direction is nearly the largest
+inner product. A band of few rows is one bucket that every query visits. A query looks into the buckets of the axes that it is next
+nearest to as well, and every candidate found is scored exactly; a query that finds too few is scored against all rows. Buckets are
+dealt out in blocks of bounded size on both sides, so no bucket is capped and none has to fit in a task.
 """
 
 from __future__ import annotations
@@ -20,12 +21,19 @@ from titlewright.llm.arrow import groups, longs, map_arrow
 from titlewright.session import discard, materialize
 
 
+#: The bucket of the rows that every query meets.
+_ALL = -1
+
+
 @dataclass(frozen=True)
 class Tables:
-    """tables: hash tables. probes: buckets that a query visits in each. block: candidates or queries of a block."""
+    """tables: hash tables. probes: buckets that a query visits in each, of 64 axes or fewer; of more as many times more.
+    bands: of lengths, at most. whole: rows of a band that isn't hashed. block: candidates or queries of a block."""
 
     tables: int = 12
     probes: int = 24
+    bands: int = 12
+    whole: int = 512
     block: int = 4096
     query_block: int = 1024
     seed: int = 7
@@ -56,34 +64,56 @@ def rotations(x: np.ndarray, cfg: Tables):
 
 
 def _buckets(x: np.ndarray, cfg: Tables, probes: int) -> np.ndarray:
-    """For each row its `probes` nearest signed axes in each table, as numbers that differ from table to table."""
+    """For each row its nearest signed axes in each table, as numbers that differ from table to table: the nearest one, or
+    with more probes those of a query."""
     out = []
     for t, y in enumerate(rotations(x, cfg)):
-        k = min(probes, y.shape[1])
+        k = min(max(probes, -(-probes * y.shape[1] // 64)) if probes > 1 else 1, y.shape[1])
         near = np.argpartition(-np.abs(y), k - 1, 1)[:, :k] if k < y.shape[1] else np.broadcast_to(np.arange(k), y.shape)
         sign = np.take_along_axis(y, near, 1) > 0
         out.append((t * y.shape[1] + near) * 2 + sign)
     return np.concatenate(out, 1).astype(np.int64)
 
 
-def _hash_rows(it, cfg: Tables, dim: int, longest: float, kind: str, probing: bool):
+def _bands(counts: dict[int, int], cfg: Tables) -> dict[int, int]:
+    """The band of each exponent of squared lengths, the longest first; _ALL for those of few rows. The last takes the rest."""
+    out, used = {}, 0
+    for e in sorted(counts, reverse=True):
+        if counts[e] <= cfg.whole and used < cfg.bands:
+            out[e] = _ALL
+        else:
+            used += used < cfg.bands
+            out[e] = used - 1
+    return out
+
+
+def _hash_rows(it, cfg: Tables, dim: int, bands: dict[int, int], kind: str, probing: bool):
+    every = sorted(set(bands.values()) - {_ALL})
     for batch in it:
         ids = batch.column("vec_id")
         x = np.frombuffer(b"".join(batch.column("vec").to_pylist()), kind).reshape(len(ids), dim).astype(np.float64)
+        own = np.array([bands[e] for e in batch.column("exponent").to_pylist()], np.int64)
         for lo in range(0, len(ids), 2048):
-            part = x[lo : lo + 2048]
-            norm = (part * part).sum(1)
-            extra = np.zeros(len(part)) if probing else np.sqrt(np.maximum(0.0, longest - norm))
-            b = _buckets(np.concatenate((part, extra[:, None]), 1), cfg, cfg.probes if probing else 1)
-            offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * np.int32(b.shape[1]))
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, 2048), batch.column("vec").slice(lo, 2048), pa.ListArray.from_arrays(offsets, longs(b.reshape(-1)))], ["vec_id", "vec", "buckets"])
+            part, band = x[lo : lo + 2048], own[lo : lo + 2048]
+            b = _buckets(part, cfg, cfg.probes if probing else 1)
+            span = 2 * cfg.tables * (1 << max(1, (dim - 1).bit_length()))
+            if probing:
+                b = np.concatenate([b + k * span for k in every] + [np.full((len(b), 1), _ALL)] * (_ALL in bands.values()), 1)
+                each = np.full(len(b), b.shape[1])
+            else:
+                b += band[:, None] * span
+                b[band == _ALL] = _ALL
+                each = np.where(band == _ALL, 1, b.shape[1])
+            offsets = pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32))
+            b = b[np.arange(b.shape[1]) < each[:, None]]
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, 2048), batch.column("vec").slice(lo, 2048), pa.ListArray.from_arrays(offsets, longs(b))], ["vec_id", "vec", "buckets"])
 
 
 def _vector_rows(it, dim: int, kind: str):
-    """The vectors that take part, as bytes, with their squared lengths."""
+    """The vectors that take part, as bytes, with the binary exponents of their squared lengths."""
     for batch in it:
         ids, column = batch.column(0), batch.column(1)
-        keep, vecs, norms = [], [], []
+        keep, vecs, exponents = [], [], []
         for i, v in enumerate(column):
             if not v.is_valid or not ids[i].is_valid or len(v.values) != dim or v.values.null_count:
                 continue
@@ -92,13 +122,14 @@ def _vector_rows(it, dim: int, kind: str):
             if np.isfinite(x).all() and 0 < norm < np.inf:
                 keep.append(i)
                 vecs.append(x.astype(kind).tobytes())
-                norms.append(norm)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array(vecs, pa.binary()), pa.array(norms, pa.float64())], ["vec_id", "vec", "norm"])
+                exponents.append(int(np.frexp(norm)[1]))
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array(vecs, pa.binary()), pa.array(exponents, pa.int32())], ["vec_id", "vec", "exponent"])
 
 
 def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """The k best, of rows that share an id the best one only."""
     order = np.lexsort((ids, -score))
-    return order[:k]
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
 
 
 def _score_rows(it, dim: int, kind: str, k: int):
@@ -111,10 +142,11 @@ def _score_rows(it, dim: int, kind: str, k: int):
         x = np.frombuffer(b"".join(t.column("vec").to_pylist()), kind).reshape(len(ids), dim).astype(np.float64)
         q, c, qi, ci = x[query], x[~query], ids[query], ids[~query]
         slack = 1e-9 * (1 + np.sqrt((c * c).sum(1).max()))
+        most = (k + 1) * int(np.unique(ci, return_counts=True)[1].max())  # so many rows have k ids besides the query's own
         out_ids, out_scores = [], []
         for lo in range(0, len(q), 256):
             rough = q[lo : lo + 256] @ c.T
-            least = np.partition(rough, len(c) - k - 1, 1)[:, len(c) - k - 1] if len(c) > k + 1 else np.full(len(rough), -np.inf)
+            least = np.partition(rough, len(c) - most, 1)[:, len(c) - most] if len(c) > most else np.full(len(rough), -np.inf)
             for i, row in enumerate(rough):
                 near = np.flatnonzero((row >= least[i] - slack * (1 + np.sqrt((q[lo + i] ** 2).sum()))) & (ci != qi[lo + i]))
                 exact = (c[near] * q[lo + i]).sum(1)  # the same sums for equal vectors, wherever they stand
@@ -138,7 +170,8 @@ def _merge_rows(it, k: int):
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest vectors found for each row whose vec_id is divisible by `every`.
+    """query_id, rank, vec_id, score: the k nearest vectors found for each row whose vec_id is divisible by `every`, or all others
+    if there are fewer.
 
     vectors: vec_id and embedding (array of float or double); other columns are ignored. Nearness is the inner product in double
     precision; ties go to the smaller vec_id; a query is no candidate of its own. Vectors that are null, zero, of another length
@@ -151,26 +184,38 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     lengths = src.where("embedding is not null").groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     most = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
     dim = most[0] if most else 1
-    base = materialize(map_arrow(src, lambda it: _vector_rows(it, dim, kind), "vec_id bigint, vec binary, norm double"), "vectors")
-    longest = base.agg(F.max("norm")).first()[0] or 0.0
-
-    rows = base.select("vec_id", "vec")
+    base = materialize(map_arrow(src, lambda it: _vector_rows(it, dim, kind), "vec_id bigint, vec binary, exponent int"), "vectors")
+    # A row for each exponent: about 2,000 at most.
+    bands = _bands(dict(map(tuple, base.groupBy("exponent").count().collect())), cfg)
     schema = "vec_id bigint, vec binary, buckets array<bigint>"
-    data = materialize(map_arrow(rows, lambda it: _hash_rows(it, cfg, dim, longest, kind, False), schema), "hashed")
-    asks = materialize(map_arrow(rows.where(F.pmod("vec_id", F.lit(every)) == 0), lambda it: _hash_rows(it, cfg, dim, longest, kind, True), schema), "probing")
+    data = materialize(map_arrow(base, lambda it: _hash_rows(it, cfg, dim, bands, kind, False), schema), "hashed")
+    asks = materialize(map_arrow(base.where(F.pmod("vec_id", F.lit(every)) == 0), lambda it: _hash_rows(it, cfg, dim, bands, kind, True), schema), "probing")
     discard(base)
 
-    def sizes(df: DataFrame, block: int, name: str) -> DataFrame:
-        return df.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.ceil(F.count("*") / block).alias(name))
-
-    # One row for each bucket: two for each axis of each table, however many vectors there are.
-    blocks = sizes(data, cfg.block, "nd").join(sizes(asks, cfg.query_block, "nq"), "bucket")
-    spread = F.xxhash64("vec_id")
-    zero = F.lit(0).cast("bigint")
-    held = data.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
-    held = held.select("bucket", "vec_id", "vec", F.lit(False).alias("is_query"), F.pmod(spread, "nd").alias("db"), F.explode(F.sequence(zero, F.col("nq") - 1)).alias("qb"))
-    asked = asks.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
-    asked = asked.select("bucket", "vec_id", "vec", F.lit(True).alias("is_query"), F.explode(F.sequence(zero, F.col("nd") - 1)).alias("db"), F.pmod(spread, "nq").alias("qb"))
-    dealt = held.unionByName(asked).repartition("bucket", "db", "qb").sortWithinPartitions("bucket", "db", "qb")
-    found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
-    return map_arrow(found.repartition("query_id").sortWithinPartitions("query_id"), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
+    def ranked(data: DataFrame, asks: DataFrame) -> DataFrame:
+        def sizes(df: DataFrame, block: int, name: str) -> DataFrame:
+            return df.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.ceil(F.count("*") / block).alias(name))
+
+        # One row for each bucket: two for each axis of each table and band, however many vectors there are.
+        blocks = sizes(data, cfg.block, "nd").join(sizes(asks, cfg.query_block, "nq"), "bucket")
+        spread = F.xxhash64("vec_id")
+        zero = F.lit(0).cast("bigint")
+        held = data.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
+        held = held.select("bucket", "vec_id", "vec", F.lit(False).alias("is_query"), F.pmod(spread, "nd").alias("db"), F.explode(F.sequence(zero, F.col("nq") - 1)).alias("qb"))
+        asked = asks.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
+        asked = asked.select("bucket", "vec_id", "vec", F.lit(True).alias("is_query"), F.explode(F.sequence(zero, F.col("nd") - 1)).alias("db"), F.pmod(spread, "nq").alias("qb"))
+        dealt = held.unionByName(asked).repartition("bucket", "db", "qb").sortWithinPartitions("bucket", "db", "qb")
+        found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
+        return map_arrow(found.repartition("query_id").sortWithinPartitions("query_id"), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
+
+    out = materialize(ranked(data, asks), "ranked")
+    enough = min(k, data.select("vec_id").distinct().limit(k + 1).count() - 1)
+    got = out.groupBy("query_id").agg(F.count("*").alias("n"))
+    few = asks.join(got, asks["vec_id"] == got["query_id"], "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "vec")
+    few = materialize(few, "few")
+    if not few.isEmpty():
+        one = F.array(F.lit(_ALL).cast("bigint")).alias("buckets")
+        rest = materialize(ranked(data.select("vec_id", "vec", one), few.select("vec_id", "vec", one)), "rest")
+        out = out.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
+    discard(data, asks, few)
+    return out
