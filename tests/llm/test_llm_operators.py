@@ -104,6 +104,30 @@ def test_index_grows_and_compacts(spark):
     index.discard(spark)
 
 
+def test_fingerprints_that_share_a_key(monkeypatch):
+    import pyarrow as pa
+
+    from titlewright.llm import substrings as m
+    from titlewright.llm.hashing import U
+
+    steps = np.arange(3, dtype=U)
+    c = U(1000) + steps
+    a = U(12345) - steps * U(0xE7037ED1A0B428DB * pow(0x9E3779B97F4A7C15, -1, 1 << 64) & (1 << 64) - 1)
+    assert len(set(m._key(a, c).tolist())) == 1 and len(set(a.tolist())) == 3
+    index, marks = m.Index(buckets=1), lambda out: [r for r in out if r["kind"] == "mark"]
+    one = lambda i, doc: m.pack(a[i : i + 1], c[i : i + 1], np.array([doc]))
+    merged = lambda picks, runs: [r for b in m._merge_rows([pa.RecordBatch.from_pydict({"bucket": [0] * len(picks), "chunk": list(range(len(picks))), "data": pa.array([one(i, d) for d, i in enumerate(picks)], pa.binary())})], index, runs) for r in b.to_pylist()]
+    assert marks(merged([0, 1, 2], [])) == [] and {r["chunk"] for r in marks(merged([0, 1, 0], []))} == {0, 2}
+    monkeypatch.setattr(m, "_read_run", lambda path, bucket: [m.unpack(m.pack(np.sort(a[1:]), c[1:][np.argsort(a[1:])]))])
+    assert {r["chunk"] for r in marks(merged([0, 1, 2], ["run"]))} == {1, 2}
+    text = " ".join(map(str, range(20))).encode()
+    monkeypatch.setattr(m, "fingerprints", lambda h, window, anchor: (np.repeat(a, [1, 20, 0])[: len(h) - 19], np.repeat(c, [1, 20, 0])[: len(h) - 19]))
+    rows = pa.RecordBatch.from_pydict({"chunk": [0, 0, 0], "doc_id": [5, 6, 0], "text": [text, text, b""], "data": pa.array([None, None, one(2, 0)], pa.binary())})
+    assert [g.any() for g in m._apply_marks([rows], index, lambda t, buf, starts, begins, gone: gone)] == [False]
+    chunk = list(m._chunk_rows([rows.slice(0, 2).drop_columns(["data"])], index))
+    assert sorted(m.unpack(chunk[0].column("data")[0].as_py())[1].tolist()) == [1000, 1001]
+
+
 def test_pack():
     from titlewright.llm.hashing import U
     from titlewright.llm.substrings import pack, unpack

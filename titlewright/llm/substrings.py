@@ -2,7 +2,8 @@
 
 A window is `window` consecutive words of one document. Its fingerprint is a pair: the least hash among the runs of
 `anchor` words in it, which neighbouring windows share and which is therefore stored once for all of them, and a 48-bit
-check value over all of its words. Both must agree, 112 bits together, before a window counts as repeated.
+check value over all of its words. Both must agree, 112 bits together, before a window counts as repeated; tables are searched
+by a 64-bit key of both and then compared on both. Words themselves aren't compared beyond their 64-bit hashes.
 
 The index is a list of runs in the shared folder. A run is immutable: for each bucket (by the anchor) the sorted,
 distinct fingerprints that one batch brought. A new batch is fingerprinted chunk by chunk, dealt out by bucket and
@@ -58,6 +59,33 @@ def _key(a: np.ndarray, c: np.ndarray) -> np.ndarray:
     return a * U(0x9E3779B97F4A7C15) + c * U(0xE7037ED1A0B428DB)
 
 
+def _grouped(key: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of fingerprints by key and anchor, earlier ones first, and where in it each distinct one begins. A key and an
+    anchor have one check value, since its factor is odd."""
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(key), bool)
+    same = key[order][1:] == key[order][:-1]
+    if (same & (a[order][1:] != a[order][:-1])).any():  # fingerprints that share a key
+        order = np.lexsort((a, key))
+        same = (key[order][1:] == key[order][:-1]) & (a[order][1:] == a[order][:-1])
+    new[1:] = ~same
+    return order, new
+
+
+def _lookup(keys: np.ndarray, anchors: np.ndarray, key: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Where among fingerprints in order of their keys each of the others is, by key and anchor; -1 if it isn't there."""
+    at, out = np.searchsorted(keys, key), np.full(len(key), -1)
+    left = np.flatnonzero(at < len(keys))
+    while len(left):
+        left = left[keys[at[left]] == key[left]]
+        hit = anchors[at[left]] == a[left]
+        out[left[hit]] = at[left[hit]]
+        left = left[~hit]
+        at[left] += 1
+        left = left[at[left] < len(keys)]
+    return out
+
+
 def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray | None = None) -> bytes:
     """Fingerprints that are sorted by anchor (and id), each anchor once for its run of check values."""
     new = np.ones(len(a), bool)
@@ -158,7 +186,8 @@ def _chunk_rows(it, index: Index):
             continue
         a, c, doc = (np.concatenate(x) for x in zip(*found, strict=True))
         del found
-        _, first = np.unique(_key(a, c), return_index=True)  # documents come in order, so the first is the least
+        order, new = _grouped(_key(a, c), a)
+        first = order[new]  # documents come in order, so the first is the least
         a, c, doc = a[first], c[first], doc[first]
         bucket = index.bucket(a)
         order = np.lexsort((doc, a, bucket))
@@ -189,10 +218,10 @@ def _merge_rows(it, index: Index, runs: list[str]):
         a, c, doc = (np.concatenate(x) for x in zip(*got, strict=True))
         del got, t
         key = _key(a, c)
-        order = np.lexsort((doc, key))
+        order = np.argsort(doc, kind="stable")
+        by_key, new = _grouped(key[order], a[order])
+        order = order[by_key]
         a, c, doc, chunk, key = a[order], c[order], doc[order], chunk[order], key[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
         at = np.flatnonzero(new)
         size = np.diff(np.append(at, len(a)))
         first = doc[at]
@@ -200,10 +229,9 @@ def _merge_rows(it, index: Index, runs: list[str]):
         old = np.zeros(len(at), bool)
         for path in runs:
             for ra, rc, _ in _read_run(path, bucket):
-                rk = np.sort(_key(ra, rc))
-                near = np.searchsorted(rk, uk)
-                near[near == len(rk)] = 0
-                old |= rk[near] == uk if len(rk) else False
+                rk = _key(ra, rc)
+                order = np.argsort(rk)
+                old |= _lookup(rk[order], ra[order], uk, ua) >= 0
         del a, c, key
         if (~old).any():
             yield from _run_rows(bucket, ua[~old], uc[~old])
@@ -237,22 +265,22 @@ def _apply_marks(it, index: Index, make):
             ma, mc, first = (np.concatenate(x) for x in zip(*marks, strict=True))
             mk = _key(ma, mc)
             order = np.argsort(mk)
-            mk, first = mk[order], first[order]
+            mk, ma, first = mk[order], ma[order], first[order]
         found = list(_document_windows(texts, ids, index))
         keys = [_key(x[5], x[6]) for x in found]
-        first_at = np.unique(np.concatenate(keys), return_index=True)[1]  # rows are in order: the first of the chunk
+        order, new = _grouped(np.concatenate(keys), np.concatenate([x[5] for x in found]))
+        first_at = order[new]  # rows are in order: the first of the chunk
         repeated = np.ones(sum(map(len, keys)), bool)
         repeated[first_at] = False
         done = 0
-        for (lo, hi, buf, starts, begins, _, _, own, at), key in zip(found, keys, strict=True):
+        for (lo, hi, buf, starts, begins, a, _, own, at), key in zip(found, keys, strict=True):
             covered = np.zeros(len(starts) + 1, np.int32)
             if len(key):
                 again = repeated[done : done + len(key)]
                 done += len(key)
                 if marks:
-                    near = np.searchsorted(mk, key)
-                    near[near == len(mk)] = 0
-                    again = again | (mk[near] == key) & (first[near] != ids[lo + own])
+                    near = _lookup(mk, ma, key, a)
+                    again = again | (near >= 0) & (first[near] != ids[lo + own])
                 w = at[again]
                 np.add.at(covered, w, 1)
                 np.add.at(covered, w + index.window, -1)
