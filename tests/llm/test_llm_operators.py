@@ -618,6 +618,23 @@ def test_chain_edges(spark, corpus, labelled):
     assert Counter((r["doc_id"], r["toxic"]) for r in score_chain(twice, model).collect()) == {(1, False): 2, (None, True): 1}
 
 
+def test_chain_flags_what_it_is_sure_of(spark):
+    from titlewright.llm.toxicity import fit_chain, score_chain
+
+    rng, v = random.Random(12), vocabulary()
+    docs, labels = [], []
+    for i in range(900):  # of the toxic ones only a few can be told by their words
+        w = [rng.choice(v) for _ in range(30)]
+        if i % 20 == 0:
+            w[3:3] = ["vile1", "vile2", "vile3"]
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = fit_chain(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"), ("toxic",))
+    flagged = {r["doc_id"] for r in score_chain(df, model).where("toxic").collect()}
+    assert model.accuracy[0] < 0.5 and flagged >= set(range(0, 900, 20)) and len(flagged) <= 55
+
+
 def test_bpe_on_odd_strings():
     import public_tokenizers
     from tokenizers import Tokenizer
