@@ -251,6 +251,47 @@ def test_near_duplicates_edges(spark, corpus):
     assert sorted((r["doc_id"] or 0, r["component_id"], r["kept"]) for r in got.collect()) == [(0, None, True), (2, 2, True), (2, 2, True), (3, 2, False), (4, 4, True)]
 
 
+def test_texts_that_share_an_id(spark):
+    from titlewright.llm.minhash import near_duplicates
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (7, b + " more"), (9, a), (5, b), (2, c), (3, c + " end"), (-4, ""), (-4, "x")]
+    df = spark.createDataFrame([(*r, "n", 1) for r in rows], "doc_id bigint, text string, node string, text_key int")
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(df).collect())
+    assert got == {(5, 26, 5, True): 3, (7, 27, 5, False): 1, (9, 26, 5, False): 1, (2, 26, 2, True): 1, (3, 27, 2, False): 1, (-4, 0, -4, True): 1, (-4, 1, -4, True): 1}
+    nothing = near_duplicates(spark.createDataFrame([(i, ["", None, " "][i % 3]) for i in range(300)], "doc_id bigint, text string")).collect()
+    assert len(nothing) == 300 and all(r["kept"] and r["component_id"] == r["doc_id"] for r in nothing)
+
+
+def test_blocks_compare_whole_hashes():
+    import pyarrow as pa
+
+    from titlewright.llm.hashing import U
+    from titlewright.llm.minhash import NearDup, _near_links
+
+    whole = np.sort(np.random.default_rng(6).integers(0, 1 << 62, 100).astype(U))
+    # 75 of 100 shared, two of them equal in their lower half; and one that agrees in the lower halves alone.
+    whole[1] = (whole[0] & U(0xFFFFFFFF)) | U(1 << 62)
+    whole.sort()
+    part, false = np.delete(whole, np.flatnonzero((whole & U(0xFFFFFFFF)) != (whole[-1] & U(0xFFFFFFFF)))[:25]), np.sort(whole ^ U(1 << 63))
+    assert len(part) == 75 and len(np.unique(whole.astype(np.uint32))) == 99
+    sets = [whole, whole, false, part]
+    rows = pa.RecordBatch.from_pydict({"bh": [1] * 4, "qb": [0] * 4, "db": [0] * 4, "hub": [0] * 4, "node": [1, 1, 2, 3], "comp": [1, 1, 2, 3], "minor": [True, False, False, False], "short": pa.array([b"abcd"] * 4, pa.binary()), "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
+    assert [r for b in _near_links([rows], NearDup()) for r in b.to_pylist()] == [{"a": 1, "b": 3}]
+
+
+def test_keyed_join(spark, monkeypatch):
+    from titlewright.llm import skew
+
+    monkeypatch.setattr(skew, "PARTS", 4)
+    left = spark.createDataFrame([(0, i) for i in range(40)] + [(k, k) for k in range(1, 30)], "k bigint, v bigint")
+    right = left.where("k < 20").groupBy("k").agg(F.count("*").alias("n")).withColumn("w", F.col("k") * 2)
+    for how, want in (("inner", 59), ("left", 69)):
+        got = skew.keyed_join(left, right, ["k"], how).collect()
+        assert len(got) == want and all(r["w"] == (2 * r["k"] if r["k"] < 20 else None) for r in got)
+    assert skew.keyed_join(left, right.limit(0), ["k"]).collect() == [] and skew.keyed_join(left.limit(0), right, ["k"]).collect() == []
+
+
 def test_sketches_fill_and_estimate():
     from titlewright.llm.hashing import U
     from titlewright.llm.minhash import sketches

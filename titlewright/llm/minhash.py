@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from titlewright.llm.arrow import groups, lists, longs, map_arrow
 from titlewright.llm.components import components
 from titlewright.llm.hashing import ASCII_LOWER, U, batches, grams, joined, mix, words
+from titlewright.llm.skew import keyed_join
 from titlewright.session import discard, materialize
 
 _SHINGLE = 0xA24BAED4963EE407
@@ -28,15 +29,21 @@ _NONE = U(0xFFFFFFFFFFFFFFFF)
 
 @dataclass(frozen=True)
 class NearDup:
-    """words: of a shingle. percent: least Jaccard similarity of a link. bands * rows: coordinates of a sketch.
+    """words: of a shingle. percent: least Jaccard similarity of a link. bands * rows: coordinates of a sketch. alike: share of
+    coordinates that must agree before two sets of a block are compared. member_rows, minor_rows, block_shingles bound a block.
 
-    With 22 bands of 3 rows a pair at similarity 0.75 shares no band with probability 6e-6.
+    With 22 bands of 3 rows a pair at similarity 0.75 shares no band with probability 6e-6, and agrees in fewer than 0.3 of the
+    coordinates with probability 1e-14.
     """
 
     words: int = 5
     percent: int = 75
     bands: int = 22
     rows: int = 3
+    alike: float = 0.3
+    member_rows: int = 2048
+    minor_rows: int = 512
+    block_shingles: int = 4 << 20
 
     @property
     def coords(self) -> int:
@@ -84,7 +91,7 @@ def sketches(g: np.ndarray, sizes: np.ndarray, coords: int) -> np.ndarray:
 
 def _sketch_rows(it, cfg: NearDup):
     for batch in it:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         for lo, hi in batches(texts):
             g, sizes = shingle_sets(texts[lo:hi], cfg.words)
             s = sketches(g, sizes, cfg.coords)
@@ -95,8 +102,8 @@ def _sketch_rows(it, cfg: NearDup):
                 band = mix(band + s.reshape(hi - lo, cfg.bands, cfg.rows)[:, :, k])
             short = (mix(s) & U(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), longs(sizes), longs(digests[:, 0]), longs(digests[:, 1]), lists(band), pa.array([r.tobytes() for r in short], pa.binary())],
-                ["doc_id", "n_shingles", "d1", "d2", "bands", "short"],
+                [ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), longs(sizes), longs(digests[:, 0]), longs(digests[:, 1]), lists(band), pa.array([r.tobytes() for r in short], pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "d1", "d2", "bands", "short"],
             )
 
 
@@ -105,35 +112,48 @@ def _set_rows(it, cfg: NearDup):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for lo, hi in batches(texts):
             g, sizes = shingle_sets(texts[lo:hi], cfg.words)
-            ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([g[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary()), pa.array([np.unique((g[e - n : e] & U(0xFFFFFFFF)).astype(np.uint32)).tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["doc_id", "shingles", "low"])
+            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([g[e - n : e].tobytes() for e, n in zip(np.cumsum(sizes), sizes, strict=True)], pa.binary())], ["node", "shingles"])
+
+
+def _near(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are near enough, counted in whole numbers."""
+    if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    at = np.minimum(np.searchsorted(p, q), len(p) - 1)
+    both = int(np.count_nonzero(p[at] == q))
+    return 100 * both >= percent * (len(p) + len(q) - both)
 
 
-def _linked(it, cfg: NearDup):
-    """Of pairs with both sets, those whose sets are near enough, counted in whole numbers."""
+def _star_links(it, cfg: NearDup):
+    """Of rows that are sorted by hub, block and kind, the hub's set before its members': the members that are near enough. Only
+    the hub's set is held."""
+    key, hub = None, None
     for batch in it:
+        a, blk, kind, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("a", "blk", "member", "b"))
         keep = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            p, q = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-            both = len(np.intersect1d(p, q, assume_unique=True)) if 100 * min(len(p), len(q)) >= cfg.percent * max(len(p), len(q)) else 0
-            keep.append(100 * both >= cfg.percent * (len(p) + len(q) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for i, x in enumerate(batch.column("shingles")):
+            own = np.frombuffer(x.as_buffer(), U)
+            if not kind[i]:
+                key, hub = (a[i], blk[i]), own.copy()
+            elif key == (a[i], blk[i]) and _near(hub, own, cfg.percent):
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([longs(a[keep]), longs(b[keep])], ["a", "b"])
 
 
-def _near_links(it, least: float, percent: int):
+def _near_links(it, cfg: NearDup):
     """Within blocks of a bucket (minor rows against all), links that join different components, one for each joining.
 
-    Pairs whose short sketches agree are compared on their whole sets, of 32 bits of each hash, here; only a forest of links
-    leaves the block, never a row for each pair.
+    Pairs whose short sketches agree are compared on their whole sets; only a forest of links leaves the block, never a row for
+    each pair.
     """
     for t in groups(it, ["bh", "qb", "db"]):
         minor = t.column("minor").to_numpy(zero_copy_only=False).astype(bool)
         if not minor.any() or minor.all():
             continue
-        rep, comp, hub = (t.column(k).to_numpy() for k in ("rep", "comp", "hub"))
-        sk = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(len(rep), -1)
-        low = [np.frombuffer(x, np.uint32) for x in t.column("low").to_pylist()]
-        size = np.array([len(x) for x in low])
+        node, comp, hub = (t.column(k).to_numpy() for k in ("node", "comp", "hub"))
+        sk = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(len(node), -1)
+        sets = [np.frombuffer(x.as_buffer(), U) for x in t.column("shingles")]
+        size = np.array([len(x) for x in sets])
         every = np.flatnonzero(~minor)
         root = {int(c): int(c) for c in np.unique(comp)}
 
@@ -145,86 +165,113 @@ def _near_links(it, least: float, percent: int):
 
         out = []
         for i in np.flatnonzero(minor):
-            like = (sk[every] == sk[i]).mean(1) >= least
-            like &= (comp[every] != comp[i]) & (rep[every] != hub[every]) & (rep[i] != hub[i])
-            like &= 100 * np.minimum(size[every], size[i]) >= percent * np.maximum(size[every], size[i])
+            like = (sk[every] == sk[i]).mean(1) >= cfg.alike
+            like &= (comp[every] != comp[i]) & (node[every] != hub[every]) & (node[i] != hub[i])
+            like &= 100 * np.minimum(size[every], size[i]) >= cfg.percent * np.maximum(size[every], size[i])
             near = every[like]
             near = near[[find(int(c)) != find(int(comp[i])) for c in comp[near]]] if len(near) else near
             if not len(near):
                 continue
-            values = np.concatenate([low[j] for j in near])
-            at = np.minimum(np.searchsorted(low[i], values), len(low[i]) - 1)
-            both = np.add.reduceat((low[i][at] == values).astype(np.int64), np.concatenate(([0], np.cumsum(size[near])[:-1])))
-            for j in near[100 * both >= percent * (size[near] + size[i] - both)]:
+            values = np.concatenate([sets[j] for j in near])
+            at = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+            both = np.add.reduceat((sets[i][at] == values).astype(np.int64), np.concatenate(([0], np.cumsum(size[near])[:-1])))
+            for j in near[100 * both >= cfg.percent * (size[near] + size[i] - both)]:
                 x, y = find(int(comp[j])), find(int(comp[i]))
                 if x != y:
                     root[max(x, y)] = min(x, y)
-                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
         if out:
             a, b = np.array(out, np.int64).T
             yield pa.RecordBatch.from_arrays([longs(a), longs(b)], ["a", "b"])
 
 
-def _sets(docs: DataFrame, ids: DataFrame, cfg: NearDup) -> DataFrame:
-    """The shingle sets of the documents in ids, the only step that moves texts."""
-    some = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return materialize(map_arrow(some, lambda it: _set_rows(it, cfg), "doc_id bigint, shingles binary, low binary"), "sets")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), lambda it: _linked(it, cfg), "a bigint, b bigint")
+def _verified_stars(star: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
+    """Of the pairs (a, b), those whose sets are near enough. The members of a hub a are dealt out in blocks, each with its set."""
+    hubs = materialize(star.groupBy("a").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / cfg.member_rows)), "hubs")
+    dealt = keyed_join(star, hubs, ["a"]).withColumn("blk", F.pmod(F.xxhash64("b"), "blocks"))
+    members = dealt.join(sets, dealt["b"] == sets["node"]).select("a", "blk", F.lit(True).alias("member"), "b", "shingles")
+    own = hubs.join(sets, hubs["a"] == sets["node"]).select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("blk"), F.lit(False).alias("member"), F.col("a").alias("b"), "shingles")
+    rows = own.unionByName(members).repartition("a", "blk").sortWithinPartitions("a", "blk", "member")
+    out = materialize(map_arrow(rows, lambda it: _star_links(it, cfg), "a bigint, b bigint"), "links")
+    discard(hubs)
+    return out
+
+
+def _block_links(known: DataFrame, short: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
+    """Links between components that meet in a bucket. known: bh, hub, node, size, comp."""
+    sizes = known.groupBy("bh", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    mixed = sizes.groupBy("bh").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max("n").alias("main_n"), F.count("*").alias("comps"))
+    # Blocks are bounded in rows and, on average, in shingles.
+    many = F.greatest(F.lit(1.0), F.col("size") / F.col("n") * cfg.member_rows / cfg.block_shingles)
+    mixed = mixed.where("comps > 1 and n > 2").select("bh", "n", "main", F.ceil((F.col("n") - F.col("main_n")) * many / cfg.minor_rows).alias("nq"), F.ceil(F.col("n") * many / cfg.member_rows).alias("nd"))
+    mixed = materialize(mixed, "mixed")
+    if mixed.isEmpty():
+        discard(mixed)
+        return known.sparkSession.createDataFrame([], "a bigint, b bigint")
+    odd = keyed_join(known, mixed, ["bh"]).join(short, "node").join(sets, "node")
+    spread, zero = F.xxhash64("node"), F.lit(0).cast("bigint")
+    columns = ["bh", "hub", "node", "comp", "short", "shingles"]
+    every = odd.select(*columns, F.lit(False).alias("minor"), F.explode(F.sequence(zero, F.col("nq") - 1)).alias("qb"), F.pmod(spread, "nd").alias("db"))
+    minor = odd.where("comp <> main").select(*columns, F.lit(True).alias("minor"), F.pmod(spread, "nq").alias("qb"), F.explode(F.sequence(zero, F.col("nd") - 1)).alias("db"))
+    blocks = every.unionByName(minor).repartition("bh", "qb", "db").sortWithinPartitions("bh", "qb", "db")
+    out = materialize(map_arrow(blocks, lambda it: _near_links(it, cfg), "a bigint, b bigint").distinct(), "pairs")
+    discard(mixed)
+    return out
 
 
 def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs.
+    """doc_id, n_shingles, component_id, kept and text_key (a hash of the text) for every row of docs.
 
     Documents of equal shingle sets first become one class with its least id. Classes that share a band are candidates.
     In each bucket all members are verified against the bucket's least member, on their whole sets. What these links
-    don't yet join is then compared exhaustively within its bucket: rows outside the bucket's main component against all
-    rows of other components, in blocks of bounded size; pairs whose sketches agree in under half of the coordinates
-    (5 standard deviations under the threshold) are dropped, the rest compared on whole sets, and the links that join
-    components are verified once more on full hashes. No bucket is capped.
+    don't yet join is then compared exhaustively within its bucket, in blocks of bounded size: rows outside the bucket's main
+    component against all rows of other components, on whole sets of 64-bit hashes, but for pairs whose sketches agree in under
+    0.3 of the coordinates (9 standard deviations under the threshold). No bucket is capped.
 
     Null or empty texts, and texts of white space only, have no shingles: component_id is their own id and they are kept.
-    Repeated rows are one class. Rows that share an id but differ in text are one node. Rows with a null id are linked
-    with nothing, have a null component_id and are kept. Other columns are ignored. An empty table gives no rows.
+    Repeated rows are one class. Rows that share an id but differ in text are documents of their own: each has the least id of
+    its own component. Rows with a null id are linked with nothing, have a null component_id and are kept. Very long texts are
+    read whole, in segments. Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     cfg = cfg or NearDup()
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = materialize(map_arrow(src, lambda it: _sketch_rows(it, cfg), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, short binary"), "sketches")
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("binary")).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
+    rows = materialize(map_arrow(src, lambda it: _sketch_rows(it, cfg), "doc_id bigint, text_key bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, short binary"), "sketches")
     live = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    reps = live.join(classes, ["d1", "d2"]).where("doc_id = rep").select("rep", "bands", "short")
-    band = reps.select("rep", F.explode("bands").alias("bh"))
-    hubs = band.groupBy("bh").agg(F.min("rep").alias("hub"), F.max("rep").alias("most")).where("hub < most").select("bh", "hub")
-    shared = materialize(band.join(hubs, "bh").select("bh", "hub", "rep"), "buckets")
-
-    texts = src.where("doc_id is not null")
-    star = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    sets = _sets(texts, shared.select(F.col("rep").alias("doc_id")).distinct(), cfg)
-    links = materialize(_verified(star, sets, cfg), "links")
-    near = components(links)
-
-    known = shared.join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).select("bh", "hub", "rep", "comp").distinct()
+    best = F.min_by(F.struct("text_key", "n_shingles", "bands", "short"), F.struct("doc_id", "text_key"))
+    classes = live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), best.alias("of"))
+    classes = materialize(classes.select("d1", "d2", "n", "rep", "of.*"), "classes")
+    # Where an id has several texts, a class can't go by its least id: it goes by half of its digest then.
+    twice = not classes.groupBy("rep").count().where("count > 1").isEmpty()
+    node = F.col("d1" if twice else "rep").alias("node")
+
+    band = classes.select(node, F.col("n_shingles").alias("size"), F.explode("bands").alias("bh"))
+    hubs = band.groupBy("bh").agg(F.min("node").alias("hub"), F.max("node").alias("most"), F.count("*").alias("n"))
+    hubs = materialize(hubs.where("hub < most").select("bh", "hub", "n"), "hubs")
+    shared = materialize(keyed_join(band, hubs, ["bh"]).select("bh", "hub", "node", "size"), "buckets")
+    wanted = classes.select(node, F.col("rep").alias("doc_id"), "text_key").join(shared.select("node").distinct(), "node")
+    texts = src.where("doc_id is not null").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text")
+    sets = materialize(map_arrow(texts, lambda it: _set_rows(it, cfg), "node bigint, shingles binary"), "sets")
+    star = materialize(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "star")
+    links = _verified_stars(star, sets, cfg)
+    comps = components(links)
+
+    known = shared.join(comps, "node", "left").select("bh", "hub", "node", "size", F.coalesce("component", "node").alias("comp")).distinct()
     known = materialize(known, "known")
-    sizes = known.groupBy("bh", "comp").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bh").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.sum("n").alias("total"), F.max("n").alias("main_n"), F.count("*").alias("comps"))
-    mixed = mixed.where("comps > 1 and total > 2").select("bh", "main", F.ceil((F.col("total") - F.col("main_n")) / 512).alias("nq"), F.ceil(F.col("total") / 4096).alias("nd"))
-    odd = known.join(mixed, "bh").join(reps.select("rep", "short").dropDuplicates(["rep"]), "rep").join(sets.select(F.col("doc_id").alias("rep"), "low"), "rep")
-    spread = F.xxhash64("rep")
-    every = odd.select("bh", "hub", "rep", "comp", "short", "low", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nq") - 1)).alias("qb"), F.pmod(spread, "nd").alias("db"))
-    minor = odd.where("comp <> main").select("bh", "hub", "rep", "comp", "short", "low", F.lit(True).alias("minor"), F.pmod(spread, "nq").alias("qb"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nd") - 1)).alias("db"))
-    blocks = every.unionByName(minor).repartition("bh", "qb", "db").sortWithinPartitions("bh", "qb", "db")
-    more = materialize(map_arrow(blocks, lambda it: _near_links(it, 0.5, cfg.percent), "a bigint, b bigint").distinct(), "pairs")
-    further = _verified(more, sets, cfg)
-    comps = components(links.unionByName(further))
-    discard(shared, sets, links, known, more)
-
-    of = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    flat = rows.select("doc_id", "n_shingles", "d1", "d2")
-    out = flat.join(of, ["d1", "d2"], "left")
-    ids = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    ids = F.when(F.col("doc_id").isNotNull(), ids)
-    return out.select("doc_id", "n_shingles", ids.alias("component_id"), F.coalesce(ids == F.col("doc_id"), F.lit(True)).alias("kept"))
+    more = _block_links(known, classes.select(node, "short").dropDuplicates(["node"]), sets, cfg)
+    if not more.isEmpty():
+        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    discard(hubs, shared, sets, star, links, known, more)
+
+    of = classes.select("d1", "d2", "n", "rep", node).join(comps, "node", "left")
+    if twice:
+        of = of.withColumn("whole", F.coalesce("component", "node"))
+        least = of.groupBy("whole").agg(F.min("rep").alias("component_id"))
+        of = of.join(least, "whole")
+    else:
+        of = of.withColumn("component_id", F.coalesce("component", "rep"))
+    of = materialize(of.where("n > 1 or component_id <> rep").select("d1", "d2", "n", "component_id"), "of")
+    flat = rows.select("doc_id", "text_key", "n_shingles", "d1", "d2")
+    alone = F.col("n_shingles") == 0
+    linked = keyed_join(flat.where(~alone & F.col("doc_id").isNotNull()), of, ["d1", "d2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    out = linked.unionByName(flat.where(alone | F.col("doc_id").isNull()).withColumn("component_id", F.col("doc_id")))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key")
