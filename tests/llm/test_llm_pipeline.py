@@ -58,3 +58,13 @@ def test_sql(spark, name):
     from titlewright.llm import queries
 
     compare(spark, name, queries.queries()[name], queries.oracle_sql()[name])
+
+
+def test_near_duplicates_keep_texts_that_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (5, b + " z"), (7, c), (7, a + " z"), (None, a), (None, a), (8, ""), (9, ""), (8, None), (8, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, component_id string")
+    got = corpus_pipeline.near_duplicate_groups(spark, df, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got if r["text"] not in (b, b + " z")) == [(0, a), (0, a), (5, a), (7, c), (8, ""), (8, ""), (9, "")]
+    assert [r["doc_id"] for r in got if r["text"] in (b, b + " z")] == [5]
+    assert corpus_pipeline.near_duplicate_groups(spark, df.limit(0), "").collect() == []

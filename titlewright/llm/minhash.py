@@ -220,7 +220,8 @@ def _block_links(known: DataFrame, short: DataFrame, sets: DataFrame, cfg: NearD
 
 
 def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and text_key (a hash of the text) for every row of docs.
+    """doc_id, n_shingles, component_id, kept, text_key (a hash of the text) and group_key for every row of docs. group_key tells
+    components apart even where ids repeat; it is null for a row without shingles or id.
 
     Documents of equal shingle sets first become one class with its least id. Classes that share a band are candidates.
     In each bucket all members are verified against the bucket's least member, on their whole sets. What these links
@@ -262,16 +263,14 @@ def near_duplicates(docs: DataFrame, cfg: NearDup | None = None, id_col: str = "
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     discard(hubs, shared, sets, star, links, known, more)
 
-    of = classes.select("d1", "d2", "n", "rep", node).join(comps, "node", "left")
+    of = classes.select("d1", "d2", "n", "rep", node).join(comps, "node", "left").withColumn("group_key", F.coalesce("component", "node"))
     if twice:
-        of = of.withColumn("whole", F.coalesce("component", "node"))
-        least = of.groupBy("whole").agg(F.min("rep").alias("component_id"))
-        of = of.join(least, "whole")
+        of = of.join(of.groupBy("group_key").agg(F.min("rep").alias("component_id")), "group_key")
     else:
-        of = of.withColumn("component_id", F.coalesce("component", "rep"))
-    of = materialize(of.where("n > 1 or component_id <> rep").select("d1", "d2", "n", "component_id"), "of")
+        of = of.withColumn("component_id", F.col("group_key"))
+    of = materialize(of.where("n > 1 or component_id <> rep or group_key <> node").select("d1", "d2", "n", "component_id", "group_key"), "of")
     flat = rows.select("doc_id", "text_key", "n_shingles", "d1", "d2")
-    alone = F.col("n_shingles") == 0
-    linked = keyed_join(flat.where(~alone & F.col("doc_id").isNotNull()), of, ["d1", "d2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    out = linked.unionByName(flat.where(alone | F.col("doc_id").isNull()).withColumn("component_id", F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key")
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    linked = keyed_join(flat.where(~alone), of, ["d1", "d2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id")).withColumn("group_key", F.coalesce("group_key", "d1" if twice else "doc_id"))
+    out = linked.unionByName(flat.where(alone).withColumn("component_id", F.col("doc_id")).withColumn("group_key", F.lit(None).cast("bigint")))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key", "group_key")

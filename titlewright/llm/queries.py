@@ -67,7 +67,7 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key", "group_key")
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
