@@ -35,8 +35,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the least id. Rows that repeat an id and its text become one row. Different texts
     of one id are documents of their own: both stay, but for one of them if they are of one group. Null ids all stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("component_id", F.when(F.col("n_shingles") == 0, F.col("text_key")).alias("alone"))
-    kept = kept.agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select(F.col("first.doc_id").alias("own_doc_id"), F.col("first.text_key").alias("own_text_key"))
+    own = F.struct("doc_id", "text_key")
+    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("group_key", F.when(F.col("group_key").isNull(), own).alias("alone"))
+    kept = kept.agg(F.min(own).alias("first")).select(F.col("first.doc_id").alias("own_doc_id"), F.col("first.text_key").alias("own_text_key"))
     key = F.xxhash64(F.col("text").cast("binary"))
     same = (F.col("doc_id").cast("bigint") == F.col("own_doc_id")) & (key == F.col("own_text_key"))
     single = docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
