@@ -41,8 +41,8 @@ class NearDup:
     bands: int = 22
     rows: int = 3
     alike: float = 0.3
-    member_rows: int = 2048
-    minor_rows: int = 512
+    member_rows: int = 1024
+    minor_rows: int = 256
     block_shingles: int = 4 << 20
 
     @property
