@@ -90,54 +90,98 @@ def test_substrings_edges(spark, corpus):
     assert sum(r["n_removed"] for r in got) == 60 and len(got) == 4
 
 
-def test_index_grows_and_compacts(spark):
+def test_index_grows_and_compacts(spark, tmp_path):
     from titlewright.llm.substrings import Index, add_batch
 
-    index, texts = Index(buckets=3, fan_in=2), [" ".join(f"{k}-{j}" for j in range(40)) for k in range(5)]
+    index, texts = Index(f"file://{tmp_path}/index", fan_in=2), [" ".join(f"{k}-{j}" for j in range(40)) for k in range(5)]
     levels = []
     for n, t in enumerate(texts):
         path = add_batch(spark.createDataFrame([(2 * n, t), (2 * n + 1, texts[0])], "doc_id bigint, text string"), index)
         got = {r["doc_id"]: r["n_removed"] for r in spark.read.parquet(path).collect()}
         assert got == {2 * n: 0, 2 * n + 1: 40}
         levels.append([r.level for r in index.runs])
-    assert levels == [[0], [1], [1, 0], [2], [2, 0]]
-    index.discard(spark)
+        index = Index.load(spark, index.path)  # as another session would
+    assert levels == [[0], [0, 0], [1, 0], [1, 0, 0], [2, 0]] and len(index.archives) == 5 and index.version == 8
+    assert spark.read.parquet(add_batch(spark.createDataFrame([], "doc_id bigint, text string"), index)).collect() == [] and index.version == 8
+    with pytest.raises(ValueError, match="must follow"):
+        add_batch(spark.createDataFrame([(9, "x")], "doc_id bigint, text string"), index)
+    stale = Index.load(spark, index.path)
+    index.save(spark)
+    with pytest.raises(Exception, match="exist"):  # two sessions can't both add
+        stale.save(spark)
+
+
+def test_index_over_sessions_equals_one_batch(spark, corpus, rows, tmp_path):
+    from titlewright.llm.substrings import Index, add_batch
 
+    Index(f"file://{tmp_path}/index", fan_in=2).save(spark)
+    got = {}
+    for n, (lo, hi) in enumerate([(0, 30), (30, 60), (60, 61), (61, 100), (100, 1000)]):
+        index = Index.load(spark, f"file://{tmp_path}/index")
+        path = add_batch(corpus.where(f"doc_id >= {lo} and doc_id < {hi}"), index, True, chunk_bytes=3000, buckets=[2, 8, 1, 4, 8][n])
+        got |= {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in spark.read.parquet(path).collect()}
+    assert got == brute_substrings(rows)
 
-def test_fingerprints_that_share_a_key(monkeypatch):
-    import pyarrow as pa
 
+@pytest.mark.parametrize("batches", [1, 3])
+def test_collisions_remove_no_words(spark, monkeypatch, batches):
+    """Every window has one of a few fingerprints: what goes are repeats only, and a repeat of the first of them goes."""
     from titlewright.llm import substrings as m
     from titlewright.llm.hashing import U
 
-    steps = np.arange(3, dtype=U)
-    c = U(1000) + steps
-    a = U(12345) - steps * U(0xE7037ED1A0B428DB * pow(0x9E3779B97F4A7C15, -1, 1 << 64) & (1 << 64) - 1)
-    assert len(set(m._key(a, c).tolist())) == 1 and len(set(a.tolist())) == 3
-    index, marks = m.Index(buckets=1), lambda out: [r for r in out if r["kind"] == "mark"]
-    one = lambda i, doc: m.pack(a[i : i + 1], c[i : i + 1], np.array([doc]))
-    merged = lambda picks, runs: [r for b in m._merge_rows([pa.RecordBatch.from_pydict({"bucket": [0] * len(picks), "chunk": list(range(len(picks))), "data": pa.array([one(i, d) for d, i in enumerate(picks)], pa.binary())})], index, runs) for r in b.to_pylist()]
-    assert marks(merged([0, 1, 2], [])) == [] and {r["chunk"] for r in marks(merged([0, 1, 0], []))} == {0, 2}
-    monkeypatch.setattr(m, "_read_run", lambda path, bucket: [m.unpack(m.pack(np.sort(a[1:]), c[1:][np.argsort(a[1:])]))])
-    assert {r["chunk"] for r in marks(merged([0, 1, 2], ["run"]))} == {1, 2}
-    text = " ".join(map(str, range(20))).encode()
-    monkeypatch.setattr(m, "fingerprints", lambda h, window, anchor: (np.repeat(a, [1, 20, 0])[: len(h) - 19], np.repeat(c, [1, 20, 0])[: len(h) - 19]))
-    rows = pa.RecordBatch.from_pydict({"chunk": [0, 0, 0], "doc_id": [5, 6, 0], "text": [text, text, b""], "data": pa.array([None, None, one(2, 0)], pa.binary())})
-    assert [g.any() for g in m._apply_marks([rows], index, lambda t, buf, starts, begins, gone: gone)] == [False]
-    chunk = list(m._chunk_rows([rows.slice(0, 2).drop_columns(["data"])], index))
-    assert sorted(m.unpack(chunk[0].column("data")[0].as_py())[1].tolist()) == [1000, 1001]
+    def worthless(h, window, anchor):
+        n = max(0, len(h) - window + 1)
+        return np.full(n, 1 << 40, U), h[:n] % U(2)
+
+    monkeypatch.setattr(m, "fingerprints", worthless)
+    text = [" ".join(f"{k}-{j}" for j in range(30)) for k in range(4)]
+    texts = [text[0], text[1], text[0], text[2], text[1] + " " + text[3], text[3] + "\n" + text[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["kept"].split() for r in m.substring_dedup(df, batches).collect()}
+    want = brute_substrings(list(enumerate(texts)))
+    for i, t in enumerate(texts):
+        assert len(got[i]) >= want[i][0] - want[i][1] and set(got[i]) <= set(t.split())
+    assert all(got[i] == texts[i].split() for i in (0, 1, 3)) and len(got[2]) < 30 and (batches > 1 or got[2] == [])
+
+
+def test_streamed_merge():
+    from titlewright.llm.hashing import U
+    from titlewright.llm.substrings import _key, _order, _streamed_merge
+
+    rng = np.random.default_rng(3)
+    a, c = rng.integers(0, 1 << 30, 4000).astype(U) << U(28), rng.integers(0, 1 << 48, 4000).astype(U)
+    a[:900], c[:900] = a[0], np.arange(900, dtype=U)  # many share a key
+    of, streams = rng.integers(0, 3, 4000), []
+    for k in range(4):  # the last one is empty
+        x, y, z = a[of == k], c[of == k], np.flatnonzero(of == k)
+        order, _ = _order(x, y)
+        streams.append(iter([(x[order[i : i + 100]], y[order[i : i + 100]], z[order[i : i + 100]]) for i in range(0, len(order), 100)]))
+    got = list(_streamed_merge(streams))
+    x, y, z = (np.concatenate(t) for t in zip(*got))
+    order, new = _order(a, c)
+    assert new.all() and (x == a[order]).all() and (y == c[order]).all() and sorted(z.tolist()) == list(range(4000)) and len(got) > 10 and (np.diff(_key(x, y).astype(np.float64)) >= 0).all()
 
 
 def test_pack():
     from titlewright.llm.hashing import U
-    from titlewright.llm.substrings import pack, unpack
+    from titlewright.llm.substrings import _lookup, _order, pack, unpack
 
     a = np.sort(np.repeat(np.random.default_rng(1).integers(0, 1 << 62, 50).astype(U), 17))
     a[:700] = a[0]
     c = np.random.default_rng(2).integers(0, 1 << 48, len(a)).astype(U)
-    for ids in (None, np.arange(len(a)) // 300):
-        x, y, z = unpack(pack(a, c, ids))
-        assert (x == a).all() and (y == c).all() and (z is None if ids is None else (z == ids).all())
+    order, _ = _order(a, c)
+    a, c = a[order], c[order]
+    x, y, z = unpack(pack(a, c, np.arange(len(a)) // 300))
+    assert (x == a).all() and (y == c).all() and (z == np.arange(len(a)) // 300).all()
+    assert (_lookup((a, c), a[::-1], c[::-1]) == np.arange(len(a))[::-1]).all() and (_lookup((a, c), a, c + U(1)) < 0).mean() > 0.99
+
+
+def test_hash_equals_sparks(spark):
+    from titlewright.llm.hashing import spark_xxhash64
+
+    x = [0, 1, -1, 1 << 62, -(1 << 63), 123456789]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x bigint").orderBy("i").select(F.xxhash64("x")).collect()]
+    assert spark_xxhash64(np.array(x, np.int64)).tolist() == got
 
 
 def test_word_hashes_depend_on_words_only():

@@ -19,3 +19,28 @@ def parts(uri: str) -> list[tuple[fs.FileSystem, str]]:
     system, path = open_fs(uri)
     found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
     return [(system, x.path) for x in sorted(found, key=lambda x: x.path) if x.is_file and not x.base_name.startswith(("_", "."))]
+
+
+def _hadoop(spark, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def create_text(spark, uri: str, text: str) -> None:
+    """A new small file, through Hadoop's file system; an existing one is an error."""
+    system, path = _hadoop(spark, uri)
+    out = system.create(path, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark, uri: str) -> str:
+    return spark.read.text(uri, wholetext=True).first()[0]
+
+
+def names(spark, uri: str) -> list[str]:
+    """The names in a folder; none if there is no such folder."""
+    system, path = _hadoop(spark, uri)
+    return [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []

@@ -24,6 +24,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def spark_xxhash64(x: np.ndarray) -> np.ndarray:
+    """What Spark's xxhash64 gives for each bigint."""
+    p1, p2, p3, p4, p5 = (U(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda v, n: (v << U(n)) | (v >> U(64 - n))
+    h = turn(x.view(U) * p2, 31) * p1 ^ (p5 + U(50))
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> U(33))) * p2
+    h = (h ^ (h >> U(29))) * p3
+    return (h ^ (h >> U(32))).view(np.int64)
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64, for i below n."""
     have = _CACHE.get(base)

@@ -1,24 +1,30 @@
 """Exact removal of repeated word sequences with a log-structured index of window fingerprints.
 
 A window is `window` consecutive words of one document. Its fingerprint is a pair: the least hash among the runs of
-`anchor` words in it, which neighbouring windows share and which is therefore stored once for all of them, and a 48-bit
-check value over all of its words. Both must agree, 112 bits together, before a window counts as repeated; tables are searched
-by a 64-bit key of both and then compared on both. Words themselves aren't compared beyond their 64-bit hashes.
-
-The index is a list of runs in the shared folder. A run is immutable: for each bucket (by the anchor) the sorted,
-distinct fingerprints that one batch brought. A new batch is fingerprinted chunk by chunk, dealt out by bucket and
-merge-joined there with each run; what no run holds becomes a run of its own. Runs of a level are compacted by merging
-as soon as there are `fan_in` of them, so a batch meets a logarithmic number of runs.
-
-Chunks are groups of documents by a hash of their id. Each sends a fingerprint at most once to its bucket, with the
-least document that has it, so a passage of a third of all documents brings a bucket no more than a row for each chunk.
+`anchor` words in it (mixed once more, so that it is even), which neighbouring windows share and which is therefore stored
+once for all of them, and a 48-bit check value over all of its words. A fingerprint makes a window a candidate; its words are
+compared with those of the earlier window before it counts as repeated, so no collision removes a word.
+
+The index is a folder. A manifest, a new file for each change, lists its runs and its archives. A run is immutable: the
+distinct fingerprints that a batch brought, with the document that has each first, in order. An archive holds a batch's
+texts, in chunks by a hash of the document's id. A new batch is archived and fingerprinted chunk by chunk; its fingerprints
+are dealt out in ranges, sorted, and merge-joined with the same range of each run, piece by piece. What no run holds becomes
+a run of its own. Of the documents that have a candidate first, only the wanted passages are read out of the archives and sent
+to the chunks that repeat them, where the words are compared. Before a batch is added, runs of a level are compacted as
+soon as there are `fan_in` of them, in a streamed merge, so a batch meets a logarithmic number of runs.
+
+Each chunk sends a fingerprint at most once, with its least document, so a passage of a third of all documents
+brings a range no more than a row for each chunk.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
-from dataclasses import dataclass, field
+import uuid
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +33,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import groups, longs, map_arrow
-from titlewright.llm.files import parts
-from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, mix, words
+from titlewright.llm.files import create_text, names, parts, read_text
+from titlewright.llm.hashing import SEGMENT, U, batches, grams, joined, mix, spark_xxhash64, words
 from titlewright.session import drop_path, release_shuffles, scratch, settings
 
 _GRAM = 0xD6E8FEB86659FD93
 _WINDOW = 0xA0761D6478BD642F
 _PIECE = 1 << 16
+_FOLDERS = 1024
+_LEAST = -(1 << 63)
 #: Blobs travel in small batches, so that what Spark holds for Arrow outside its heap stays small.
 _SMALL = {"spark__sql__execution__arrow__maxBytesPerBatch": str(4 << 20)}
-_MARK_SCHEMA = "kind string, bucket int, chunk bigint, data binary"
+_MERGED = "kind string, folder int, bucket int, seq bigint, archive int, chunk bigint, data binary"
+_MERGED_ARROW = pa.schema([("kind", pa.string()), ("folder", pa.int32()), ("bucket", pa.int32()), ("seq", pa.int64()), ("archive", pa.int32()), ("chunk", pa.int64()), ("data", pa.binary())])
 
 
 def _least(x: np.ndarray, n: int) -> np.ndarray:
@@ -52,33 +61,36 @@ def fingerprints(h: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, n
     """Anchor and check value of the window at each word, for one document's (or buffer's) word hashes."""
     if len(h) < window:
         return np.empty(0, U), np.empty(0, U)
-    return _least(grams(h, anchor, _GRAM), window - anchor + 1), grams(h, window, _WINDOW) & U((1 << 48) - 1)
+    return mix(_least(grams(h, anchor, _GRAM), window - anchor + 1)), grams(h, window, _WINDOW) & U((1 << 48) - 1)
 
 
 def _key(a: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return a * U(0x9E3779B97F4A7C15) + c * U(0xE7037ED1A0B428DB)
+    """What fingerprints are sorted by first: 40 bits of the anchor and 24 of the check value. Ties go by anchor and check value."""
+    return (a & ~U((1 << 24) - 1)) | (c >> U(24))
 
 
-def _grouped(key: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of fingerprints by key and anchor, earlier ones first, and where in it each distinct one begins. A key and an
-    anchor have one check value, since its factor is odd."""
+def _order(a: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of fingerprints, of equal ones as they come, and where in it each distinct one begins."""
+    key = _key(a, c)
     order = np.argsort(key, kind="stable")
     new = np.ones(len(key), bool)
-    same = key[order][1:] == key[order][:-1]
-    if (same & (a[order][1:] != a[order][:-1])).any():  # fingerprints that share a key
-        order = np.lexsort((a, key))
-        same = (key[order][1:] == key[order][:-1]) & (a[order][1:] == a[order][:-1])
-    new[1:] = ~same
+    x, y, k = a[order], c[order], key[order]
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    if (new[1:] & (k[1:] == k[:-1])).any():  # different ones share a key
+        order = np.lexsort((c, a, key))
+        x, y = a[order], c[order]
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     return order, new
 
 
-def _lookup(keys: np.ndarray, anchors: np.ndarray, key: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """Where among fingerprints in order of their keys each of the others is, by key and anchor; -1 if it isn't there."""
+def _lookup(have: tuple[np.ndarray, np.ndarray], a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Where among fingerprints in order each of the others is; -1 if it isn't there."""
+    keys, key = _key(*have), _key(a, c)
     at, out = np.searchsorted(keys, key), np.full(len(key), -1)
     left = np.flatnonzero(at < len(keys))
     while len(left):
         left = left[keys[at[left]] == key[left]]
-        hit = anchors[at[left]] == a[left]
+        hit = (have[0][at[left]] == a[left]) & (have[1][at[left]] == c[left])
         out[left[hit]] = at[left[hit]]
         left = left[~hit]
         at[left] += 1
@@ -86,206 +98,350 @@ def _lookup(keys: np.ndarray, anchors: np.ndarray, key: np.ndarray, a: np.ndarra
     return out
 
 
-def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray | None = None) -> bytes:
-    """Fingerprints that are sorted by anchor (and id), each anchor once for its run of check values."""
+def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray) -> bytes:
+    """Fingerprints in order with a document each; neighbours that share anchor and document store these once."""
     new = np.ones(len(a), bool)
-    new[1:] = a[1:] != a[:-1]
-    if ids is not None:
-        new[1:] |= ids[1:] != ids[:-1]
+    new[1:] = (a[1:] != a[:-1]) | (ids[1:] != ids[:-1])
     at = np.flatnonzero(new)
-    n = np.diff(np.append(at, len(a))).astype(np.uint32)
+    n = np.diff(np.append(at, len(a)))
     if len(n) and n.max() > 255:  # cut long runs, so that a byte holds each length
-        extra = [np.arange(s, s + k, 255) for s, k in zip(at.tolist(), n.tolist(), strict=True)]
-        at = np.concatenate(extra)
+        at = np.concatenate([np.arange(s, s + k, 255) for s, k in zip(at.tolist(), n.tolist(), strict=True)])
         n = np.diff(np.append(at, len(a)))
-    own = b"" if ids is None else ids[at].tobytes()
-    return b"".join((np.array([len(at), len(a), ids is not None], np.int64).tobytes(), a[at].tobytes(), own, n.astype(np.uint8).tobytes(), (c >> U(16)).astype(np.uint32).tobytes(), (c & U(0xFFFF)).astype(np.uint16).tobytes()))
-
-
-def _run_rows(bucket: int, a: np.ndarray, c: np.ndarray):
-    """A bucket's share of a run: its fingerprints in order, in rows of bounded size."""
-    order = np.argsort(a, kind="stable")
-    for lo in range(0, len(order), _PIECE):
-        at = order[lo : lo + _PIECE]
-        yield pa.RecordBatch.from_pydict({"kind": ["run"], "bucket": pa.array([bucket], pa.int32()), "chunk": pa.array([None], pa.int64()), "data": pa.array([pack(a[at], c[at])], pa.binary())})
-
-
-def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    runs, total, has = np.frombuffer(data, np.int64, 3)
-    at = 24
-    a = np.frombuffer(data, U, runs, at)
-    at += 8 * runs
-    ids = None
-    if has:
-        ids = np.frombuffer(data, np.int64, runs, at)
-        at += 8 * runs
+    return b"".join((np.array([len(at), len(a)], np.int64).tobytes(), a[at].tobytes(), ids[at].tobytes(), n.astype(np.uint8).tobytes(), (c >> U(16)).astype(np.uint32).tobytes(), (c & U(0xFFFF)).astype(np.uint16).tobytes()))
+
+
+def unpack(data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    runs, total = np.frombuffer(data, np.int64, 2)
+    a, ids = np.frombuffer(data, U, runs, 16), np.frombuffer(data, np.int64, runs, 16 + 8 * runs)
+    at = 16 + 16 * runs
     n = np.frombuffer(data, np.uint8, runs, at)
     at += runs
-    hi = np.frombuffer(data, np.uint32, total, at)
-    lo = np.frombuffer(data, np.uint16, total, at + 4 * total)
-    return np.repeat(a, n), (hi.astype(U) << U(16)) | lo, None if ids is None else np.repeat(ids, n)
+    hi, lo = np.frombuffer(data, np.uint32, total, at), np.frombuffer(data, np.uint16, total, at + 4 * total)
+    return np.repeat(a, n), (hi.astype(U) << U(16)) | lo, np.repeat(ids, n)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Run:
+    """buckets: ranges of the anchors, a power of two; size: bytes of the texts that it stands for."""
+
     path: str
-    level: int = 0
+    level: int
+    buckets: int
+    size: int
+
+
+@dataclass(frozen=True)
+class Archive:
+    """chunks: by the hash of the id; last: the largest id."""
+
+    path: str
+    chunks: int
+    last: int
 
 
 @dataclass
 class Index:
-    """The runs of an index, and how it deals fingerprints out. All batches of an index keep its settings."""
+    """What the newest manifest says. All batches of an index keep its window and anchor."""
 
-    buckets: int = 64
+    path: str
     window: int = 20
     anchor: int = 5
     fan_in: int = 2
+    version: int = 0
     runs: list[Run] = field(default_factory=list)
+    archives: list[Archive] = field(default_factory=list)
 
-    def bucket(self, a: np.ndarray) -> np.ndarray:
-        """Anchors are least hashes and so lie near zero; mixed once more they are even."""
-        return ((mix(a) >> U(32)) * U(self.buckets) >> U(32)).astype(np.int64)
+    def save(self, spark: SparkSession) -> None:
+        """A new manifest. Two sessions can't both write the same version: the second one fails."""
+        create_text(spark, f"{self.path}/manifest-{self.version + 1:09d}.json", json.dumps(asdict(self) | {"version": self.version + 1}))
+        self.version += 1
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Index:
+        """The index of a path, also one of an earlier session; wherever the folder has been moved to."""
+        found = sorted(n for n in names(spark, path) if n.startswith("manifest-"))
+        if not found:
+            raise FileNotFoundError(f"no manifest in {path}")
+        got = json.loads(read_text(spark, f"{path}/{found[-1]}"))
+        return cls(**(got | {"path": path, "runs": [Run(**r) for r in got["runs"]], "archives": [Archive(**a) for a in got["archives"]]}))
 
     def discard(self, spark: SparkSession) -> None:
-        for run in self.runs:
-            drop_path(spark, run.path)
-        self.runs.clear()
+        drop_path(spark, self.path)
+
+
+def _bucket(a: np.ndarray, buckets: int) -> np.ndarray:
+    return ((a >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+
+
+def _folder(bucket: int, buckets: int) -> int:
+    return bucket * min(buckets, _FOLDERS) // buckets
 
 
-def _document_windows(texts: list, ids: np.ndarray, index: Index):
-    """Anchor, check value, id and start of each window of the texts, buffer by buffer."""
+def _document_windows(texts: list, ids: np.ndarray, window: int, anchor: int):
+    """Of each buffer of texts: which they are, the buffer, starts and ends of its words, where texts begin, and of each window
+    anchor, check value, the text that it is of and its first word."""
     for lo, hi in batches(texts, SEGMENT):
         data, begins = joined(texts[lo:hi])
-        starts, _, h = words(data)
-        a, c = fingerprints(h, index.window, index.anchor)
+        starts, ends, h = words(data)
+        a, c = fingerprints(h, window, anchor)
         owner = np.searchsorted(begins, starts, "right") - 1
-        whole = owner[: len(a)] == owner[index.window - 1 :] if len(a) else np.empty(0, bool)
-        own = owner[: len(a)][whole]
-        yield lo, hi, data, starts, begins, a[whole], c[whole], own, np.flatnonzero(whole)
+        whole = owner[: len(a)] == owner[window - 1 :] if len(a) else np.empty(0, bool)
+        yield lo, hi, data, starts, ends, begins, a[whole], c[whole], owner[: len(a)][whole], np.flatnonzero(whole)
 
 
-def _in_order(t: pa.Table) -> np.ndarray:
-    """The order of rows by doc_id; rows that share it in the order of their texts."""
-    ids = t.column("doc_id").to_numpy()
+def _read_chunk(path: str, chunk: int) -> pa.Table:
+    """doc_id, text and ord of a chunk's rows, in order of the ids, null first; rows that share one in the order of their texts."""
+    got = []
+    for system, file in parts(f"{path}/chunk={chunk}"):
+        with system.open_input_file(file) as f:
+            got.append(pq.ParquetFile(f).read(["doc_id", "text"]))
+    if not got:
+        return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.binary()), "ord": pa.array([], pa.int64())})
+    t = pa.concat_tables(got)
+    ids = t.column("doc_id").fill_null(_LEAST).to_numpy()
     order = np.argsort(ids, kind="stable")
     if len(order) > 1 and (ids[order][1:] == ids[order][:-1]).any():
         text = t.column("text")
         order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], text[i].as_py() or b"")), np.int64)
-    return order
+    return t.append_column("ord", pa.array(ids)).take(pa.array(order))
 
 
-def _chunk_rows(it, index: Index):
+def _chunk_rows(it, path: str, buckets: int, window: int, anchor: int):
     """For each chunk and bucket a blob of its distinct fingerprints with the least document that has each."""
-    for t in groups(it, ["chunk"]):
-        chunk = t.column("chunk")[0].as_py()
-        t = t.take(pa.array(_in_order(t)))
-        ids, texts = t.column("doc_id").to_numpy(), t.column("text").to_pylist()
-        found = [(a, c, ids[lo + own]) for lo, _, _, _, _, a, c, own, _ in _document_windows(texts, ids, index)]
-        del texts, t
-        if not found:
-            continue
-        a, c, doc = (np.concatenate(x) for x in zip(*found, strict=True))
-        del found
-        order, new = _grouped(_key(a, c), a)
-        first = order[new]  # documents come in order, so the first is the least
-        a, c, doc = a[first], c[first], doc[first]
-        bucket = index.bucket(a)
-        order = np.lexsort((doc, a, bucket))
-        a, c, doc, bucket = a[order], c[order], doc[order], bucket[order]
-        cut = np.searchsorted(bucket, np.arange(index.buckets + 1))
-        for b in range(index.buckets):
-            if cut[b] < cut[b + 1]:
+    for batch in it:
+        for chunk in batch.column(0).to_pylist():
+            t = _read_chunk(path, chunk)
+            ids, texts = t.column("ord").to_numpy(), t.column("text").to_pylist()
+            found = [(x[6], x[7], ids[x[0] + x[8]]) for x in _document_windows(texts, ids, window, anchor)]
+            del texts, t
+            if not found:
+                continue
+            a, c, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+            del found
+            order, new = _order(a, c)
+            first = order[new]  # documents come in order, so the first is the least
+            a, c, doc = a[first], c[first], doc[first]
+            cut = np.searchsorted(_bucket(a, buckets), np.arange(buckets + 1))
+            for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
                 s = slice(cut[b], cut[b + 1])
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "chunk": [chunk], "data": pa.array([pack(a[s], c[s], doc[s])], pa.binary())})
 
 
-def _read_run(path: str, bucket: int):
-    """The blobs of one bucket of a run."""
-    for system, file in parts(f"{path}/kind=run/bucket={bucket}"):
-        with system.open_input_file(file) as f:
-            for batch in pq.ParquetFile(f).iter_batches(batch_size=1, columns=["data"]):
-                yield from (unpack(x.as_buffer()) for x in batch.column(0))
-
-
-def _merge_rows(it, index: Index, runs: list[str]):
-    """For each bucket: a merge join of the batch's fingerprints with each run. Gives what is new as a run's blob, and to
-    each chunk those of its fingerprints that occur more than once so far, with the first document (the least integer for
-    one of an earlier batch)."""
+def _read_run(run: Run, bucket: int, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The fingerprints of a run within bucket `bucket` of `buckets`, in order, a piece at a time."""
+    span = 1 << 64
+    lo, hi = bucket * span // buckets, (bucket + 1) * span // buckets - 1
+    for own in range(bucket * run.buckets // buckets, max(bucket * run.buckets // buckets + 1, (bucket + 1) * run.buckets // buckets)):
+        pieces = []
+        for system, file in parts(f"{run.path}/kind=run/folder={_folder(own, run.buckets)}"):
+            with system.open_input_file(file) as f:
+                p = pq.ParquetFile(f)
+                at = p.schema_arrow.get_field_index("bucket")
+                for g in range(p.metadata.num_row_groups):
+                    s = p.metadata.row_group(g).column(at).statistics
+                    if s is None or not s.has_min_max or s.min <= own <= s.max:
+                        t = p.read_row_group(g, ["bucket", "seq"])
+                        pieces += [(seq, system, file, g, i) for i, (b, seq) in enumerate(zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)) if b == own]
+        held = None
+        for _, system, file, g, i in sorted(pieces, key=lambda x: x[0]):
+            if held is None or held[0] != (file, g):
+                with system.open_input_file(file) as f:
+                    held = (file, g), pq.ParquetFile(f).read_row_group(g, ["data"]).column(0)
+            a, c, ids = unpack(held[1][i].as_buffer())
+            if run.buckets < buckets:
+                inside = (a >= U(lo)) & (a <= U(hi))
+                a, c, ids = a[inside], c[inside], ids[inside]
+            if len(a):
+                yield a, c, ids
+
+
+def _merged_row(kind: str, bucket: int, buckets: int, seq: int, archive: int | None, chunk: int | None, data: bytes) -> pa.RecordBatch:
+    values = (kind, _folder(bucket, buckets) if kind == "run" else 0, bucket, seq, archive, chunk, data)
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _MERGED_ARROW, strict=True)], schema=_MERGED_ARROW)
+
+
+def _run_rows(bucket: int, buckets: int, pieces) -> Iterator[pa.RecordBatch]:
+    """A bucket's share of a run, from pieces in order, in rows of bounded size."""
+    seq = 0
+    for a, c, ids in pieces:
+        for lo in range(0, len(a), _PIECE):
+            s = slice(lo, lo + _PIECE)
+            yield _merged_row("run", bucket, buckets, seq, None, None, pack(a[s], c[s], ids[s]))
+            seq += 1
+
+
+def _by_place(kind: str, bucket: int, buckets: int, archive: np.ndarray, chunk: np.ndarray, a: np.ndarray, c: np.ndarray, ids: np.ndarray):
+    """A row for each place (archive and chunk), with its fingerprints in order."""
+    order = np.lexsort((chunk, archive))  # stable
+    archive, chunk, a, c, ids = archive[order], chunk[order], a[order], c[order], ids[order]
+    edge = np.flatnonzero((archive[1:] != archive[:-1]) | (chunk[1:] != chunk[:-1])) + 1 if len(a) else []
+    cut = [0, *np.asarray(edge, np.int64).tolist(), len(a)] if len(a) else [0]
+    for lo, hi in zip(cut, cut[1:], strict=False):
+        yield _merged_row(kind, bucket, buckets, 0, int(archive[lo]), int(chunk[lo]), pack(a[lo:hi], c[lo:hi], ids[lo:hi]))
+
+
+def _merge_rows(it, buckets: int, runs: list[Run], archives: list[Archive]):
+    """For each bucket: a merge join of the batch's fingerprints with each run, both in order. Gives what is new as rows of a run;
+    for each chunk those of its fingerprints that another chunk or an earlier batch has first, with the document that has
+    them (marks); and for the chunk of that document which of them it has to show (wants)."""
+    lasts = np.array([a.last for a in archives])
     for t in groups(it, ["bucket"]):
         bucket = t.column("bucket")[0].as_py()
-        got = [unpack(x) for x in t.column("data").to_pylist()]
+        got = [unpack(x.as_buffer()) for x in t.column("data")]
         chunk = np.repeat(t.column("chunk").to_numpy(), [len(x[0]) for x in got])
         a, c, doc = (np.concatenate(x) for x in zip(*got, strict=True))
         del got, t
-        key = _key(a, c)
         order = np.argsort(doc, kind="stable")
-        by_key, new = _grouped(key[order], a[order])
-        order = order[by_key]
-        a, c, doc, chunk, key = a[order], c[order], doc[order], chunk[order], key[order]
+        by, new = _order(a[order], c[order])
+        order = order[by]
+        a, c, doc, chunk = a[order], c[order], doc[order], chunk[order]
         at = np.flatnonzero(new)
         size = np.diff(np.append(at, len(a)))
-        first = doc[at]
-        ua, uc, uk = a[at], c[at], key[at]
+        ua, uc, first = a[at], c[at], doc[at].copy()
+        uk = _key(ua, uc)
         old = np.zeros(len(at), bool)
-        for path in runs:
-            for ra, rc, _ in _read_run(path, bucket):
-                rk = _key(ra, rc)
-                order = np.argsort(rk)
-                old |= _lookup(rk[order], ra[order], uk, ua) >= 0
-        del a, c, key
+        for run in runs:
+            for ra, rc, ids in _read_run(run, bucket, buckets):
+                ends = _key(ra[[0, -1]], rc[[0, -1]])
+                lo, hi = np.searchsorted(uk, ends[0], "left"), np.searchsorted(uk, ends[1], "right")
+                hit = _lookup((ra, rc), ua[lo:hi], uc[lo:hi])
+                seen = np.flatnonzero(hit >= 0)
+                old[lo + seen] = True
+                first[lo + seen] = ids[hit[seen]]
         if (~old).any():
-            yield from _run_rows(bucket, ua[~old], uc[~old])
-        first = np.where(old, np.iinfo(np.int64).min, first)
-        tell = np.repeat(old | (size > 1), size)
-        whose = chunk[tell]
-        which = np.repeat(np.arange(len(at)), size)[tell]
-        order = np.argsort(whose, kind="stable")
-        whose, which = whose[order], which[order]
-        cut = [0, *(np.flatnonzero(whose[1:] != whose[:-1]) + 1).tolist(), len(whose)] if len(whose) else [0]
-        for lo, hi in zip(cut, cut[1:], strict=False):
-            w = which[lo:hi]
-            w = w[np.lexsort((first[w], ua[w]))]
-            yield pa.RecordBatch.from_pydict({"kind": ["mark"], "bucket": pa.array([bucket], pa.int32()), "chunk": [int(whose[lo])], "data": pa.array([pack(ua[w], uc[w], first[w])], pa.binary())})
-
-
-def _apply_marks(it, index: Index, make):
-    """For each chunk: which words are covered by a window that is not the first of its kind; make(...) gives rows."""
+            yield from _run_rows(bucket, buckets, [(ua[~old], uc[~old], first[~old])])
+        of = np.repeat(np.arange(len(at)), size)
+        leads = new & ~old[of]  # the chunk of the first document itself
+        tell = (old | (size > 1))[of] & ~leads
+        yield from _by_place("mark", bucket, buckets, np.full(int(tell.sum()), len(archives) - 1), chunk[tell], a[tell], c[tell], first[of[tell]])
+        wanted = old | (size > 1)
+        where = np.where(old, np.searchsorted(lasts, first), len(archives) - 1)
+        place = chunk[at].copy()
+        for k, archive in enumerate(archives):
+            mine = old & (where == k)
+            place[mine] = spark_xxhash64(first[mine]) % archive.chunks
+        yield from _by_place("want", bucket, buckets, where[wanted], place[wanted], ua[wanted], uc[wanted], first[wanted])
+
+
+def _sorted_blobs(blobs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a, c, ids = (np.concatenate(x) for x in zip(*(unpack(b) for b in blobs), strict=True))
+    order, _ = _order(a, c)
+    return a[order], c[order], ids[order]
+
+
+def _excerpt_rows(it, archives: list[Archive], window: int, anchor: int):
+    """The wanted passages of an archive's documents, each as it stands there: doc_id (order), excerpt."""
+    for t in groups(it, ["archive", "chunk"]):
+        archive, chunk = archives[t.column("archive")[0].as_py()], t.column("chunk")[0].as_py()
+        a, c, ids = _sorted_blobs([x.as_buffer() for x in t.column("data")])
+        docs = _read_chunk(archive.path, chunk)
+        docs = docs.filter(pa.array(np.isin(docs.column("ord").to_numpy(), ids)))
+        own, texts = docs.column("ord").to_numpy(), docs.column("text").to_pylist()
+        for lo, _, data, starts, ends, _, wa, wc, who, at in _document_windows(texts, own, window, anchor):
+            hit = _lookup((a, c), wa, wc)
+            take = (hit >= 0) & (ids[hit] == own[lo + who])
+            at, who = at[take], who[take]
+            if not len(at):
+                continue
+            cut = np.flatnonzero((at[1:] > at[:-1] + 1) | (who[1:] != who[:-1])) + 1
+            begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(at)])) - 1
+            pieces = [data[s:e] for s, e in zip(starts[at[begin]].tolist(), ends[at[end] + window - 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([longs(own[lo + who[begin]]), pa.array(pieces, pa.binary())], ["first", "excerpt"])
+
+
+def _mark_docs(it):
+    for batch in it:
+        for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
+            ids = np.unique(unpack(data.as_buffer())[2])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(ids), pa.int64()), longs(ids)], ["chunk", "first"])
+
+
+def _same_words(x: bytes, y: bytes) -> bool:
+    return x == y or x.split() == y.split()
+
+
+def _verified(mine: list, theirs: list, i: np.ndarray, j: np.ndarray, window: int) -> np.ndarray:
+    """Whether window i of mine and window j of theirs have the same words. Windows are counted through all buffers; runs of
+    neighbours on both sides are compared at once, and singly if they differ."""
+    out = np.zeros(len(i), bool)
+    if not len(i):
+        return out
+    edges = [np.cumsum([0, *(len(x[6]) for x in side)]) for side in (mine, theirs)]
+
+    def place(side: int, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        of = np.searchsorted(edges[side], windows, "right") - 1
+        at = np.empty(len(windows), np.int64)
+        for b in np.unique(of):
+            at[of == b] = (mine, theirs)[side][b][9][windows[of == b] - edges[side][b]]
+        return of, at
+
+    (bi, wi), (bj, wj) = place(0, i), place(1, j)
+    cut = np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1]) | (wi[1:] != wi[:-1] + 1) | (wj[1:] != wj[:-1] + 1)) + 1
+
+    def text(of: tuple, first: int, last: int) -> bytes:
+        return of[2][of[3][first] : of[4][last + window - 1]]
+
+    for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(i)], strict=True):
+        p, q = mine[bi[lo]], theirs[bj[lo]]
+        if _same_words(text(p, wi[lo], wi[hi - 1]), text(q, wj[lo], wj[hi - 1])):
+            out[lo:hi] = True
+        else:
+            out[lo:hi] = [_same_words(text(p, wi[k], wi[k]), text(q, wj[k], wj[k])) for k in range(lo, hi)]
+    return out
+
+
+def _repeated(found: list, ids: np.ndarray, marks: list, excerpts: list, window: int, anchor: int) -> np.ndarray:
+    """For each window of a chunk, through its buffers, whether an earlier one has the same words: one of the chunk, or the passage
+    that the first document shows. marks: blobs. excerpts: (document, bytes)."""
+    a, c = np.concatenate([x[6] for x in found]), np.concatenate([x[7] for x in found])
+    order, new = _order(a, c)
+    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
+    lead = np.empty(len(a), np.int64)
+    lead[order] = first  # the chunk's first window of that fingerprint
+    again = np.flatnonzero(lead != np.arange(len(a)))
+    out = np.zeros(len(a), bool)
+    out[again] = _verified(found, found, again, lead[again], window)
+    for i in again[~out[again]].tolist():  # a collision: any earlier one of the fingerprint will do
+        before = np.flatnonzero((a[:i] == a[i]) & (c[:i] == c[i]))
+        out[i] = _verified(found, found, np.full(len(before), i), before, window).any()
+    if marks and excerpts:
+        ma, mc, mid = _sorted_blobs(marks)
+        shown = list(_document_windows([x for _, x in excerpts], np.array([d for d, _ in excerpts], np.int64), window, anchor))
+        ea, ec = np.concatenate([x[6] for x in shown]), np.concatenate([x[7] for x in shown])
+        eid = np.concatenate([np.array([excerpts[k][0] for k in (x[0] + x[8]).tolist()], np.int64) for x in shown])
+        by, one = _order(ea, ec)
+        by = by[one]
+        leads = np.flatnonzero(lead == np.arange(len(a)))
+        hit = _lookup((ma, mc), a[leads], c[leads])
+        leads, hit = leads[hit >= 0], hit[hit >= 0]
+        own = np.concatenate([ids[x[0] + x[8]] for x in found])[leads]
+        at = _lookup((ea[by], ec[by]), a[leads], c[leads])
+        ok = (at >= 0) & (mid[hit] != own)
+        ok[ok] = eid[by[at[ok]]] == mid[hit[ok]]
+        out[leads[ok]] = _verified(found, shown, leads[ok], by[at[ok]], window)
+    return out
+
+
+def _apply_rows(it, archive: Archive, window: int, anchor: int, make):
+    """For each chunk: which words are covered by a repeated window; make(...) gives rows."""
     for t in groups(it, ["chunk"]):
-        data = t.column("data").to_pylist()
-        text = [i for i, x in enumerate(data) if x is None]
-        marks = [unpack(x) for x in data if x is not None]
-        del data
-        t = t.take(pa.array(text, pa.int64()))
-        if not t.num_rows:
+        chunk = t.column("chunk")[0].as_py()
+        marks = [x.as_buffer() for x in t.column("data") if x.is_valid]
+        excerpts = [(d, x) for d, x in zip(t.column("first").to_pylist(), t.column("excerpt").to_pylist(), strict=True) if x is not None]
+        docs = _read_chunk(archive.path, chunk)
+        if not docs.num_rows:
             continue
-        order = _in_order(t)
-        t = t.take(pa.array(order))
-        ids, texts = t.column("doc_id").to_numpy(), t.column("text").to_pylist()
-        if marks:
-            ma, mc, first = (np.concatenate(x) for x in zip(*marks, strict=True))
-            mk = _key(ma, mc)
-            order = np.argsort(mk)
-            mk, ma, first = mk[order], ma[order], first[order]
-        found = list(_document_windows(texts, ids, index))
-        keys = [_key(x[5], x[6]) for x in found]
-        order, new = _grouped(np.concatenate(keys), np.concatenate([x[5] for x in found]))
-        first_at = order[new]  # rows are in order: the first of the chunk
-        repeated = np.ones(sum(map(len, keys)), bool)
-        repeated[first_at] = False
+        ids, texts = docs.column("ord").to_numpy(), docs.column("text").to_pylist()
+        found = list(_document_windows(texts, ids, window, anchor))
+        again = _repeated(found, ids, marks, excerpts, window, anchor)
         done = 0
-        for (lo, hi, buf, starts, begins, a, _, own, at), key in zip(found, keys, strict=True):
+        for lo, hi, buf, starts, _, begins, a, _, _, at in found:
             covered = np.zeros(len(starts) + 1, np.int32)
-            if len(key):
-                again = repeated[done : done + len(key)]
-                done += len(key)
-                if marks:
-                    near = _lookup(mk, ma, key, a)
-                    again = again | (near >= 0) & (first[near] != ids[lo + own])
-                w = at[again]
-                np.add.at(covered, w, 1)
-                np.add.at(covered, w + index.window, -1)
-            gone = np.cumsum(covered[:-1]) > 0
-            yield make(t.slice(lo, hi - lo), buf, starts, begins, gone)
+            w = at[again[done : done + len(a)]]
+            done += len(a)
+            np.add.at(covered, w, 1)
+            np.add.at(covered, w + window, -1)
+            yield make(docs.slice(lo, hi - lo), buf, starts, begins, np.cumsum(covered[:-1]) > 0)
 
 
 def _rest(buf: bytes, starts: np.ndarray, begins: np.ndarray, gone: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -301,89 +457,143 @@ def _rest(buf: bytes, starts: np.ndarray, begins: np.ndarray, gone: np.ndarray)
 
 def _text_rows(t, buf, starts, begins, gone):
     kept, n, r = _rest(buf, starts, begins, gone)
-    ids = t.column("real_id").combine_chunks()
+    ids = t.column("doc_id").combine_chunks()
     return pa.RecordBatch.from_arrays([ids, longs(n), longs(r), pa.array([k.decode("utf-8", "replace") for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
 def _digest_rows(t, buf, starts, begins, gone):
     kept, n, r = _rest(buf, starts, begins, gone)
-    ids = t.column("real_id").combine_chunks()
+    ids = t.column("doc_id").combine_chunks()
     return pa.RecordBatch.from_arrays([ids, longs(n), longs(r), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _write_run(rows: DataFrame, path: str) -> None:
+def _write_merged(rows: DataFrame, path: str) -> None:
     """Fingerprints don't compress, nor do they repeat."""
-    writer = rows.write.partitionBy("kind", "bucket").option("compression", "uncompressed")
+    writer = rows.write.partitionBy("kind", "folder").option("compression", "uncompressed")
     writer.option("parquet.enable.dictionary", "false").option("parquet.block.size", str(8 << 20)).parquet(path)
 
 
-def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes: int = 2 << 20) -> str:
-    """Remove from a batch every word covered by a window that occurs earlier, in the batch or in the index, and add the
-    batch's windows to the index. Documents of a batch must follow those of earlier batches. Gives the path of a table
-    doc_id, n_words, n_removed and kept (the words left, joined by a space) or, with digest, kept_sha256.
+def _power_of_two(x: float, least: int) -> int:
+    return max(least, 1 << max(0, math.ceil(math.log2(max(1.0, x)))))
 
-    Within a batch documents count by doc_id. Null texts have no words. A null doc_id counts as the least. Rows that share
-    an id follow each other in the order of their texts. Other columns are ignored. An empty batch adds an empty run.
+
+def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes: int | None = None, buckets: int | None = None) -> str:
+    """Remove from a batch every word covered by a window whose words occur earlier, in the batch or in the index, and add the
+    batch to the index. Gives the path of a table doc_id, n_words, n_removed and kept (the words left, joined by a space) or,
+    with digest, kept_sha256.
+
+    Within a batch documents count by doc_id; those of a batch must follow those of earlier batches, or it fails. Null texts
+    have no words. A null doc_id counts as the least bigint, so there may be some in the first batch only. Rows that share an id
+    follow each other in the order of their texts. Very long texts are hashed in segments; a document is one worker's. Other
+    columns are ignored, whatever their names. An empty batch changes nothing. Should three windows of two different word
+    sequences share a fingerprint, the last of them can stay although it repeats; nothing goes that doesn't.
+
+    chunk_bytes: of text in a chunk (2 to 16 MB by the size of the batch); buckets: ranges of fingerprints, a power of two.
     """
     spark = docs.sparkSession
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    chunks = max(1, math.ceil(total / chunk_bytes))
-    least = -(1 << 62)
-    src = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(least)).alias("doc_id"), F.col("doc_id").cast("bigint").alias("real_id"), F.col("text").cast("binary").alias("text"))
-    src = src.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("bigint"))
-    prints = map_arrow(src.select("chunk", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk"), lambda it: _chunk_rows(it, index), "bucket int, chunk bigint, data binary")
-    stage, runs = scratch(spark, "run"), [r.path for r in index.runs]
-    merged = map_arrow(prints.repartition("bucket").sortWithinPartitions("bucket"), lambda it: _merge_rows(it, index, runs), _MARK_SCHEMA)
+    own = F.col("doc_id").cast("bigint")
+    total, first, last = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.min(F.coalesce(own, F.lit(_LEAST))), F.max(F.coalesce(own, F.lit(_LEAST)))).first()
+    kept = "kept_sha256" if digest else "kept"
+    result, out = f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string", scratch(spark, "kept")
+    if last is None:
+        spark.createDataFrame([], result).write.parquet(out)
+        return out
+    if index.archives and first <= index.archives[-1].last:
+        raise ValueError(f"ids of a batch must follow {index.archives[-1].last}, the last one of the index")
+    compact(spark, index)
+    chunks = max(1, math.ceil(total / (chunk_bytes or min(16 << 20, max(2 << 20, total >> 10)))))
+    buckets = buckets or _power_of_two(total / 6 / min(4e6, max(5e5, total / 6 / 4096)), 8)
+    window, anchor = index.window, index.anchor
+
+    texts = f"{index.path}/archive-{uuid.uuid4().hex}"
+    src = docs.select(own.alias("doc_id"), F.col("text").cast("binary").alias("text"), F.pmod(F.xxhash64(F.coalesce(own, F.lit(_LEAST))), F.lit(chunks)).cast("bigint").alias("chunk"))
+    src.repartition("chunk").sortWithinPartitions("chunk").write.partitionBy("chunk").option("compression", "zstd").parquet(texts)
+    release_shuffles(spark)
+    archive = Archive(texts, chunks, last)
+    archives, runs = [*index.archives, archive], list(index.runs)
+    tasks = min(chunks, 1 << 14)
+
+    stage = f"{index.path}/run-{uuid.uuid4().hex}"
+    prints = map_arrow(spark.range(0, chunks, 1, tasks), lambda it: _chunk_rows(it, texts, buckets, window, anchor), "bucket int, chunk bigint, data binary")
+    merged = map_arrow(prints.repartition("bucket").sortWithinPartitions("bucket"), lambda it: _merge_rows(it, buckets, runs, archives), _MERGED)
     with settings(spark, **_SMALL):
-        _write_run(merged, stage)
+        _write_merged(merged, stage)
     release_shuffles(spark)
-    marks = spark.read.schema(_MARK_SCHEMA).parquet(stage).where("kind = 'mark'").select("chunk", F.lit(0).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("real_id"), F.lit(None).cast("binary").alias("text"), "data")
-    both = src.select("chunk", "doc_id", "real_id", F.coalesce("text", F.lit(b"")).alias("text"), F.lit(None).cast("binary").alias("data")).unionByName(marks)
-    both = both.repartition("chunk").sortWithinPartitions("chunk")
-    make, kept = (_digest_rows, "kept_sha256") if digest else (_text_rows, "kept")
-    out = scratch(spark, "kept")
+
+    found = spark.read.schema(_MERGED).parquet(stage)
+    marks, wants = found.where("kind = 'mark'"), found.where("kind = 'want'")
+    places = min(sum(a.chunks for a in archives), 1 << 14)
+    wanted = wants.select("archive", "chunk", "data").repartition(places, "archive", "chunk").sortWithinPartitions("archive", "chunk")
+    shown = map_arrow(wanted, lambda it: _excerpt_rows(it, archives, window, anchor), "first bigint, excerpt binary")
+    pairs = map_arrow(marks.select("chunk", "data"), _mark_docs, "chunk bigint, first bigint").distinct()
+    null = lambda kind: F.lit(None).cast(kind)
+    rows = spark.range(chunks).select(F.col("id").alias("chunk"), null("binary").alias("data"), null("bigint").alias("first"), null("binary").alias("excerpt"))
+    rows = rows.unionByName(marks.select("chunk", "data"), allowMissingColumns=True).unionByName(pairs.join(shown, "first"), allowMissingColumns=True)
+    rows = rows.repartition(tasks, "chunk").sortWithinPartitions("chunk")
+    make = _digest_rows if digest else _text_rows
     with settings(spark, **_SMALL):
-        map_arrow(both, lambda it: _apply_marks(it, index, make), f"doc_id bigint, n_words bigint, n_removed bigint, {kept} string").write.parquet(out)
-    drop_path(spark, f"{stage}/kind=mark")
+        map_arrow(rows, lambda it: _apply_rows(it, archive, window, anchor, make), result).write.parquet(out)
+    for kind in ("mark", "want"):
+        drop_path(spark, f"{stage}/kind={kind}")
     release_shuffles(spark)
-    index.runs.append(Run(stage))
-    compact(spark, index)
+    index.runs.append(Run(stage, 0, buckets, total))
+    index.archives.append(archive)
+    index.save(spark)
     return out
 
 
-def _compacted(it, index: Index, runs: list[str]):
+def _streamed_merge(streams: list[Iterator]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """One stream of fingerprints in order out of several, of which a piece each is held."""
+    held = [next(s, None) for s in streams]
+    while any(h is not None for h in held):
+        ends = [_key(h[0][-1:], h[1][-1:])[0] for h in held if h is not None]
+        bound, out = min(ends), []
+        for k, h in enumerate(held):
+            if h is None:
+                continue
+            n = int(np.searchsorted(_key(h[0], h[1]), bound, "right"))
+            out.append(tuple(x[:n] for x in h))
+            held[k] = tuple(x[n:] for x in h) if n < len(h[0]) else next(streams[k], None)
+            while held[k] is not None and (n := int(np.searchsorted(_key(*held[k][:2]), bound, "right"))):  # the key goes on in the next piece
+                out.append(tuple(x[:n] for x in held[k]))
+                held[k] = tuple(x[n:] for x in held[k]) if n < len(held[k][0]) else next(streams[k], None)
+        a, c, ids = (np.concatenate(x) for x in zip(*out, strict=True))
+        order, _ = _order(a, c)
+        yield a[order], c[order], ids[order]
+
+
+def _compacted(it, buckets: int, runs: list[Run]):
     for batch in it:
         for bucket in batch.column(0).to_pylist():
-            got = [(a, c) for path in runs for a, c, _ in _read_run(path, bucket)]
-            if got:
-                a, c = (np.concatenate(x) for x in zip(*got, strict=True))
-                yield from _run_rows(bucket, a, c)
+            yield from _run_rows(bucket, buckets, _streamed_merge([_read_run(run, bucket, buckets) for run in runs]))
 
 
 def compact(spark: SparkSession, index: Index) -> None:
     """Merge the newest runs while `fan_in` of them are of one level. Runs hold disjoint fingerprints, so that a merge of
-    sorted runs neither finds nor drops doubles. The old runs go only when the new one is written."""
+    sorted runs neither finds nor drops doubles. Buckets are split where the new run is too large for those of the old ones. The
+    old runs go only when the manifest names the new one."""
     while len(index.runs) >= index.fan_in and len({r.level for r in index.runs[-index.fan_in :]}) == 1:
         old = index.runs[-index.fan_in :]
-        paths, path = [r.path for r in old], scratch(spark, "run")
-        rows = map_arrow(spark.range(0, index.buckets, 1, index.buckets), lambda it: _compacted(it, index, paths), _MARK_SCHEMA)
+        size = sum(r.size for r in old)
+        buckets, path = max(_power_of_two(size / 6 / 4e6, 8), *(r.buckets for r in old)), f"{index.path}/run-{uuid.uuid4().hex}"
+        rows = map_arrow(spark.range(0, buckets, 1, min(buckets, 1 << 14)), lambda it: _compacted(it, buckets, old), _MERGED)
         with settings(spark, **_SMALL):
-            _write_run(rows, path)
-        index.runs[-index.fan_in :] = [Run(path, old[0].level + 1)]
-        for p in paths:
-            drop_path(spark, p)
+            _write_merged(rows, path)
+        index.runs[-index.fan_in :] = [Run(path, old[0].level + 1, buckets, size)]
+        index.save(spark)
+        for run in old:
+            drop_path(spark, run.path)
 
 
 def substring_dedup(docs: DataFrame, batches_: int = 4, digest: bool = False, window: int = 20) -> DataFrame:
     """The whole table as `batches_` batches in order of doc_id, each added to one index. See add_batch for the columns
-    and for nulls, ties and empty tables."""
+    and for nulls, ties, very long texts and empty tables."""
     spark = docs.sparkSession
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / batches_ for k in range(1, batches_)], 10_000), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / batches_ for k in range(1, batches_)], 10_000) if batches_ > 1 else F.lit(None)).first()
     bounds = sorted(set(cuts[0] or []))
-    buckets = max(8, math.ceil(cuts[1] / 6 / batches_ / 500_000))
-    index = Index(buckets=buckets, window=window, anchor=min(5, window))
+    index = Index(scratch(spark, "index"), window=window, anchor=min(5, window))
     out = []
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 62)))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST))
     for lo, hi in zip([None, *bounds], [*bounds, None], strict=True):
         part = docs.where((F.lit(True) if lo is None else key > lo) & (F.lit(True) if hi is None else key <= hi))
         out.append(add_batch(part, index, digest))
