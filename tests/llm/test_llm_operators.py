@@ -171,8 +171,10 @@ def test_pack():
     c = np.random.default_rng(2).integers(0, 1 << 48, len(a)).astype(U)
     order, _ = _order(a, c)
     a, c = a[order], c[order]
-    x, y, z = unpack(pack(a, c, np.arange(len(a)) // 300))
-    assert (x == a).all() and (y == c).all() and (z == np.arange(len(a)) // 300).all()
+    for ids in (np.arange(len(a)) // 300, np.where(np.arange(len(a)) < 300, -(1 << 63), (1 << 63) - 1), np.arange(len(a)) - (1 << 40)):
+        x, y, z = unpack(pack(a, c, ids))
+        assert (x == a).all() and (y == c).all() and (z == ids).all()
+    assert all(len(x) == 0 for x in unpack(pack(a[:0], c[:0], np.empty(0, np.int64))))
     assert (_lookup((a, c), a[::-1], c[::-1]) == np.arange(len(a))[::-1]).all() and (_lookup((a, c), a, c + U(1)) < 0).mean() > 0.99
 
 

@@ -99,7 +99,8 @@ def _lookup(have: tuple[np.ndarray, np.ndarray], a: np.ndarray, c: np.ndarray) -
 
 
 def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray) -> bytes:
-    """Fingerprints in order with a document each; neighbours that share anchor and document store these once."""
+    """Fingerprints in order with a document each; neighbours that share anchor and document store these once, and documents take
+    four bytes where the ids lie near enough."""
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (ids[1:] != ids[:-1])
     at = np.flatnonzero(new)
@@ -107,13 +108,18 @@ def pack(a: np.ndarray, c: np.ndarray, ids: np.ndarray) -> bytes:
     if len(n) and n.max() > 255:  # cut long runs, so that a byte holds each length
         at = np.concatenate([np.arange(s, s + k, 255) for s, k in zip(at.tolist(), n.tolist(), strict=True)])
         n = np.diff(np.append(at, len(a)))
-    return b"".join((np.array([len(at), len(a)], np.int64).tobytes(), a[at].tobytes(), ids[at].tobytes(), n.astype(np.uint8).tobytes(), (c >> U(16)).astype(np.uint32).tobytes(), (c & U(0xFFFF)).astype(np.uint16).tobytes()))
+    own = ids[at].astype(np.int64).view(U) - U(int(ids.min()) & (1 << 64) - 1) if len(a) else np.empty(0, U)
+    wide = bool(len(own) and own.max() >> U(32))
+    head = np.array([len(at), len(a), ids.min() if len(a) else 0, wide], np.int64)
+    return b"".join((head.tobytes(), a[at].tobytes(), own.astype(U if wide else np.uint32).tobytes(), n.astype(np.uint8).tobytes(), (c >> U(16)).astype(np.uint32).tobytes(), (c & U(0xFFFF)).astype(np.uint16).tobytes()))
 
 
 def unpack(data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    runs, total = np.frombuffer(data, np.int64, 2)
-    a, ids = np.frombuffer(data, U, runs, 16), np.frombuffer(data, np.int64, runs, 16 + 8 * runs)
-    at = 16 + 16 * runs
+    runs, total, least, wide = np.frombuffer(data, np.int64, 4)
+    a = np.frombuffer(data, U, runs, 32)
+    at = 32 + 8 * runs
+    ids = (np.frombuffer(data, U if wide else np.uint32, runs, at).astype(U) + U(int(least) & (1 << 64) - 1)).view(np.int64)
+    at += (8 if wide else 4) * runs
     n = np.frombuffer(data, np.uint8, runs, at)
     at += runs
     hi, lo = np.frombuffer(data, np.uint32, total, at), np.frombuffer(data, np.uint16, total, at + 4 * total)
@@ -350,10 +356,10 @@ def _excerpt_rows(it, archives: list[Archive], window: int, anchor: int):
 
 
 def _mark_docs(it):
-    for batch in it:
-        for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
-            ids = np.unique(unpack(data.as_buffer())[2])
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(ids), pa.int64()), longs(ids)], ["chunk", "first"])
+    """The documents that each chunk has to be shown something of."""
+    for t in groups(it, ["chunk"]):
+        ids = np.unique(np.concatenate([unpack(x.as_buffer())[2] for x in t.column("data")]))
+        yield pa.RecordBatch.from_arrays([pa.array([t.column("chunk")[0].as_py()] * len(ids), pa.int64()), longs(ids)], ["chunk", "first"])
 
 
 def _same_words(x: bytes, y: bytes) -> bool:
@@ -522,10 +528,11 @@ def add_batch(docs: DataFrame, index: Index, digest: bool = False, chunk_bytes:
 
     found = spark.read.schema(_MERGED).parquet(stage)
     marks, wants = found.where("kind = 'mark'"), found.where("kind = 'want'")
-    places = min(sum(a.chunks for a in archives), 1 << 14)
+    places, tasks = (min(1 << 14, -(-n // 4)) for n in (sum(a.chunks for a in archives), 2 * chunks))
     wanted = wants.select("archive", "chunk", "data").repartition(places, "archive", "chunk").sortWithinPartitions("archive", "chunk")
     shown = map_arrow(wanted, lambda it: _excerpt_rows(it, archives, window, anchor), "first bigint, excerpt binary")
-    pairs = map_arrow(marks.select("chunk", "data"), _mark_docs, "chunk bigint, first bigint").distinct()
+    by_chunk = marks.select("chunk", "data").repartition(tasks, "chunk").sortWithinPartitions("chunk")
+    pairs = map_arrow(by_chunk, _mark_docs, "chunk bigint, first bigint")
     null = lambda kind: F.lit(None).cast(kind)
     rows = spark.range(chunks).select(F.col("id").alias("chunk"), null("binary").alias("data"), null("bigint").alias("first"), null("binary").alias("excerpt"))
     rows = rows.unionByName(marks.select("chunk", "data"), allowMissingColumns=True).unionByName(pairs.join(shown, "first"), allowMissingColumns=True)
