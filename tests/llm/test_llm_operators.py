@@ -583,6 +583,41 @@ def test_neighbours_that_no_bucket_has(spark):
     assert got[0] == sorted(s, key=lambda i: (-s[i], i))[:20]
 
 
+def test_neighbours_of_extreme_lengths(spark):
+    from titlewright.llm.neighbours import nearest
+
+    rng = np.random.default_rng(11)
+    x = {i: (v * 10.0 ** rng.integers(-3, 3)).tolist() for i, v in enumerate(rng.normal(size=(60, 4)), 100)}
+    x |= {0: [1e200, 1.0, 0.0, 0.0], 20: [1e-200, 0.0, 0.0, 0.0], 40: [-1e308, 1e308, 0.0, 0.0], 1: [5e-324, 0.0, 0.0, 0.0], 2: [1e308, 1e308, 0.0, 0.0]}
+    df = spark.createDataFrame([(i, v, 1, "c", 0.5) for i, v in x.items()], "vec_id bigint, embedding array<double>, slice int, cells string, score double")
+    got = defaultdict(list)
+    for r in nearest(df).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    with np.errstate(all="ignore"):
+        for q in (i for i in x if i % 20 == 0):
+            s = {i: float((np.array(v) * np.array(x[q])).sum()) for i, v in x.items() if i != q}
+            assert got[q] == sorted(s, key=lambda i: (-np.inf if np.isnan(s[i]) else s[i], -i), reverse=True)[:20]
+
+
+@pytest.mark.parametrize("axes", [(8,), (8, 4), (8, 8, 1), (8, 8, 8, 2)])
+def test_visited_cells_are_the_nearest(axes):
+    from titlewright.llm.neighbours import Band, Tables, _cells, _rank_shares, _visited, turned
+
+    cfg, rng = Tables(tables=2), np.random.default_rng(len(axes))
+    x, band = rng.normal(size=(5, 5)), Band(0, axes, 1)
+    for t in turned(x, axes, cfg):
+        for i in range(5):
+            total = np.zeros(1)
+            for y in t:
+                total = (total[:, None] + y[i][None, :]).reshape(-1)
+            for n in (1, 40, 10**6):
+                cells = _visited(t, i, n)
+                n = min(n, len(total))
+                assert set(np.argsort(-total)[:n].tolist()) <= set(cells.tolist()) and (np.diff(cells) > 0).all()
+                assert (total[cells] >= np.sort(total)[-n] - np.ptp(total) / 200).all()
+    assert (_rank_shares(x, np.arange(5), x, band, cfg) <= 2 / band.cells).all() and (_cells(x, band, cfg) < band.cells).all()
+
+
 def test_hadamard():
     from titlewright.llm.neighbours import hadamard
 

@@ -1,14 +1,20 @@
 """Approximate nearest neighbours by inner product: cross-polytope hashing, multiprobe tables and exact reranking.
 
-Each table turns a vector by three rounds of random signs and a Hadamard transform and takes the nearest signed axis as its
-bucket. Candidates are hashed in bands of similar length, by direction: within a band the nearest direction is nearly the largest
-inner product. A band of few rows is one bucket that every query visits. A query looks into the buckets of the axes that it is next
-nearest to as well, and every candidate found is scored exactly; a query that finds too few is scored against all rows. Buckets are
-dealt out in blocks of bounded size on both sides, so no bucket is capped and none has to fit in a task.
+Each table turns a vector by rounds of random signs and Hadamard transforms, as often as the table has components, and takes
+the nearest signed axis in each; the axes together are its cell. There are as many components, the last of them of as many
+axes, as make two to four times as many cells as there are vectors, so cells don't grow with the table. Candidates are hashed in bands of similar length, by direction: within a
+band the nearest direction is nearly the largest inner product. A band of few rows is one cell that every query visits. A
+query visits the cells whose axes it is nearest to, the same share of all cells in each table. That share is measured: a bounded
+sample of queries is scored against all rows, and it is the least one that finds the wanted part of their neighbours.
+
+Cells that follow each other are a slice, and a query goes once to each slice that it visits, with the list of its cells. Slices
+are dealt out in blocks of bounded size on both sides, so no cell is capped and none has to fit in a task. Every candidate found
+is scored exactly; a query that finds too few is scored against all rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,22 +26,28 @@ from pyspark.sql import types as T
 from titlewright.llm.arrow import groups, longs, map_arrow
 from titlewright.session import discard, materialize
 
-
-#: The bucket of the rows that every query meets.
+#: The slice of the rows that every query meets.
 _ALL = -1
+_SLICES = 1 << 24
+_LAST = 2048
+_BINS = 512
 
 
 @dataclass(frozen=True)
 class Tables:
-    """tables: hash tables. probes: buckets that a query visits in each, of 64 axes or fewer; of more as many times more.
-    bands: of lengths, at most. whole: rows of a band that isn't hashed. block: candidates or queries of a block."""
+    """tables: hash tables. recall: part of the sample's neighbours that the visited cells have to hold; sample: queries that it is
+    measured on. bands: of lengths, at most. whole: rows of a band that isn't hashed. parts: components, at most. slice_rows, block and query_block: rows of
+    a slice on average, candidates and queries of a block at most."""
 
-    tables: int = 12
-    probes: int = 24
+    tables: int = 20
+    recall: float = 0.98
+    sample: int = 64
     bands: int = 12
     whole: int = 512
-    block: int = 4096
-    query_block: int = 1024
+    parts: int = 4
+    slice_rows: int = 16_384
+    block: int = 65_536
+    query_block: int = 4096
     seed: int = 7
 
 
@@ -50,29 +62,102 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
-def rotations(x: np.ndarray, cfg: Tables):
-    """For each table the rows of x, filled up with zeros to a power of two and turned."""
-    n = 1 << max(1, (x.shape[1] - 1).bit_length())
+def _axes(dim: int) -> int:
+    return 1 << max(1, (dim - 1).bit_length())
+
+
+@dataclass(frozen=True)
+class Band:
+    """How a band of lengths is hashed: its number, the axes of each component, and slices."""
+
+    number: int
+    axes: tuple[int, ...]
+    slices: int
+
+    @property
+    def cells(self) -> int:
+        return math.prod(2 * n for n in self.axes)
+
+
+def _band(number: int, rows: int, dim: int, cfg: Tables) -> Band:
+    n, axes, cells = _axes(dim), [], 1
+    while cells < 2 * rows and len(axes) < cfg.parts:
+        axes.append(min(n, 1 << max(0, (-(-rows // cells) - 1).bit_length())))
+        cells *= 2 * axes[-1]
+    return Band(number, tuple(axes), max(1, min(cells, rows // cfg.slice_rows)))
+
+
+def _directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1)[:, None]  # so that squares neither overflow nor vanish
+    return x / np.sqrt((x * x).sum(1))[:, None]
+
+
+def turned(x: np.ndarray, axes: tuple[int, ...], cfg: Tables):
+    """For each table the directions of x, filled up with zeros to a power of two and turned, once for each component: signed
+    axes as columns, as many of them as the component has."""
+    n = _axes(x.shape[1])
     wide = np.zeros((len(x), n))
-    wide[:, : x.shape[1]] = x
-    rng = np.random.default_rng(cfg.seed)
-    for _ in range(cfg.tables):
-        y = wide
-        for signs in rng.integers(0, 2, (3, n)) * 2.0 - 1:
-            y = hadamard(y * signs)
-        yield y
-
-
-def _buckets(x: np.ndarray, cfg: Tables, probes: int) -> np.ndarray:
-    """For each row its nearest signed axes in each table, as numbers that differ from table to table: the nearest one, or
-    with more probes those of a query."""
+    wide[:, : x.shape[1]] = _directions(x)
+    for t in range(cfg.tables):
+        out = []
+        for part, some in enumerate(axes):
+            y = wide
+            for signs in np.random.default_rng((cfg.seed, t, part)).integers(0, 2, (3, n)) * 2.0 - 1:
+                y = hadamard(y * signs)
+            out.append(np.concatenate((y[:, :some], -y[:, :some]), 1))
+        yield out
+
+
+def _cells(x: np.ndarray, band: Band, cfg: Tables) -> np.ndarray:
+    """The cell of each row in each table."""
     out = []
-    for t, y in enumerate(rotations(x, cfg)):
-        k = min(max(probes, -(-probes * y.shape[1] // 64)) if probes > 1 else 1, y.shape[1])
-        near = np.argpartition(-np.abs(y), k - 1, 1)[:, :k] if k < y.shape[1] else np.broadcast_to(np.arange(k), y.shape)
-        sign = np.take_along_axis(y, near, 1) > 0
-        out.append((t * y.shape[1] + near) * 2 + sign)
-    return np.concatenate(out, 1).astype(np.int64)
+    for parts in turned(x, band.axes, cfg):
+        cell = np.zeros(len(x), np.int64)
+        for y in parts:
+            cell = cell * y.shape[1] + y.argmax(1)
+        out.append(cell)
+    return np.stack(out, 1)
+
+
+def _halves(parts: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
+    """A query's scores of the first and the last components' cells; a cell's score is the sum of one of each."""
+    middle = len(parts) - 1
+    while middle > 1 and math.prod(y.shape[1] for y in parts[middle - 1 :]) <= _LAST:
+        middle -= 1
+    out = []
+    for some in (parts[:middle], parts[middle:]):
+        total = np.zeros(1)
+        for y in some:
+            total = (total[:, None] + y[row][None, :]).reshape(-1)
+        out.append(total)
+    return out[0], out[1]
+
+
+def _visited(parts: list[np.ndarray], row: int, n: int) -> np.ndarray:
+    """The n cells that a query is nearest to, and those that are as near as the last of them but for 1/512 of the range."""
+    a, b = _halves(parts, row)
+    width = (np.ptp(a) + np.ptp(b)) / (_BINS - 1) + 1e-300
+    counts = np.convolve(*(np.bincount(((x - x.min()) / width).astype(np.int64), minlength=_BINS) for x in (a, b)))
+    enough = np.flatnonzero(np.cumsum(counts[::-1]) >= n)
+    level = a.min() + b.min() + (len(counts) - 1 - enough[0]) * width - 1e-12 if len(enough) else -np.inf
+    order = np.argsort(a)
+    begin = np.searchsorted(a[order], level - b, "left")
+    many = len(a) - begin
+    at = np.arange(many.sum()) + np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many)
+    return np.sort(order[at] * len(b) + np.repeat(np.arange(len(b)), many))
+
+
+def _rank_shares(queries: np.ndarray, owner: np.ndarray, neighbours: np.ndarray, band: Band, cfg: Tables) -> np.ndarray:
+    """For each neighbour the least share of cells, over the tables, that its query (owner) has to visit to meet it."""
+    out = np.ones(len(neighbours))
+    for own, parts in zip(_cells(neighbours, band, cfg).T, turned(queries, band.axes, cfg), strict=True):
+        for q in np.unique(owner):
+            a, b = _halves(parts, q)
+            high = np.sort(a)
+            for i in np.flatnonzero(owner == q):
+                level = a[own[i] // len(b)] + b[own[i] % len(b)] - 1e-12
+                out[i] = min(out[i], (len(a) - np.searchsorted(high, level - b, "left")).sum() / band.cells)
+    return out
 
 
 def _bands(counts: dict[int, int], cfg: Tables) -> dict[int, int]:
@@ -87,30 +172,55 @@ def _bands(counts: dict[int, int], cfg: Tables) -> dict[int, int]:
     return out
 
 
-def _hash_rows(it, cfg: Tables, dim: int, bands: dict[int, int], kind: str, probing: bool):
-    every = sorted(set(bands.values()) - {_ALL})
+def _slice(band: Band, table: int, cell: np.ndarray, cfg: Tables) -> np.ndarray:
+    at = (cell.astype(np.float64) * (band.slices / band.cells)).astype(np.int64)
+    return (band.number * cfg.tables + table) * _SLICES + np.minimum(at, band.slices - 1)
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, kind: str, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), dim).astype(np.float64)
+
+
+_HASHED = "slice bigint, is_query boolean, vec_id bigint, vec binary, cells binary"
+
+
+def _hash_rows(it, cfg: Tables, dim: int, band_of: dict[int, int], bands: list[Band], kind: str):
+    """Each row in its slice of each table, with its cell; rows of a band of few rows in the slice of all."""
     for batch in it:
-        ids = batch.column("vec_id")
-        x = np.frombuffer(b"".join(batch.column("vec").to_pylist()), kind).reshape(len(ids), dim).astype(np.float64)
-        own = np.array([bands[e] for e in batch.column("exponent").to_pylist()], np.int64)
-        for lo in range(0, len(ids), 2048):
-            part, band = x[lo : lo + 2048], own[lo : lo + 2048]
-            b = _buckets(part, cfg, cfg.probes if probing else 1)
-            span = 2 * cfg.tables * (1 << max(1, (dim - 1).bit_length()))
-            if probing:
-                b = np.concatenate([b + k * span for k in every] + [np.full((len(b), 1), _ALL)] * (_ALL in bands.values()), 1)
-                each = np.full(len(b), b.shape[1])
-            else:
-                b += band[:, None] * span
-                b[band == _ALL] = _ALL
-                each = np.where(band == _ALL, 1, b.shape[1])
-            offsets = pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32))
-            b = b[np.arange(b.shape[1]) < each[:, None]]
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, 2048), batch.column("vec").slice(lo, 2048), pa.ListArray.from_arrays(offsets, longs(b))], ["vec_id", "vec", "buckets"])
+        x = _matrix(batch.column("vec"), kind, dim)
+        own = np.array([band_of[e] for e in batch.column("exponent").to_pylist()], np.int64)
+        for lo in range(0, len(x), 2048):
+            for number in np.unique(own[lo : lo + 2048]).tolist():
+                at = lo + np.flatnonzero(own[lo : lo + 2048] == number)
+                ids, vecs = batch.column("vec_id").take(pa.array(at)), batch.column("vec").take(pa.array(at))
+                cells = np.zeros((len(at), 1), np.int64) if number == _ALL else _cells(x[at], bands[number], cfg)
+                for t in range(cells.shape[1]):
+                    where = np.full(len(at), _ALL) if number == _ALL else _slice(bands[number], t, cells[:, t], cfg)
+                    yield pa.RecordBatch.from_arrays([longs(where), pa.array([False] * len(at)), ids, vecs, pa.array([c.tobytes() for c in cells[:, t]], pa.binary())], ["slice", "is_query", "vec_id", "vec", "cells"])
+
+
+def _probe_rows(it, cfg: Tables, dim: int, bands: list[Band], any_whole: bool, kind: str, share: float):
+    """Each query in every slice that it visits, with the cells that it visits there."""
+    for batch in it:
+        x = _matrix(batch.column("vec"), kind, dim)
+        for lo in range(0, len(x), 128):
+            ids, vecs = batch.column("vec_id").slice(lo, 128).to_pylist(), batch.column("vec").slice(lo, 128).to_pylist()
+            rows = [(_ALL, i, b"") for i in range(len(ids))] if any_whole else []
+            for band in bands:
+                for t, parts in enumerate(turned(x[lo : lo + 128], band.axes, cfg)):
+                    for i in range(len(ids)):
+                        cells = _visited(parts, i, max(1, math.ceil(share * band.cells)))
+                        where = _slice(band, t, cells, cfg)
+                        cut = np.flatnonzero(np.diff(where)) + 1
+                        rows += [(int(where[s]), i, cells[s:e].tobytes()) for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(cells)], strict=True)]
+            for k in range(0, len(rows), 4096):
+                some = rows[k : k + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([True] * len(some)), pa.array([ids[r[1]] for r in some], pa.int64()), pa.array([vecs[r[1]] for r in some], pa.binary()), pa.array([r[2] for r in some], pa.binary())], ["slice", "is_query", "vec_id", "vec", "cells"])
 
 
 def _vector_rows(it, dim: int, kind: str):
-    """The vectors that take part, as bytes, with the binary exponents of their squared lengths."""
+    """The vectors that take part, as bytes, with the binary exponents of their squared lengths, times 1.5 so that lengths near a
+    power of two, as of unit vectors, aren't parted."""
     for batch in it:
         ids, column = batch.column(0), batch.column(1)
         keep, vecs, exponents = [], [], []
@@ -118,65 +228,135 @@ def _vector_rows(it, dim: int, kind: str):
             if not v.is_valid or not ids[i].is_valid or len(v.values) != dim or v.values.null_count:
                 continue
             x = v.values.to_numpy(zero_copy_only=False)
-            norm = float((x.astype(np.float64) ** 2).sum())
-            if np.isfinite(x).all() and 0 < norm < np.inf:
+            if np.isfinite(x).all() and (most := float(np.abs(x.astype(np.float64)).max())) > 0:
                 keep.append(i)
                 vecs.append(x.astype(kind).tobytes())
-                exponents.append(int(np.frexp(norm)[1]))
+                scale = int(np.frexp(most)[1])
+                exponents.append(int(np.frexp(1.5 * (np.ldexp(x.astype(np.float64), -scale) ** 2).sum())[1]) + 2 * scale)
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array(vecs, pa.binary()), pa.array(exponents, pa.int32())], ["vec_id", "vec", "exponent"])
 
 
 def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """The k best, of rows that share an id the best one only."""
-    order = np.lexsort((ids, -score))
+    """The k best, of rows that share an id the best one only. What isn't a number comes last."""
+    order = np.lexsort((ids, -np.nan_to_num(score, nan=-np.inf, posinf=np.inf, neginf=-np.inf)))
     return order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
 
 
+def _best(q: np.ndarray, own: int, c: np.ndarray, ids: np.ndarray, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of a query's k best candidates; `most` rows at most share an id. Sums are the same for equal vectors,
+    wherever they stand; of many candidates those that can't be among the best go by a rough product first."""
+    near = np.flatnonzero(ids != own)
+    many = (k + 1) * most
+    if len(near) > 4 * many:
+        with np.errstate(all="ignore"):
+            rough, slack = c[near] @ q, 1e-9 * (1 + np.sqrt((c[near] ** 2).sum(1).max())) * (1 + np.sqrt((q * q).sum()))
+        if np.isfinite(slack) and np.isfinite(rough).all():
+            near = near[rough >= np.partition(rough, len(rough) - many)[len(rough) - many] - slack]
+    with np.errstate(all="ignore"):
+        exact = (c[near] * q).sum(1)
+    best = _top(exact, ids[near], k)
+    return ids[near][best], exact[best]
+
+
 def _score_rows(it, dim: int, kind: str, k: int):
-    """Of each block of a bucket, each query's k best candidates, packed."""
-    for t in groups(it, ["bucket", "db", "qb"]):
+    """Of each block of a slice, each query's k best candidates in the cells that it visits, packed."""
+    for t in groups(it, ["slice", "db", "qb"]):
         query = t.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
         if not query.any() or query.all():
             continue
-        ids = t.column("vec_id").to_numpy()
-        x = np.frombuffer(b"".join(t.column("vec").to_pylist()), kind).reshape(len(ids), dim).astype(np.float64)
-        q, c, qi, ci = x[query], x[~query], ids[query], ids[~query]
-        slack = 1e-9 * (1 + np.sqrt((c * c).sum(1).max()))
-        most = (k + 1) * int(np.unique(ci, return_counts=True)[1].max())  # so many rows have k ids besides the query's own
-        out_ids, out_scores = [], []
-        for lo in range(0, len(q), 256):
-            rough = q[lo : lo + 256] @ c.T
-            least = np.partition(rough, len(c) - most, 1)[:, len(c) - most] if len(c) > most else np.full(len(rough), -np.inf)
-            for i, row in enumerate(rough):
-                near = np.flatnonzero((row >= least[i] - slack * (1 + np.sqrt((q[lo + i] ** 2).sum()))) & (ci != qi[lo + i]))
-                exact = (c[near] * q[lo + i]).sum(1)  # the same sums for equal vectors, wherever they stand
-                best = _top(exact, ci[near], k)
-                out_ids.append(ci[near][best].astype(np.int64).tobytes())
-                out_scores.append(exact[best].tobytes())
-        yield pa.RecordBatch.from_arrays([longs(qi), pa.array(out_ids, pa.binary()), pa.array(out_scores, pa.binary())], ["query_id", "ids", "scores"])
+        whole = t.column("slice")[0].as_py() == _ALL
+        data, asks = t.filter(pa.array(~query)), t.filter(pa.array(query))
+        cell = np.frombuffer(b"".join(data.column("cells").to_pylist()), np.int64)
+        order = np.argsort(cell, kind="stable")
+        cell, ids, c = cell[order], data.column("vec_id").to_numpy()[order], _matrix(data.column("vec"), kind, dim)[order]
+        most = int(np.unique(ids, return_counts=True)[1].max())
+        q, own = _matrix(asks.column("vec"), kind, dim), asks.column("vec_id").to_numpy()
+        first = cell[0]
+        near = not whole and cell[-1] - first < 8 * len(cell) + 1024  # cells are dense enough for a table of where each begins
+        begins = np.searchsorted(cell, first + np.arange(cell[-1] - first + 2)) if near else None
+        got, out_ids, out_scores = [], [], []
+        for i, wanted in enumerate(asks.column("cells").to_pylist()):
+            if whole:
+                rows = slice(None)
+                n = len(ids)
+            else:
+                visit = np.frombuffer(wanted, np.int64)
+                if near:
+                    visit = visit[(visit >= first) & (visit <= cell[-1])] - first
+                    lo, hi = begins[visit], begins[visit + 1]
+                else:
+                    lo, hi = np.searchsorted(cell, visit, "left"), np.searchsorted(cell, visit, "right")
+                n = int((hi - lo).sum())
+                if not n:
+                    continue
+                rows = np.repeat(lo - np.concatenate(([0], np.cumsum(hi - lo)[:-1])), hi - lo) + np.arange(n)
+            found, score = _best(q[i], own[i], c[rows], ids[rows], k, most)
+            if len(found):
+                got.append(own[i])
+                out_ids.append(found.astype(np.int64).tobytes())
+                out_scores.append(score.tobytes())
+        yield pa.RecordBatch.from_arrays([longs(np.array(got, np.int64)), pa.array(out_ids, pa.binary()), pa.array(out_scores, pa.binary())], ["query_id", "ids", "scores"])
 
 
 def _merge_rows(it, k: int):
     for t in groups(it, ["query_id"]):
         ids = np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64)
         score = np.frombuffer(b"".join(t.column("scores").to_pylist()), np.float64)
-        # Repeated rows of one vec_id are one candidate, with its best score.
-        order = np.lexsort((ids, -score))
-        ids, score = ids[order], score[order]
-        first = np.sort(np.unique(ids, return_index=True)[1])[:k]
-        n = len(first)
+        best = _top(score, ids, k)  # repeated rows of one vec_id are one candidate, with its best score
+        n = len(best)
         q = t.column("query_id")[0].as_py()
-        yield pa.RecordBatch.from_arrays([pa.array([q] * n, pa.int64()), pa.array(range(1, n + 1), pa.int32()), longs(ids[first]), pa.array(score[first])], ["query_id", "rank", "vec_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array([q] * n, pa.int64()), pa.array(range(1, n + 1), pa.int32()), longs(ids[best]), pa.array(score[best])], ["query_id", "rank", "vec_id", "score"])
+
+
+def _truth_rows(it, sample: list[tuple[int, bytes]], dim: int, kind: str, k: int):
+    """Each sampled query's k best rows of a part of the table."""
+    q = np.frombuffer(b"".join(v for _, v in sample), kind).reshape(len(sample), dim).astype(np.float64)
+    held: list[list] = [[] for _ in sample]
+
+    def cut(rows: list) -> list:
+        best = _top(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.int64), k)
+        return [rows[i] for i in best]
+
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        x, ids, vecs = _matrix(batch.column("vec"), kind, dim), batch.column("vec_id").to_numpy(), batch.column("vec")
+        for i, (own, _) in enumerate(sample):
+            with np.errstate(all="ignore"):
+                score = np.where(ids == own, np.nan, (x @ q[i]))
+            top = np.argpartition(-np.nan_to_num(score, nan=-np.inf), min(4 * k, len(score) - 1))[: 4 * k]
+            held[i] = cut(held[i] + [(float(score[j]), int(ids[j]), vecs[j].as_py(), batch.column("exponent")[j].as_py()) for j in top.tolist() if ids[j] != own])
+    for i, rows in enumerate(held):
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.int32())], ["query", "score", "vec_id", "vec", "exponent"])
+
+
+def _measured_share(base: DataFrame, queries: DataFrame, band_of: dict[int, int], bands: list[Band], dim: int, kind: str, k: int, cfg: Tables) -> float:
+    """The least share of cells that holds cfg.recall of the true neighbours of cfg.sample queries."""
+    sample = [(r[0], bytes(r[1])) for r in queries.orderBy(F.xxhash64("vec_id"), "vec_id").select("vec_id", "vec").limit(cfg.sample).collect()]
+    if not sample or not bands:
+        return 1.0
+    found = map_arrow(base, lambda it: _truth_rows(it, sample, dim, kind, k), "query int, score double, vec_id bigint, vec binary, exponent int")
+    best = found.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id", "vec", "exponent")), False), 1, k).alias("best"))
+    rows = [(r[0], b) for r in best.collect() for b in r[1]]  # k for each sampled query
+    q = np.frombuffer(b"".join(v for _, v in sample), kind).reshape(len(sample), dim).astype(np.float64)
+    shares = [np.zeros(sum(band_of[b["exponent"]] == _ALL for _, b in rows))]
+    for band in bands:
+        mine = [(i, bytes(b["vec"])) for i, b in rows if band_of[b["exponent"]] == band.number]
+        if mine:
+            shares.append(_rank_shares(q, np.array([i for i, _ in mine]), np.frombuffer(b"".join(v for _, v in mine), kind).reshape(-1, dim).astype(np.float64), band, cfg))
+    every = np.sort(np.concatenate(shares))
+    return float(every[min(len(every) - 1, math.ceil(cfg.recall * len(every)) - 1)]) if len(every) else 1.0
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest vectors found for each row whose vec_id is divisible by `every`, or all others
     if there are fewer.
 
-    vectors: vec_id and embedding (array of float or double); other columns are ignored. Nearness is the inner product in double
-    precision; ties go to the smaller vec_id; a query is no candidate of its own. Vectors that are null, zero, of another length
-    than most, or hold null or non-finite components take no part, nor do rows without an id. Repeated rows count once. An
-    empty table gives no rows.
+    vectors: vec_id and embedding (array of float or double); other columns are ignored, whatever their names. Nearness is the
+    inner product in double precision; ties go to the smaller vec_id; a query is no candidate of its own. Vectors that are
+    null, zero, of another length than most, or hold null or non-finite components take no part, nor do rows without an id. A
+    product that isn't a number comes last. Repeated rows count once, with their best score. An empty table gives no rows.
     """
     cfg = cfg or Tables()
     kind = "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
@@ -185,37 +365,37 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     most = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
     dim = most[0] if most else 1
     base = materialize(map_arrow(src, lambda it: _vector_rows(it, dim, kind), "vec_id bigint, vec binary, exponent int"), "vectors")
-    # A row for each exponent: about 2,000 at most.
-    bands = _bands(dict(map(tuple, base.groupBy("exponent").count().collect())), cfg)
-    schema = "vec_id bigint, vec binary, buckets array<bigint>"
-    data = materialize(map_arrow(base, lambda it: _hash_rows(it, cfg, dim, bands, kind, False), schema), "hashed")
-    asks = materialize(map_arrow(base.where(F.pmod("vec_id", F.lit(every)) == 0), lambda it: _hash_rows(it, cfg, dim, bands, kind, True), schema), "probing")
-    discard(base)
+    # A row for each exponent: about 4,300 at most.
+    counts = dict(map(tuple, base.groupBy("exponent").count().collect()))
+    band_of = _bands(counts, cfg)
+    sizes = {b: sum(n for e, n in counts.items() if band_of[e] == b) for b in set(band_of.values()) - {_ALL}}
+    bands = [_band(b, sizes[b], dim, cfg) for b in sorted(sizes)]
+    queries = base.where(F.pmod("vec_id", F.lit(every)) == 0)
+    share = _measured_share(base, queries, band_of, bands, dim, kind, k, cfg)
+    any_whole = _ALL in band_of.values()
+    data = materialize(map_arrow(base, lambda it: _hash_rows(it, cfg, dim, band_of, bands, kind), _HASHED), "hashed")
+    asks = materialize(map_arrow(queries, lambda it: _probe_rows(it, cfg, dim, bands, any_whole, kind, share), _HASHED), "probing")
 
     def ranked(data: DataFrame, asks: DataFrame) -> DataFrame:
-        def sizes(df: DataFrame, block: int, name: str) -> DataFrame:
-            return df.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.ceil(F.count("*") / block).alias(name))
-
-        # One row for each bucket: two for each axis of each table and band, however many vectors there are.
-        blocks = sizes(data, cfg.block, "nd").join(sizes(asks, cfg.query_block, "nq"), "bucket")
-        spread = F.xxhash64("vec_id")
-        zero = F.lit(0).cast("bigint")
-        held = data.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
-        held = held.select("bucket", "vec_id", "vec", F.lit(False).alias("is_query"), F.pmod(spread, "nd").alias("db"), F.explode(F.sequence(zero, F.col("nq") - 1)).alias("qb"))
-        asked = asks.select("vec_id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(blocks), "bucket")
-        asked = asked.select("bucket", "vec_id", "vec", F.lit(True).alias("is_query"), F.explode(F.sequence(zero, F.col("nd") - 1)).alias("db"), F.pmod(spread, "nq").alias("qb"))
-        dealt = held.unionByName(asked).repartition("bucket", "db", "qb").sortWithinPartitions("bucket", "db", "qb")
+        # A row for each slice: far fewer than there are vectors. Spark broadcasts it if it is small.
+        count = lambda df, block, name: df.groupBy("slice").agg(F.ceil(F.count("*") / block).alias(name))
+        blocks = count(data, cfg.block, "nd").join(count(asks, cfg.query_block, "nq"), "slice")
+        spread, zero = F.xxhash64("vec_id"), F.lit(0).cast("bigint")
+        held = data.join(blocks, "slice").withColumn("db", F.pmod(spread, "nd")).withColumn("qb", F.explode(F.sequence(zero, F.col("nq") - 1)))
+        asked = asks.join(blocks, "slice").withColumn("db", F.explode(F.sequence(zero, F.col("nd") - 1))).withColumn("qb", F.pmod(spread, "nq"))
+        columns = ["slice", "db", "qb", "is_query", "vec_id", "vec", "cells"]
+        dealt = held.select(*columns).unionByName(asked.select(*columns)).repartition("slice", "db", "qb").sortWithinPartitions("slice", "db", "qb")
         found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
         return map_arrow(found.repartition("query_id").sortWithinPartitions("query_id"), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
 
     out = materialize(ranked(data, asks), "ranked")
-    enough = min(k, data.select("vec_id").distinct().limit(k + 1).count() - 1)
+    enough = min(k, base.select("vec_id").distinct().limit(k + 1).count() - 1)
     got = out.groupBy("query_id").agg(F.count("*").alias("n"))
-    few = asks.join(got, asks["vec_id"] == got["query_id"], "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "vec")
+    few = queries.join(got, F.col("vec_id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "vec")
     few = materialize(few, "few")
     if not few.isEmpty():
-        one = F.array(F.lit(_ALL).cast("bigint")).alias("buckets")
-        rest = materialize(ranked(data.select("vec_id", "vec", one), few.select("vec_id", "vec", one)), "rest")
-        out = out.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
-    discard(data, asks, few)
+        one = [F.lit(_ALL).cast("bigint").alias("slice"), "vec_id", "vec", F.lit(bytes(8)).alias("cells")]
+        rest = materialize(ranked(base.select(*one, F.lit(False).alias("is_query")), few.select(*one, F.lit(True).alias("is_query"))), "rest")
+        out = materialize(out.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest), "ranked")
+    discard(base, data, asks, few)
     return out
