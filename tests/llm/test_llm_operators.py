@@ -662,33 +662,71 @@ def test_hot_keys_are_subdivided(spark):
 # --- 1
 
 
-def test_raking_meets_targets(spark):
-    from titlewright.llm.mixing import calibrate, rake
-
+@pytest.fixture(scope="module")
+def cells(spark):
     rng = random.Random(1)
-    cells = spark.createDataFrame([(f"s{a}", f"l{b}", f"t{c}", float(rng.randint(1, 1000))) for a in range(5) for b in range(3) for c in range(2)], "source string, lang string, topic string, n double")
-    share = lambda name, ws: spark.createDataFrame([(f"{name[0]}{i}", w / sum(ws)) for i, w in enumerate(ws)], f"{name} string, target double")
+    return spark.createDataFrame([(f"s{a}", f"l{b}", f"t{c}", float(rng.randint(1, 1000)), 1) for a in range(5) for b in range(3) for c in range(2)], "source string, lang string, topic string, n double, n_rows bigint")
+
+
+def shares(spark, name, ws):
+    return spark.createDataFrame([(f"{name[0]}{i}", w / sum(ws)) for i, w in enumerate(ws)], f"{name} string, target double")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_raking_meets_targets(spark, cells, monkeypatch, small):
+    from titlewright.llm import mixing
+
+    if not small:
+        monkeypatch.setattr(mixing, "SMALL", 3)
     want = {"source": [1, 2, 3, 4, 5], "lang": [5, 1, 1], "topic": [1, 1]}
-    raked = rake(cells, {d: share(d, ws) for d, ws in want.items()}, rounds=25)
+    raked, residual = mixing.rake(cells, {d: shares(spark, d, ws) for d, ws in want.items()}, tolerance=1e-9)
+    assert residual <= 1e-9
     for d, ws in want.items():
         got = dict(map(tuple, raked.groupBy(d).agg(F.sum("w")).collect()))
-        assert all(abs(got[f"{d[0]}{i}"] - w / sum(ws)) < 1e-6 for i, w in enumerate(ws))
-    ps = calibrate(raked, 0.4).collect()
-    assert all(0 < r["p"] <= 1 for r in ps) and abs(sum(r["p"] * r["n"] for r in ps) / sum(r["n"] for r in ps) - 0.4) < 1e-6
-
-
-def test_mixing(spark, corpus):
-    from titlewright.llm.mixing import mix_sources, token_count, topic_of
-
-    own = corpus.select("doc_id", "lang", "source", "key", topic_of(F.col("text")).alias("topic"), token_count(F.col("text")).alias("tokens"))
-    got = mix_sources(own, share=0.5).collect()
-    assert len(got) == corpus.count() and {"p", "selected", "key"} <= set(got[0].asDict())
-    again = {(r["doc_id"], r["p"], r["selected"]) for r in mix_sources(own, share=0.5).collect()}
-    assert 0 < sum(r["selected"] for r in got) < len(got) and again == {(r["doc_id"], r["p"], r["selected"]) for r in got}
-    tokens = sum(r["tokens"] for r in got)
-    assert abs(sum(r["p"] * r["tokens"] for r in got) / tokens - 0.5) < 1e-6
-    assert mix_sources(own.limit(0)).collect() == []
-    assert all(r["selected"] for r in mix_sources(own.where("tokens = 0")).collect())
+        assert all(abs(got[f"{d[0]}{i}"] - w / sum(ws)) < 1e-8 for i, w in enumerate(ws))
+    for share in (0.05, 0.4, 0.95):
+        ps = mixing.calibrate(raked, share).collect()
+        assert all(0 < r["p"] <= 1 for r in ps) and abs(sum(r["p"] * r["n"] for r in ps) / sum(r["n"] for r in ps) - share) < 1e-6
+        open_ = {round(r["p"] * r["n"] / r["w"], 3) for r in ps if r["p"] < 1}
+        assert len(open_) == 1 and (share < 0.9 or any(r["p"] == 1 for r in ps))
+    assert all(r["p"] == 1 for r in mixing.calibrate(raked, 2.0).collect())
+
+
+def test_targets_that_contradict_each_other(spark, cells):
+    from titlewright.llm.mixing import rake
+
+    few = cells.where("source <> 's0' or lang = 'l0'").where("lang <> 'l0' or source = 's0'")  # s0 and l0 are the same cells
+    _, residual = rake(few, {"source": shares(spark, "source", [1, 1, 1, 1, 1]), "lang": shares(spark, "lang", [8, 1, 1])}, rounds=10)
+    assert residual > 0.1
+    _, residual = rake(cells, {"lang": shares(spark, "lang", [1, 1, 1, 1])})  # a target that no cell can meet
+    assert residual > 0.2
+    raked, residual = rake(cells.limit(0), {"lang": shares(spark, "lang", [1, 1])})
+    assert raked.collect() == [] and residual == 1.0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_mixing(spark, corpus, monkeypatch, small):
+    from titlewright.llm import mixing
+
+    if not small:
+        monkeypatch.setattr(mixing, "SMALL", 3)
+    tokens = mixing.token_count(F.col("text"))
+    clash = {n: F.lit("x") for n in ("p", "selected", "cell_0", "cell_source", "own_row", "draw_id", "w", "n", "a.b")}
+    own = corpus.select("doc_id", "lang", "source", "key", mixing.length_band(tokens).alias("topic"), tokens.alias("tokens")).withColumns(clash).repartition(3)
+    got = mixing.mix_sources(own, share=0.5)
+    assert got.columns == [c for c in own.columns if c not in ("p", "selected")] + ["p", "selected", "residual"]
+    got = got.collect()
+    assert len(got) == corpus.count() and all(r["cell_source"] == r["own_row"] == r["a.b"] == "x" for r in got)
+    assert 0 < sum(r["selected"] for r in got) < len(got)
+    total = sum(r["tokens"] for r in got)
+    assert abs(sum(r["p"] * r["tokens"] for r in got) / total - 0.5) < 1e-6
+    if small:
+        again = {(r["doc_id"], r["p"], r["selected"]) for r in mixing.mix_sources(own, share=0.5).collect()}
+        assert again == {(r["doc_id"], r["p"], r["selected"]) for r in got}
+        assert mixing.mix_sources(own.limit(0)).collect() == []
+        assert all(r["selected"] for r in mixing.mix_sources(own.where("tokens = 0")).collect())
+        twice = own.where("doc_id = 20").unionByName(own.where("doc_id = 20")).withColumn("doc_id", F.lit(None).cast("bigint"))
+        assert len({r["selected"] for r in mixing.mix_sources(twice).collect()}) == 1
 
 
 # --- 5

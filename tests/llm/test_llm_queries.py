@@ -68,11 +68,12 @@ def test_op10(spark):
 
 def brute_mix(rows):
     """Of (doc_id, text, lang, source) those that are drawn."""
-    topic = lambda t: next((n for n, p in mixing.TOPICS if re.search(p, t)), "prose")
-    cell = {i: (s or "(none)", g or "(none)", topic(t)) for i, t, g, s in rows}
+    count = {r[0]: len(words(r[1])) for r in rows}
+    band = lambda k: next((n for most, n in mixing.BANDS if k <= most), "long")
+    cell = {i: (s or "(none)", g or "(none)", band(count[i])) for i, _, g, s in rows}
     n = defaultdict(float)
-    for i, t, _, _ in rows:
-        n[cell[i]] += len(words(t))
+    for i, k in count.items():
+        n[cell[i]] += k
     targets = []
     for d in range(3):
         sums = defaultdict(float)
@@ -81,19 +82,17 @@ def brute_mix(rows):
         powers = {v: s**mixing.ALPHA for v, s in sums.items()}
         targets.append({v: p / sum(powers.values()) for v, p in powers.items()})
     w = dict(n)
-    for _ in range(mixing.ROUNDS):
+    for _ in range(60):
         for d in range(3):
             have = defaultdict(float)
             for c, k in w.items():
                 have[c[d]] += k
             w = {c: k * targets[d][c[d]] / have[c[d]] if have[c[d]] else 0.0 for c, k in w.items()}
-    budget = factor = mixing.SHARE * sum(n.values())
-    for _ in range(mixing.CALIBRATIONS):
-        full = {c for c in n if n[c] and factor * w[c] / n[c] >= 1}
-        open_ = sum(w[c] for c in n if c not in full)
-        if not open_:
-            break
-        factor = max(0.0, budget - sum(n[c] for c in full)) / open_
+    low, high = 0.0, 1e12
+    for _ in range(200):  # the factor by bisection
+        factor = (low + high) / 2
+        drawn = sum(min(n[c], factor * w[c]) for c in n)
+        low, high = (factor, high) if drawn < mixing.SHARE * sum(n.values()) else (low, factor)
     p = {c: min(1.0, factor * w[c] / n[c]) if n[c] else 1.0 for c in n}
     draw = lambda i: int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) / 2**52
     return [r for r in rows if draw(r[0]) < p[cell[r[0]]]]

@@ -24,10 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    own = docs.select("doc_id", "source", "lang", mixing.topic_of(F.col("text")).alias("topic"), mixing.token_count(F.col("text")).alias("tokens"))
-    mixed = mixing.mix_sources(materialize(own, "tokens"))
-    return mixed.select("doc_id", F.coalesce("source", F.lit("(none)")).alias("source"), F.coalesce("lang", F.lit("(none)")).alias("lang"), "topic", "tokens", F.round("p", 6).alias("p"), "selected")
+    """met tells whether all marginals are within 1e-9 of their targets."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.token_count(F.col("text")).alias("tokens"))
+    mixed = mixing.mix_sources(materialize(docs.withColumn("topic", mixing.length_band(F.col("tokens"))), "tokens"))
+    return mixed.select("doc_id", F.coalesce("source", F.lit("(none)")).alias("source"), F.coalesce("lang", F.lit("(none)")).alias("lang"), "topic", "tokens", F.round("p", 6).alias("p"), "selected", (F.col("residual") <= 1e-9).alias("met"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
