@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from titlewright.llm.bpe import bpe
 from titlewright.llm.lines import line_dedup
 from titlewright.llm.minhash import near_duplicates
-from titlewright.llm.mixing import mix_sources, token_count, topic_of
+from titlewright.llm.mixing import length_band, mix_sources, token_count
 from titlewright.llm.queries import toxicity_model
 from titlewright.llm.toxicity import score_chain
 from titlewright.session import discard, materialize
@@ -45,11 +45,11 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn for the target weights of source, language and topic."""
-    names = [f"own_{i}" for i in range(len(docs.columns))]
-    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], "doc_id", "source", "lang", topic_of(F.col("text")).alias("topic"), token_count(F.col("text")).alias("tokens"))
-    mixed = mix_sources(own).where("selected")
-    return mixed.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+    """The documents drawn for the target weights of source, language and band of length. Documents without words follow their
+    cell, null ids are drawn alike, and rows that share an id and a cell are drawn together."""
+    own = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("own"), "doc_id", "source", "lang", token_count(F.col("text")).alias("tokens"))
+    mixed = mix_sources(own.withColumn("topic", length_band(F.col("tokens"))))
+    return mixed.where("selected").select("own.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
