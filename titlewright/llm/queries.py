@@ -46,16 +46,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents"), digest=True)
 
 
+#: From the general to the particular: unfit is either of the others.
+CATEGORIES = ("unfit", "low_quality", "toxic")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Model:
-    """The chain of the labels table: low quality first, then toxic, which sees the former's probability."""
-    labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return fit_chain(docs, labels, ("low_quality", "toxic"))
+    """The chain of the labels table: each category's model sees the probabilities of those before it."""
+    low = 1 - F.col("quality")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.greatest(low, "toxic").alias("unfit"), low.alias("low_quality"), "toxic")
+    return fit_chain(docs, labels, CATEGORIES)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """f1 is the out-of-fold F1 of the last category, the same in all rows."""
     docs = _table(spark, sf_dir, "documents")
-    scored = score_chain(docs, toxicity_model(spark, sf_dir, docs))
-    return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), "toxic", (~F.col("toxic")).alias("kept"))
+    model = toxicity_model(spark, sf_dir, docs)
+    return score_chain(docs, model).select("doc_id", *[F.round(f"p_{c}", 6).alias(f"p_{c}") for c in CATEGORIES], "toxic", (~F.col("toxic")).alias("kept"), F.lit(round(model.accuracy[-1], 6)).alias("f1"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Features are the presence of words and word beginnings that separate the classes in the labelled rows, and a few shares of the
 text's characters and words. In training, the earlier categories' probabilities come from models that haven't seen the row
-(out-of-fold), as they will in use. The models are fitted on the driver on a bounded sample of labelled rows.
+(out-of-fold), as they will in use. The models are fitted on the driver on a bounded sample of labelled rows, of which only the
+chosen words come there: words are counted and chosen on the executors.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlewright.llm.arrow import map_arrow
+from titlewright.llm.arrow import longs, map_arrow
+from titlewright.session import discard, materialize
 
 
 _PUNCT = bytes(32 if i < 48 or 58 <= i <= 64 or 91 <= i <= 96 or 123 <= i <= 127 else i for i in range(256))
@@ -103,15 +105,41 @@ def _fit(x: np.ndarray, y: np.ndarray, part: np.ndarray, cfg: Chain) -> np.ndarr
     return w.astype(np.float64)
 
 
-def _ratio(a: np.ndarray, df: np.ndarray, positives: float, rows: float) -> np.ndarray:
-    """The likelihood ratio of each feature, that is in df rows of which a are positive."""
+def _ratio(a: Column, df: Column, positives: float, rows: float) -> Column:
+    """The likelihood ratio of a feature that is in df rows of which a are positive."""
 
-    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    def part(seen: Column, expected: Column) -> Column:
+        return seen * F.log(F.greatest(seen, F.lit(1e-9)) / F.greatest(expected, F.lit(1e-9)))
 
-    share = positives / rows
-    out = part(a, df * share) + part(df - a, df * (1 - share)) + part(positives - a, (rows - df) * share) + part(rows - positives - (df - a), (rows - df) * (1 - share))
-    return 2 * out
+    share, rest = positives / rows, F.lit(float(rows)) - df
+    return 2 * (part(a, df * share) + part(df - a, df * (1 - share)) + part(positives - a, rest * share) + part(rest - (positives - a), rest * (1 - share)))
+
+
+def _count_rows(it, n: int):
+    """Of each batch's features, in how many rows they are (h, df) and in how many of each category (a0, ...)."""
+    for batch in it:
+        parts = [np.frombuffer(p.as_buffer(), np.uint32) for p in batch.column("parts")]
+        if not parts:
+            continue
+        h, df = np.unique(np.concatenate(parts), return_counts=True)
+        columns = [longs(h), longs(df)]
+        for i in range(n):
+            hit, many = np.unique(np.concatenate([p for p, y in zip(parts, batch.column(f"y{i}").to_pylist(), strict=True) if y] or [h[:0]]), return_counts=True)
+            own = np.zeros(len(h), np.int64)
+            own[np.searchsorted(h, hit)] = many
+            columns.append(longs(own))
+        yield pa.RecordBatch.from_arrays(columns, ["h", "df", *[f"a{i}" for i in range(n)]])
+
+
+def _hit_rows(it, names: np.ndarray):
+    """Of each row's features the numbers of those that were chosen."""
+    for batch in it:
+        hits = []
+        for p in batch.column("parts"):
+            own = np.frombuffer(p.as_buffer(), np.uint32)
+            hits.append(np.flatnonzero(np.isin(names, own)).astype(np.int32).tobytes())
+        rest = [batch.column(c) for c in batch.schema.names if c != "parts"]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(hits, pa.binary())], [*(c for c in batch.schema.names if c != "parts"), "hits"])
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -158,42 +186,45 @@ class Model:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], cfg: Chain | None = None) -> Model:
     """A chain for the 0/1 columns `categories` of labels (doc_id and those), in that order. Rows without a label, an id or a
-    document are left out. Without rows, or with one class only, a category is that class (or 0.5) for all and nothing is flagged."""
+    document are left out, as are labels other than 0 and 1; rows that repeat an id count once, with the least text and the greatest labels. Null and empty texts have no
+    words. Long texts count whole; what comes to the driver is bounded by cfg.sample rows of the chosen features. Without rows, or
+    with one class only, a category is that class (or 0.5) for all and nothing is flagged."""
     cfg = cfg or Chain()
     y_of = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)]).dropna()
+    y_of = y_of.where(" and ".join(f"y{i} in (0, 1)" for i in range(len(categories))))
     last = f"y{len(categories) - 1}"
-    counts = {r[0]: r[1] for r in y_of.where(f"{last} in (0, 1)").groupBy(last).count().collect()}
+    counts = {r[0]: r[1] for r in y_of.groupBy(last).count().collect()}
     rate = {k: min(1.0, share * cfg.sample / max(1, counts.get(k, 0))) for k, share in ((1, 1 / 3), (0, 2 / 3))}
     draw = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = y_of.where(draw < F.when(F.col(last) == 1, rate[1]).otherwise(rate[0])).dropDuplicates(["doc_id"])
+    chosen = y_of.where(draw < F.when(F.col(last) == 1, rate[1]).otherwise(rate[0])).groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))])
     # Bounded by cfg.sample.
-    some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+    some = some.groupBy("doc_id", *[f"y{i}" for i in range(len(categories))]).agg(F.min("text").alias("text"))
     names = ["doc_id", *[f"y{i}" for i in range(len(categories))]]
-    got = map_arrow(some.select(*names, "text"), _feature_rows, "doc_id bigint, " + "".join(f"y{i} int, " for i in range(len(categories))) + "parts binary, dense binary")
-    rows = sorted(got.collect())
-    if not rows:
+    ys = "".join(f"y{i} int, " for i in range(len(categories)))
+    got = materialize(map_arrow(some.select(*names, "text"), _feature_rows, f"doc_id bigint, {ys}parts binary, dense binary"), "features")
+    total = got.agg(F.count("*"), *[F.sum(f"y{i}") for i in range(len(categories))]).first()
+    if not total[0]:
+        discard(got)
         return Model(categories, {}, [np.zeros(_DENSE + i + 1) for i in range(len(categories))], [1.1] * len(categories), [0.0] * len(categories))
-    ids = [r[0] for r in rows]
-    y = np.array([r[1 : 1 + len(categories)] for r in rows], np.float64)
-    parts = [np.frombuffer(r["parts"], np.uint32) for r in rows]
-    dense = np.array([np.frombuffer(r["dense"]) for r in rows], np.float32)
-    del rows
-    seen, df = np.unique(np.concatenate(parts), return_counts=True)
-    seen, df = seen[df >= 5], df[df >= 5]
+    counts = map_arrow(got, lambda it: _count_rows(it, len(categories)), "h bigint, df bigint" + "".join(f", a{i} bigint" for i in range(len(categories))))
+    counts = materialize(counts.groupBy("h").agg(F.sum("df").alias("df"), *[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(categories))]).where("df >= 5"), "counts")
     chosen_parts: set[int] = set()
     for i in range(len(categories)):
-        a = np.zeros(len(seen))
-        hit, n = np.unique(np.concatenate([p for p, one in zip(parts, y[:, i], strict=True) if one] or [seen[:0]]), return_counts=True)
-        both = np.isin(hit, seen)
-        a[np.searchsorted(seen, hit[both])] = n[both]
-        g2 = _ratio(a, df, y[:, i].sum(), len(ids)) * (a * len(ids) > df * y[:, i].sum())  # signs of a category, none against it
-        top = np.argsort(-g2, kind="stable")[: cfg.features]
-        chosen_parts |= set(seen[top[g2[top] >= cfg.least]].tolist())
+        sign = counts.where(F.col(f"a{i}") * total[0] > F.col("df") * total[i + 1])  # signs of a category, none against it
+        g2 = sign.select("h", _ratio(F.col(f"a{i}"), F.col("df"), float(total[i + 1]), float(total[0])).alias("g2")).where(F.col("g2") >= cfg.least)
+        chosen_parts |= {r[0] for r in g2.orderBy(F.desc("g2"), "h").limit(cfg.features).collect()}
     names = np.array(sorted(chosen_parts), np.uint32)
+    rows = sorted(map_arrow(got, lambda it: _hit_rows(it, names), f"doc_id bigint, {ys}dense binary, hits binary").collect())
+    discard(got, counts)
+    ids = [r[0] for r in rows]
+    y = np.array([r[1 : 1 + len(categories)] for r in rows], np.float64)
+    dense = np.array([np.frombuffer(r["dense"]) for r in rows], np.float32)
     n_words, width = len(names), len(names) + _DENSE
     x = np.zeros((len(ids), width + len(categories) + 1), np.float32)  # words, shares, earlier categories, 1
-    for row, p in enumerate(parts):
-        x[row, np.searchsorted(names, p[np.isin(p, names)])] = 1
+    for i, r in enumerate(rows):
+        x[i, np.frombuffer(r["hits"], np.int32)] = 1
+    del rows
     x[:, n_words:width] = dense
     x[:, -1] = 1
     fold = np.array([zlib.crc32(str(i).encode()) % cfg.folds for i in ids])
