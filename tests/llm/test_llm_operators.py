@@ -496,6 +496,28 @@ def test_warc(spark, tmp_path):
     assert read_warc(spark, f"file://{tmp_path}/none").collect() == []
 
 
+def test_one_hot_payload_beside_many(spark, monkeypatch):
+    from titlewright.llm import warc
+
+    rows = [(i, f"u{i}", "hot " * 300 if i % 3 == 0 else f"{i // 6} " * 600, "x") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, strong string")
+    last = {}
+    for i, _, h, _ in rows:
+        last[h] = i
+    for few in (1000, 3):  # broadcast, and split by how often payloads come
+        monkeypatch.setattr(warc, "_FEW", few)
+        got = {r["page_id"]: r for r in warc.roles(pages).collect()}
+        assert len(got) == 300 and all(got[i]["refers_to"] == (None if last[h] == i else last[h]) and got[i]["digest"] == hashlib.sha1(h.encode()).hexdigest() for i, _, h, _ in rows)
+
+
+def test_any_bytes_pass_the_text_writer(spark, tmp_path):
+    raw = [bytes(range(256)) * 40, b"\xff\xfe\x80" * 1000, random.Random(3).randbytes(50_000), b""]
+    df = spark.createDataFrame([(x,) for x in raw], "members binary").coalesce(1)
+    df.select(F.col("members").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", "\x1f\x8b").text(str(tmp_path / "t"))
+    whole = b"".join(f.read_bytes() for f in sorted((tmp_path / "t").glob("part-*")))
+    assert sorted(whole.split(b"\x1f\x8b")[:-1]) == sorted(raw) or whole == b"".join(x + b"\x1f\x8b" for x in raw)
+
+
 def test_false_magic_inside_a_member(tmp_path):
     from titlewright.llm.warc import MAGIC, _member, _record, _Window
     from pyarrow import fs

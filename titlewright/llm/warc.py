@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import map_arrow
 from titlewright.llm.files import open_fs
+from titlewright.llm.skew import keyed_join
+from titlewright.session import materialize
 
 MAGIC = b"\x1f\x8b\x08"
 #: Fixed value: a gzip member of no bytes.
@@ -27,14 +29,27 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ROW = 2 << 20
 
 
+#: So many repeated payloads, some 20 MB of digests, are broadcast.
+_FEW = 200_000
+
+
 def roles(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
-    """page_id, url, payload, digest, refers_to: refers_to is set for those whose payload a larger page_id also has."""
+    """page_id, url, payload, digest, refers_to: refers_to is set for those whose payload a larger page_id also has.
+
+    Payloads are equal if their SHA-256 and sizes are. Roles are found on ids, hashes and sizes. Payloads stay where they are if
+    those that repeat are few; of more than that, those that very many pages have still do."""
     src = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
-    src = src.withColumn("digest", F.sha1("payload")).withColumn("size", F.length("payload"))
-    large = src.where(F.col("size") >= least_bytes)
-    most = large.groupBy("digest", "size").agg(F.max("page_id").alias("winner"), F.min(F.coalesce("page_id", F.lit(-(1 << 63)))).alias("least"))
-    most = most.where("least < winner").select("digest", "size", "winner")
-    return src.join(most, ["digest", "size"], "left").withColumn("refers_to", F.when(F.coalesce("page_id", F.lit(-(1 << 63))) < F.col("winner"), F.col("winner"))).drop("winner")
+    size, strong = F.length("payload"), F.when(F.length("payload") >= least_bytes, F.unhex(F.sha2("payload", 256)))
+    large = src.select("page_id", strong.alias("strong"), size.alias("size")).where("strong is not null")
+    most = large.groupBy("strong", "size").agg(F.max("page_id").alias("winner"), F.min(F.coalesce("page_id", F.lit(-(1 << 63)))).alias("least"), F.count("*").alias("n"))
+    most = materialize(most.where("least < winner").drop("least"), "repeated")
+    own = src.withColumn("digest", F.sha1("payload")).withColumn("strong", strong).withColumn("size", size)
+    if most.limit(_FEW + 1).count() <= _FEW:
+        out = own.join(F.broadcast(most.drop("n")), ["strong", "size"], "left")
+    else:
+        out = keyed_join(own, most, ["strong", "size"], "left")
+    to = F.when(F.coalesce("page_id", F.lit(-(1 << 63))) < F.col("winner"), F.col("winner"))
+    return out.select("page_id", "url", "payload", "digest", to.alias("refers_to"))
 
 
 def _record(page, url, payload: bytes, digest: str, refers_to, date: str) -> bytes:
@@ -69,8 +84,9 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 1000, date: str =
 
     Of rows with equal payloads of at least `least_bytes` bytes, those of the largest page_id are responses and the others
     revisit it; smaller ones are all responses. Repeated rows of the largest page_id are all responses. A null html is an empty
-    payload, a null url leaves its header out, a null page_id is less than any other and stays null when read. Bytes of a
-    url that a header can't hold are percent-encoded. An empty table gives archives without records.
+    payload, a null url leaves its header out, a null page_id is less than any other and stays null when read. Record ids are made
+    of page ids, so rows that repeat one have the same. Bytes of a url that a header can't hold are percent-encoded. A payload, however
+    long, is one record, which a worker holds whole. An empty table gives archives without records.
     """
     members = map_arrow(roles(pages, least_bytes), lambda it: _member_rows(it, date, level), "members binary")
     members.select(F.col("members").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
