@@ -4,33 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from titlewright.functions import dims
+
+
+
+def _values(rows: list[tuple]) -> str:
+    """Rows of SQL; numbers with a fraction as doubles in both dialects."""
+    text = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else f"{x!r}E0" if isinstance(x, float) else str(x)
+    return ", ".join(f"({', '.join(map(text, r))})" for r in rows)
+
+
+_IDS = {name: i for i, name in dims.MOVIE_GENRES.items()}
+_GENRES = [(i, name, _IDS[name], float(dims.RARITY[name])) for i, name in enumerate(dims.PRIMARY)]
+_LABELS = [(i, name, *(("subgenres", 0.7) if i < len(dims.SUBGENRES) else ("thematic", 0.55))) for i, name in enumerate(dims.SUBGENRES + dims.THEMATIC)]
+_MOODS = list(enumerate(dims.MOODS))
+_GROUNDING = ("police procedural", "heist", "serial killer", "spy/espionage", "assassin/hitman", "time travel", "cyberpunk", "zombie", "slasher", "superhero", "coming-of-age", "martial arts", "biopic", "mockumentary")
+_KEYWORDS = [(i, *k) for i, k in enumerate([(k, name) for name in _GROUNDING for k in dims.GROUNDING[name]] + [(dims.ANIME_KEYWORD, "")])]
+
 #: Common table expressions; to be put after WITH. They read the table documents.
-ADAPTERS = """
-genre_dim(gi, genre, genre_id, w) AS (SELECT a.gi, a.genre, a.genre_id, CAST(a.w100 AS DOUBLE) / 100 FROM (VALUES
- (0,'Action',28,85),(1,'Adventure',12,100),(2,'Animation',16,120),(3,'Comedy',35,65),(4,'Crime',80,135),(5,'Documentary',99,145),
- (6,'Drama',18,50),(7,'Family',10751,115),(8,'Fantasy',14,115),(9,'History',36,145),(10,'Horror',27,120),(11,'Music',10402,155),
- (12,'Mystery',9648,125),(13,'Romance',10749,100),(14,'Science Fiction',878,110),(15,'Thriller',53,90),(16,'War',10752,155),
- (17,'Western',37,185)) AS a(gi, genre, genre_id, w100)),
-label_dim(li, label, family, thr) AS (SELECT a.li, a.label, CASE WHEN a.li < 19 THEN 'subgenres' ELSE 'thematic' END,
- CASE WHEN a.li < 19 THEN CAST(0.70 AS DOUBLE) ELSE CAST(0.55 AS DOUBLE) END FROM (VALUES
- (0,'Romantic Comedy'),(1,'Action Comedy'),(2,'Horror Comedy'),(3,'Dark Comedy'),(4,'Crime Comedy'),(5,'Crime Thriller'),
- (6,'Action Thriller'),(7,'Psychological Thriller'),(8,'Legal/Courtroom Drama'),(9,'Medical Drama'),(10,'Romantic Drama'),
- (11,'War Drama'),(12,'Historical/Period Drama'),(13,'Sci-Fi Horror'),(14,'Sci-Fi Action'),(15,'Fantasy Adventure'),(16,'Neo-Noir'),
- (17,'Supernatural Horror'),(18,'Coming-of-Age'),(19,'Police Procedural'),(20,'Heist'),(21,'Serial Killer'),(22,'Spy/Espionage'),
- (23,'Assassin/Hitman'),(24,'Time Travel'),(25,'Cyberpunk'),(26,'Dystopian/Post-Apocalyptic'),(27,'Zombie'),(28,'Slasher'),
- (29,'Vampire'),(30,'Werewolf/Monster'),(31,'Superhero'),(32,'Mockumentary'),(33,'Whodunit/Murder Mystery'),(34,'Biopic'),
- (35,'Disaster'),(36,'Sports'),(37,'Martial Arts'),(38,'Prison'),(39,'Road Movie'),(40,'Survival'),(41,'Political'),(42,'Musical'),
- (43,'Narco'),(44,'Giallo'),(45,'Hong Kong Action'),(46,'Samurai'),(47,'Telenovela')) AS a(li, label)),
-mood_dim(mi, mood) AS (SELECT a.mi, a.mood FROM (VALUES
- (0,'Slow-burn'),(1,'Feel-good'),(2,'Mind-bending'),(3,'Cozy'),(4,'Dark & Gritty'),(5,'Wholesome'),(6,'Tearjerker'),
- (7,'Tense/Edge-of-seat'),(8,'Quirky/Offbeat'),(9,'Visually-stunning'),(10,'Twist-ending'),(11,'Bingeable'),(12,'Comfort-watch'),
- (13,'Thought-provoking')) AS a(mi, mood)),
-kw_dim(ki, keyword_id, grounds) AS (SELECT a.ki, a.keyword_id, a.grounds FROM (VALUES
- (0,268067,'police procedural'),(1,15167,'police procedural'),(2,6149,'police procedural'),(3,10051,'heist'),(4,10714,'serial killer'),
- (5,5265,'spy/espionage'),(6,236615,'spy/espionage'),(7,782,'assassin/hitman'),(8,177964,'assassin/hitman'),(9,4379,'time travel'),
- (10,12190,'cyberpunk'),(11,12377,'zombie'),(12,186565,'zombie'),(13,12339,'slasher'),(14,9715,'superhero'),(15,10683,'coming-of-age'),
- (16,779,'martial arts'),(17,780,'martial arts'),(18,9917,'martial arts'),(19,9672,'biopic'),(20,11800,'mockumentary'),
- (21,210024,'')) AS a(ki, keyword_id, grounds)),
+ADAPTERS = f"""
+genre_dim(gi, genre, genre_id, w) AS (SELECT * FROM (VALUES {_values(_GENRES)}) AS a(gi, genre, genre_id, w)),
+label_dim(li, label, family, thr) AS (SELECT * FROM (VALUES {_values(_LABELS)}) AS a(li, label, family, thr)),
+mood_dim(mi, mood) AS (SELECT * FROM (VALUES {_values(_MOODS)}) AS a(mi, mood)),
+kw_dim(ki, keyword_id, grounds) AS (SELECT * FROM (VALUES {_values(_KEYWORDS)}) AS a(ki, keyword_id, grounds)),
 three(k) AS (SELECT a.k FROM (VALUES (0),(1),(2)) AS a(k)),
 titles AS (SELECT doc_id AS tmdb_id, CASE WHEN doc_id % 4 = 3 THEN 'tv' ELSE 'movie' END AS media_type,
  concat('Title ', CAST(doc_id AS STRING)) AS title, CAST(1920 + doc_id % 107 AS INT) AS year,

@@ -136,10 +136,10 @@ def assemble(spark: SparkSession, out_dir: str, batch: int, force: bool = False,
         raise StepError(f"no vote passes for batch {batch}")
     ledger = Ledger(spark, at.classify_ledger)
     todo = titles if force else enrich.pending(titles, ledger.read(), KEY)
-    key = ["tmdb_id"]
-    of = ballots.join(todo.select("tmdb_id"), key, "left_semi")
-    items = lambda axis: of.select("tmdb_id", "pass", F.posexplode(axis).alias("pos", "l")).select("tmdb_id", "pass", "pos", "l.label", "l.confidence")
-    records = classify.index_records(todo, of, items("subgenres"), items("moods"), key, cfg)
+    # Votes know ids only: a film and a series of one id both have them, each with its own keywords.
+    of = ballots.join(todo.select(*KEY), "tmdb_id")
+    items = lambda axis: of.select(*KEY, "pass", F.posexplode(axis).alias("pos", "l")).select(*KEY, "pass", "pos", "l.label", "l.confidence")
+    records = classify.index_records(todo, of, items("subgenres"), items("moods"), KEY, cfg)
     named = records.withColumn("text", embed.embedding_text())
     vectors = (embedder or embed.HashingEmbedder()).transform(named, KEY, "text")
     rows = vectors.select("media_type", "tmdb_id", "primary_genre", "subgenres", "moods", "source", "animated", "v", "seq")
@@ -147,10 +147,10 @@ def assemble(spark: SparkSession, out_dir: str, batch: int, force: bool = False,
     store_batch = f"{at.store}/batch_id={done:09d}"
     rows.write.mode("overwrite").parquet(store_batch)
     written = spark.read.parquet(store_batch).select(*KEY, F.lit("ok").alias("outcome"))
-    voted = todo.join(of.select("tmdb_id").distinct(), key, "left_semi").select(*KEY)
+    voted = of.select(*KEY).distinct()
     no_primary = voted.join(written, KEY, "left_anti").withColumn("outcome", F.lit("no_primary"))
     entered = ledger.append(written.unionByName(no_primary), done)
-    missing = classify.missing_votes(todo, of, key).count()
+    missing = classify.missing_votes(todo, of, KEY).count()
     return {"batchId": batch, "classifiedTotal": ledger.read().select(*KEY).distinct().count(), "noPrimary": entered.where("outcome = 'no_primary'").count(), "missingVotes": missing}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from titlewright.functions import dims, text
 from titlewright.operators import classify, discover, embed, enrich, score, store, votes
 from titlewright.plans.adapters import ADAPTERS, adapted
+from titlewright.session import materialize
 from titlewright.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,7 +102,7 @@ def _r(c: str | Column) -> Column:
 
 @query("SELECT doc_id, unnest(range(1, len(t) + 1))::INT AS pos, unnest(t) AS token FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM documents)")
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = table(spark, sf_dir, "documents").repartition("doc_id").select("doc_id", F.posexplode(text.tokenize(F.col("text"))).alias("pos", "token"))
+    out = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.tokenize(F.col("text"))).alias("pos", "token"))
     return out.withColumn("pos", F.col("pos") + 1)
 
 
@@ -120,7 +121,7 @@ s AS (SELECT doc_id, idx, greatest(-127, least(127, sign(x) * floor(abs(x::DOUBL
 
 @query(_HASHED + " SELECT t AS token, (h >> 32)::BIGINT AS hi, (h % 4294967296)::BIGINT AS lo, (h % 384)::BIGINT AS bucket, CASE WHEN (h >> 33) % 2 = 0 THEN 1 ELSE -1 END::BIGINT AS sign FROM dic")
 def fnv1a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = table(spark, sf_dir, "documents").repartition("doc_id").select(F.explode(text.tokenize(F.col("text"))).alias("token")).distinct()
+    tokens = table(spark, sf_dir, "documents").select(F.explode(text.tokenize(F.col("text"))).alias("token")).distinct()
     h = tokens.withColumn("h", text.fnv1a(F.col("token")))
     return h.select("token", "h.hi", "h.lo", text.bucket(F.col("h"), embed.DIM).alias("bucket"), text.sign(F.col("h")).alias("sign"))
 
@@ -426,7 +427,8 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _label_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicted = records(spark, sf_dir)
+    # Read three times, made once.
+    predicted = materialize(records(spark, sf_dir).select("tmdb_id", "subgenres", "moods"), "records")
     gold = score.covered(golden(spark, sf_dir), predicted, KEY)
     names = F.transform(F.concat("subgenres", "moods"), lambda x: x["label"])
     of = predicted.join(gold.select("tmdb_id"), "tmdb_id", "left_semi")
