@@ -1,4 +1,4 @@
-"""The command line: worklist, enrich, enrich-ids, escalation, assemble, finalize, score.
+"""The command line: worklist, enrich, enrich-ids, escalation, assemble, finalize, score, publish.
 
 Exit codes: 0 done, 1 a step failed or an argument is missing, 2 no such command, 3 a score missed its gate.
 """
@@ -11,7 +11,7 @@ import sys
 from titlewright.operators.classify import ClassifierConfig
 from titlewright.plans import build
 
-USAGE = "usage: python -m titlewright.cli worklist|enrich|enrich-ids|escalation|assemble|finalize|score [--name value | --flag]..."
+USAGE = "usage: python -m titlewright.cli worklist|enrich|enrich-ids|escalation|assemble|finalize|score|publish [--name value | --flag]..."
 
 
 class Args:
@@ -104,7 +104,13 @@ def _score(spark, args: Args) -> int:
     return 0
 
 
-COMMANDS = {"worklist": _worklist, "enrich": _enrich, "enrich-ids": _enrich_ids, "escalation": _escalation, "assemble": _assemble, "finalize": _finalize, "score": _score}
+def _publish(spark, args: Args) -> int:
+    for name, size in build.publish(spark, args.need("--out-dir"), args.need("--to")).items():
+        print(f"published {name}: {size} bytes")
+    return 0
+
+
+COMMANDS = {"worklist": _worklist, "enrich": _enrich, "enrich-ids": _enrich_ids, "escalation": _escalation, "assemble": _assemble, "finalize": _finalize, "score": _score, "publish": _publish}
 
 
 def main(argv: list[str], spark=None) -> int:

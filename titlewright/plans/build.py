@@ -3,6 +3,7 @@ below one folder, and can be run again."""
 
 from __future__ import annotations
 
+import json
 import os
 from datetime import datetime
 
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlewright.functions import dims
+from titlewright.session import materialize
 from titlewright.operators import classify, discover, embed, enrich, score, store, votes
-from titlewright.sources import readers, sinks
+from titlewright.sources import readers, sinks, storage
 from titlewright.streaming.ledger import Ledger
 
 KEY = store.KEY
@@ -31,20 +33,21 @@ class Layout:
         self.escalate = lambda n: at(f"escalate/batch-{n}.json")
         self.votes = lambda n, p="*": at(f"votes/batch-{n}-pass{p}.json")
         self.labels, self.vectors = at(f"labels-{dims.VERSION}.json"), at(f"vectors-{sinks.EMBEDDING}.bin")
-        self.meta, self.report, self.log = at("dataset.meta.json"), at("report.json"), at("enrich-log.txt")
+        self.meta, self.report, self.log = at("dataset.meta.json"), at("report.json"), at("enrich-log")
+
+
+_TITLE = ["tmdb_id", "media_type", "title", "year", "overview", "genre_ids", "genres", "keyword_ids", "keywords", "origin_country", "original_language", "vote_count"]
 
 
 def _write_titles(df: DataFrame, path: str) -> int:
     """One list of titles by id; a batch is a few hundred rows."""
-    rows = [r.asDict(recursive=True) for r in readers.camel(df).orderBy("tmdbId").toLocalIterator()]
-    sinks.write_json(rows, path)
-    return len(rows)
+    return sinks.write_list(readers.camel(df.select(*_TITLE)).orderBy("tmdbId", "mediaType"), path)
 
 
-def _log(path: str, line: str) -> None:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "a", encoding="utf-8") as f:
-        f.write(line + "\n")
+def _log(lines: DataFrame, path: str) -> None:
+    """Adds lines (a column of text) to the log, a folder of text files."""
+    if not lines.isEmpty():
+        lines.coalesce(1).write.mode("append").text(path)
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -69,9 +72,7 @@ def worklist(spark: SparkSession, source: str, out: str, mode: str = "discover",
             got = discover.worklist_top(titles, count, floor)
         else:
             got = discover.worklist_by_year(titles, count, floor, *years)
-    rows = [{"tmdbId": r[0], "mediaType": r[1]} for r in got.select("tmdb_id", "media_type").toLocalIterator()]
-    sinks.write_json(rows, out)
-    return len(rows)
+    return sinks.write_list(readers.camel(got.select("tmdb_id", "media_type")), out)
 
 
 def enrich_batch(spark: SparkSession, work: str, source: str, out_dir: str, floor: int = enrich.VOTE_FLOOR, limit: int = 150) -> dict:
@@ -89,10 +90,9 @@ def enrich_batch(spark: SparkSession, work: str, source: str, out_dir: str, floo
     got = enrich.enrich(picked, catalogue(spark, source), KEY, floor)
     entered = ledger.append(got.select(*KEY, "outcome"), batch)
     ok = got.join(entered.where("outcome = 'ok'").select(*KEY), KEY, "left_semi")
-    count = _write_titles(ok.select("tmdb_id", "media_type", "title", "year", "overview", "genre_ids", "genres", "keyword_ids", "keywords", "origin_country", "original_language", "vote_count"), at.enriched(batch))
+    count = _write_titles(ok, at.enriched(batch))
     totals = {r[0]: r[1] for r in entered.groupBy("outcome").count().collect()}
-    for r in entered.where("outcome = 'failure'").toLocalIterator():
-        _log(at.log, f"fetch-failure id={r['tmdb_id']}")
+    _log(entered.where("outcome = 'failure'").select(F.format_string("fetch-failure id=%d", "tmdb_id")), at.log)
     n = lambda k: totals.get(k, 0)
     return {"batchId": batch, "count": count, "belowFloor": n("below_floor"), "anime": n("anime"), "noOverview": n("no_overview"), "failures": n("failure"), "remaining": remaining - sum(totals.values()), "batch": at.enriched(batch)}
 
@@ -102,7 +102,7 @@ def enrich_ids(spark: SparkSession, ids: str, source: str, out_dir: str, batch:
     at = Layout(out_dir)
     wanted = votes.decode_passes(readers.vote_files(spark, ids)).where("tmdb_id is not null").select("tmdb_id")
     found = wanted.join(catalogue(spark, source).where(F.col("media_type") == media), "tmdb_id")
-    count = _write_titles(found.select("tmdb_id", "media_type", "title", "year", "overview", "genre_ids", "genres", "keyword_ids", "keywords", "origin_country", "original_language", "vote_count"), at.enriched(batch))
+    count = _write_titles(found, at.enriched(batch))
     return {"batchId": batch, "requested": wanted.count(), "enriched": count}
 
 
@@ -114,12 +114,12 @@ def escalation(spark: SparkSession, out_dir: str, batch: int) -> dict:
     """The batch's titles that need more passes. Without a first pass all do."""
     at = Layout(out_dir)
     titles = readers.titles(spark, at.enriched(batch))
-    if os.path.exists(at.votes(batch, "1")):
+    if storage.exists(spark, at.votes(batch, "1")):
         first = votes.first_votes(_passes(spark, at, batch, "1"))
     else:
         first = spark.createDataFrame([], f"tmdb_id bigint, primary_genre string, subgenres {readers.LABELS}")
     marked = classify.escalation(titles, first, ["tmdb_id"])
-    count = _write_titles(marked.where("escalate").drop("escalate"), at.escalate(batch))
+    count = _write_titles(marked.where("escalate"), at.escalate(batch))
     return {"batchId": batch, "escalate": count, "total": titles.count(), "file": at.escalate(batch)}
 
 
@@ -129,8 +129,7 @@ def assemble(spark: SparkSession, out_dir: str, batch: int, force: bool = False,
     at = Layout(out_dir)
     titles = readers.titles(spark, at.enriched(batch)).withColumn("seq", F.monotonically_increasing_id())
     passes = _passes(spark, at, batch)
-    for r in passes.where("not valid").select("file").distinct().collect():
-        _log(at.log, f"bad-vote-pass {r[0]} (unparseable, skipped)")
+    _log(passes.where("not valid").select(F.format_string("bad-vote-pass %s (unparseable, skipped)", "file")).distinct(), at.log)
     ballots = votes.first_votes(passes)
     if ballots.isEmpty():
         raise StepError(f"no vote passes for batch {batch}")
@@ -163,16 +162,17 @@ def read_store(spark: SparkSession, out_dir: str) -> DataFrame:
 def finalize(spark: SparkSession, out_dir: str, built: datetime | None = None) -> dict:
     """The published files from the store; the manifest is returned."""
     at = Layout(out_dir)
-    records = read_store(spark, out_dir).orderBy("seq")
+    # Put in order once; checks, files and report all read it.
+    records = materialize(read_store(spark, out_dir).orderBy("seq"), "store").orderBy("seq")
     checks = records.agg(F.count("*"), F.max(F.size("v")), F.min(F.size("v"))).first()
     count, dim = checks[0], checks[1] or 0
     if count and checks[1] != checks[2]:
         raise StepError("the store holds vectors of different lengths")
     labels = (at.labels, *sinks.write_labels(records, at.labels, dims.VERSION, count))
     vectors = (at.vectors, *sinks.write_vectors(records, at.vectors, count, dim))
-    sinks.gzip_copy(at.labels)
+    storage.gzip_copy(spark, at.labels)
     meta = sinks.manifest(labels, vectors, count, dim, dims.VERSION, built)
-    sinks.write_json(meta, at.meta)
+    sinks.write_json(spark, meta, at.meta)
     outcomes = {}
     for name in (at.enrich_ledger, at.classify_ledger):
         outcomes |= {r[0]: r[1] for r in Ledger(spark, name).read().groupBy("outcome").count().collect() if r[0] != "ok"}
@@ -181,10 +181,28 @@ def finalize(spark: SparkSession, out_dir: str, built: datetime | None = None) -
         "processed": count, "skippedBelowVoteFloor": n("below_floor"), "fetchFailures": n("failure"), "llmCalls": 0, "byPrimaryGenre": dict(map(tuple, store.genre_distribution(records).collect())),
         "confidenceHistogram": dict(map(tuple, store.confidence_histogram(records).collect())),
     }
-    sinks.write_json({"anime": n("anime"), "noPrimary": n("no_primary"), "noOverview": n("no_overview"), "report": report}, at.report)
+    sinks.write_json(spark, {"anime": n("anime"), "noPrimary": n("no_primary"), "noOverview": n("no_overview"), "report": report}, at.report)
     return meta
 
 
+def publish(spark: SparkSession, out_dir: str, to: str) -> dict:
+    """The four published files, if they are all there and are what the manifest says, copied to the folder of the current release;
+    gives their names and sizes. The manifest comes last, so that a reader of it finds the others."""
+    at = Layout(out_dir)
+    files = [at.labels, at.labels + ".gz", at.vectors, at.meta]
+    if lacking := [os.path.basename(f) for f in files if not storage.exists(spark, f)]:
+        raise StepError(f"nothing to publish: no {', '.join(lacking)}")
+    meta = json.loads(storage.read_text(spark, at.meta))
+    for kind, file in (("labels", at.labels), ("vectors", at.vectors)):
+        if (storage.size(spark, file), storage.sha256(spark, file)) != (meta[f"{kind}Bytes"], meta[f"{kind}Sha256"]):
+            raise StepError(f"{os.path.basename(file)} isn't what the manifest says")
+    if meta["datasetVersion"] != sinks.dataset_version(meta["labelsSha256"], meta["vectorsSha256"]):
+        raise StepError("the manifest's version isn't that of its files")
+    for file in files:
+        storage.copy(spark, file, os.path.join(to, os.path.basename(file)))
+    return {os.path.basename(f): storage.size(spark, f) for f in files}
+
+
 def score_labels(spark: SparkSession, labels: str, golden: str) -> dict:
     """Scores of a labels file against a golden file, and whether the gate failed."""
     gold, rows = readers.golden(spark, golden), readers.records(spark, labels)

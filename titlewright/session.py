@@ -28,11 +28,13 @@ def ship_code() -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir`` (or the context's checkpoint folder). Only where neither is set, as
-    in tests on one machine, a folder of our own is made.
+    It is the session's ``spark.checkpoint.dir`` (or the context's checkpoint folder). Only where neither is set and all is one
+    process, as in tests, a folder of our own is made; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _LOCAL:
             os.makedirs("/tmp/checkpoints", exist_ok=True)
             _LOCAL.append(tempfile.mkdtemp(dir="/tmp/checkpoints"))

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
 import os
-import shutil
 import struct
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titlewright.functions.text import row_hex
+from titlewright.sources.storage import write_file
+
 EMBEDDING, QUANTIZATION = "e02", "int8-symmetric-x127"
 
 
@@ -50,69 +52,58 @@ def leaks(df: DataFrame, word: str = "overview") -> DataFrame:
     return df.agg(F.count("*").alias("records"), F.count_if(F.contains("json", F.lit(word))).alias("leaking"))
 
 
-class _Hashed:
-    """A file being written, its size and SHA-256."""
-
-    def __init__(self, path: str):
-        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-        self.path, self.file, self.sha, self.size = path, open(path + ".tmp", "wb"), hashlib.sha256(), 0  # noqa: SIM115
-
-    def write(self, data: bytes) -> None:
-        self.file.write(data)
-        self.sha.update(data)
-        self.size += len(data)
-
-    def close(self) -> None:
-        self.file.close()
-        os.replace(self.path + ".tmp", self.path)
-
-
 def _rows(df: DataFrame, column: str) -> Iterator:
     return (r[0] for r in df.select(column).toLocalIterator(prefetchPartitions=True))
 
 
 def write_labels(records: DataFrame, path: str, version: str, count: int) -> tuple[str, int]:
     """The artifact {count, records, taxonomyVersion}; records come in the table's order. Gives its hash and size."""
-    out = _Hashed(path)
-    out.write(b'{"count":%d,"records":[' % count)
-    for i, line in enumerate(_rows(record_json(records), "json")):
-        if "overview" in line:
-            out.file.close()
-            os.remove(path + ".tmp")
-            raise ValueError("refusing to publish: a record holds raw text")
-        out.write((b"," if i else b"") + line.encode())
-    out.write(b'],"taxonomyVersion":"%s"}' % version.encode())
-    out.close()
-    return out.sha.hexdigest(), out.size
+
+    def parts() -> Iterator[bytes]:
+        yield b'{"count":%d,"records":[' % count
+        for i, line in enumerate(_rows(record_json(records), "json")):
+            if "overview" in line:
+                raise ValueError("refusing to publish: a record holds raw text")
+            yield (b"," if i else b"") + line.encode()
+        yield b'],"taxonomyVersion":"%s"}' % version.encode()
+
+    return write_file(records.sparkSession, path, parts())
 
 
 def write_vectors(records: DataFrame, path: str, count: int, dim: int) -> tuple[str, int]:
     """Count and dimension as little-endian 32-bit integers, then the vectors' bytes. Gives its hash and size."""
-    from titlewright.functions.text import row_hex
+    rows = _rows(records.select(F.unhex(row_hex(F.col("v"))).alias("row")), "row")
+    return write_file(records.sparkSession, path, chain([struct.pack("<ii", count, dim if count else 0)], map(bytes, rows)))
+
+
+def json_line(df: DataFrame, name: str = "json") -> DataFrame:
+    """df's rows as lines of JSON with their keys in order and nulls written out."""
+    columns = sorted(df.columns)
+    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]), {"ignoreNullFields": "false"}).alias(name))
+
 
-    out = _Hashed(path)
-    out.write(struct.pack("<ii", count, dim if count else 0))
-    for row in _rows(records.select(F.unhex(row_hex(F.col("v"))).alias("row")), "row"):
-        out.write(bytes(row))
-    out.close()
-    return out.sha.hexdigest(), out.size
+def write_list(df: DataFrame, path: str) -> int:
+    """df's rows, in its order, as one list of JSON; gives their number. They stream through the driver."""
+    n = 0
 
+    def parts() -> Iterator[bytes]:
+        nonlocal n
+        yield b"["
+        for line in _rows(json_line(df), "json"):
+            yield (b",\n" if n else b"\n") + line.encode()
+            n += 1
+        yield b"\n]\n"
 
-def gzip_copy(path: str) -> str:
-    """path.gz beside the file, the same for the same content."""
-    with open(path, "rb") as src, open(path + ".gz", "wb") as raw, gzip.GzipFile("", "wb", mtime=0, fileobj=raw) as to:
-        shutil.copyfileobj(src, to)
-    return path + ".gz"
+    write_file(df.sparkSession, path, parts())
+    return n
 
 
 def dataset_version(labels_sha: str, vectors_sha: str) -> str:
     return hashlib.sha256(f"{labels_sha}:{vectors_sha}".encode()).hexdigest()[:12]
 
 
-def write_json(value, path: str, pretty: bool = True) -> None:
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, sort_keys=True, indent=2 if pretty else None)
+def write_json(spark: SparkSession, value, path: str, pretty: bool = True) -> None:
+    write_file(spark, path, [json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2 if pretty else None).encode()])
 
 
 def manifest(labels: tuple[str, str, int], vectors: tuple[str, str, int], count: int, dims: int, version: str, built: datetime | None = None) -> dict:
