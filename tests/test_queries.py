@@ -1,7 +1,7 @@
 import pytest
 from tests_support import compare
 
-from titlewright.plans import queries
+from titlewright.plans import artifacts, queries  # noqa: F401
 
 SQL = queries.oracle_sql()
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from abc import ABC, abstractmethod
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlewright.functions.text import json_in_prose
+from titlewright.operators import classify
+from titlewright.operators.store import KEY
+from titlewright.session import materialize
 
 DEFAULT_CONFIDENCE = 0.7
 _NUMBER = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
@@ -61,3 +67,37 @@ def parse_strict(text: Column) -> Column:
     none = F.array().cast(_LABELS)
     vote = F.struct(raw["primary_genre"].alias("primary_genre"), F.coalesce(raw["subgenres"], none).alias("subgenres"), F.coalesce(raw["moods"], none).alias("moods"))
     return F.when(sound & whole("subgenres") & whole("moods"), vote)
+
+
+class VoteSource(ABC):
+    """Whoever answers labelling requests, such as a model behind mapInArrow or a table of answers."""
+
+    @abstractmethod
+    def answers(self, requests: DataFrame, sample: int) -> DataFrame:
+        """media_type, tmdb_id and raw (prose with one vote as JSON) for requests (media_type, tmdb_id, system, user, max_tokens,
+        temperature). sample counts from 1: the same requests are put once for each."""
+
+
+class NoVotes(VoteSource):
+    """The default: votes come from files, nobody is asked."""
+
+    def answers(self, requests: DataFrame, sample: int) -> DataFrame:
+        raise NotImplementedError("no source of votes is set up")
+
+
+def ask(titles: DataFrame, source: VoteSource, samples: int = 3) -> DataFrame:
+    """media_type, tmdb_id, pass, primary_genre, subgenres, moods of the answers that parse, `samples` (at least one) for each title."""
+    wanted = classify.requests(titles)
+    each = [source.answers(wanted, n).select(*KEY, F.lit(n).alias("pass"), parse_strict(F.col("raw")).alias("vote")) for n in range(1, max(1, samples) + 1)]
+    return reduce(DataFrame.unionByName, each).where("vote is not null").select(*KEY, "pass", "vote.*")
+
+
+def items(ballots: DataFrame, axis: str, key: list[str] = KEY) -> DataFrame:
+    """key, pass, pos, label, confidence of the labels on one axis."""
+    return ballots.select(*key, "pass", F.posexplode(axis).alias("pos", "l")).select(*key, "pass", "pos", "l.label", "l.confidence")
+
+
+def classify_titles(titles: DataFrame, source: VoteSource, samples: int = 3, cfg: classify.ClassifierConfig | None = None) -> DataFrame:
+    """The records of titles by the answers of a source."""
+    ballots = materialize(ask(titles, source, samples), "ballots")  # nobody is asked twice
+    return classify.index_records(titles, ballots, items(ballots, "subgenres"), items(ballots, "moods"), KEY, cfg)

@@ -136,9 +136,8 @@ def assemble(spark: SparkSession, out_dir: str, batch: int, force: bool = False,
     ledger = Ledger(spark, at.classify_ledger)
     todo = titles if force else enrich.pending(titles, ledger.read(), KEY)
     # Votes know ids only: a film and a series of one id both have them, each with its own keywords.
-    of = ballots.join(todo.select(*KEY), "tmdb_id")
-    items = lambda axis: of.select(*KEY, "pass", F.posexplode(axis).alias("pos", "l")).select(*KEY, "pass", "pos", "l.label", "l.confidence")
-    records = classify.index_records(todo, of, items("subgenres"), items("moods"), KEY, cfg)
+    of = materialize(ballots.join(todo.select(*KEY), "tmdb_id"), "ballots")
+    records = classify.index_records(todo, of, votes.items(of, "subgenres"), votes.items(of, "moods"), KEY, cfg)
     named = records.withColumn("text", embed.embedding_text())
     vectors = (embedder or embed.HashingEmbedder()).transform(named, KEY, "text")
     rows = vectors.select("media_type", "tmdb_id", "primary_genre", "subgenres", "moods", "source", "animated", "v", "seq")

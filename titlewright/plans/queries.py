@@ -175,10 +175,11 @@ def date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", text.iso8601(at).alias("iso8601"), text.rfc1123(at).alias("rfc1123"), text.year_of(F.date_format(at, "yyyy-MM-dd")).alias("year"))
 
 
-@query("SELECT doc_id, regexp_extract(p, '(?s)\\{.*\\}', 0) AS json FROM (SELECT doc_id, 'Sure:' || chr(10) || '```json' || chr(10) || '{\"id\": {\"n\": ' || doc_id || '}}' || chr(10) || '``` done' AS p FROM documents)")
+@query("SELECT doc_id, md5(nullif(regexp_extract(translate(text, '.,', '{}'), '(?s)\\{.*\\}', 0), '')) AS json FROM documents")
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prose = F.concat(F.lit('Sure:\n```json\n{"id": {"n": '), F.col("doc_id").cast("string"), F.lit("}}\n``` done"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.json_in_prose(prose).alias("json"))
+    """Whole texts with full stops for opening and commas for closing braces."""
+    prose = F.translate("text", ".,", "{}")
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.json_in_prose(prose)).alias("json"))
 
 
 # --- sources
@@ -408,15 +409,10 @@ def labels_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.record_json(records(spark, sf_dir)).select("tmdb_id", "json")
 
 
-@query(_CLASSIFY + "SELECT count(*) AS records, 0::BIGINT AS leaking FROM prim", adapters=True)
-def raw_text_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.leaks(sinks.record_json(records(spark, sf_dir)))
-
-
 @query("SELECT lang, substr(sha256(sha256(min(source)) || ':' || sha256(max(source))), 1, 12) AS version FROM documents GROUP BY lang")
 def dataset_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = table(spark, sf_dir, "documents").groupBy("lang").agg(F.min("source").alias("a"), F.max("source").alias("b"))
-    return both.select("lang", F.substring(F.sha2(F.concat_ws(":", F.sha2("a", 256), F.sha2("b", 256)), 256), 1, 12).alias("version"))
+    return both.select("lang", sinks.version_of(F.sha2("a", 256), F.sha2("b", 256)).alias("version"))
 
 
 # --- scores
@@ -464,26 +460,27 @@ def score_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- decoding and prompts
 
-_PASSES = [
-    ("batch-1-pass1.json", '[{"tmdbId":1,"primary_genre":"Drama","subgenres":["Heist",{"label":"N","confidence":0.8},{"label":"Z"},{"label":"X","confidence":"0.9"},{"label":"I","confidence":1}]},{"tmdbId":2},{"tmdbId":1,"subgenres":["Second"]}]'),
-    ("batch-1-pass10.json", '[{"tmdbId":1,"primary_genre":null,"moods":["Cozy"],"subgenres":null}]'),
-    ("batch-1-pass2.json", '[{"tmdbId":3,"subgenres":[{"confidence":0.5}]}]'),
-    ("batch-1-pass3.json", "not json"),
-]
+_LENIENT = """CASE doc_id % 5 WHEN 0 THEN '"L' || doc_id || '"' WHEN 1 THEN '{"label":"L' || doc_id || '","confidence":0.8}' WHEN 2 THEN '{"label":"L' || doc_id || '"}' WHEN 3 THEN '{"label":"L' || doc_id || '","confidence":"0.9"}' ELSE '{"label":"L' || doc_id || '","confidence":1}' END"""
 
 
-@query("""SELECT * FROM (VALUES (1::BIGINT, 1, 'subgenres', 0, 'Heist', 0.7::DOUBLE), (1, 1, 'subgenres', 1, 'N', 0.8), (1, 1, 'subgenres', 2, 'Z', 0.7), (1, 1, 'subgenres', 3, 'X', 0.7), (1, 1, 'subgenres', 4, 'I', 1.0), (1, 2, 'moods', 0, 'Cozy', 0.7)) AS v(tmdb_id, pass, axis, pos, label, confidence)""")
+@query("""SELECT doc_id AS tmdb_id, (doc_id % 8 + 1)::INT AS pass, n AS pos, CASE WHEN n = 1 THEN lang ELSE 'L' || doc_id END AS label, CASE WHEN n = 1 THEN 0.7 ELSE CASE doc_id % 5 WHEN 1 THEN 0.8 WHEN 4 THEN 1.0 ELSE 0.7 END END::DOUBLE AS confidence
+FROM documents, (SELECT unnest([0, 1]) AS n) WHERE doc_id % 8 <> 7""")
 def lenient_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = votes.first_votes(votes.decode_passes(spark.createDataFrame(_PASSES, "file string, json string")))
-    axis = lambda a: first.select("tmdb_id", "pass", F.lit(a).alias("axis"), F.posexplode(a).alias("pos", "l")).select("tmdb_id", "pass", "axis", "pos", "l.label", "l.confidence")
-    return axis("subgenres").unionByName(axis("moods"))
+    """Eight pass files of all documents' ids, each vote with a label in one of five shapes and a bare string, and a second vote of the
+    same id, which doesn't count. A label object without a label makes the last file invalid."""
+    vote = F.expr("""concat('{"tmdbId":', doc_id, ',"primary_genre":null,"moods":null,"subgenres":[', """ + _LENIENT + """, ',"', lang, '"', if(doc_id % 8 = 7, ',{"confidence":0.5}', ''), ']},{"tmdbId":', doc_id, ',"subgenres":["Second"]}')""")
+    by_file = table(spark, sf_dir, "documents").groupBy(F.concat(F.lit("batch-1-pass"), (F.col("doc_id") % 8 + 1).cast("string"), F.lit(".json")).alias("file"))
+    raw = by_file.agg(F.concat(F.lit("["), F.array_join(F.collect_list(vote), ","), F.lit("]")).alias("json"))
+    first = votes.first_votes(votes.decode_passes(raw))
+    return votes.items(first, "subgenres", KEY).select("tmdb_id", "pass", "pos", "label", "confidence")
 
 
-@query("""SELECT * FROM (VALUES (1, true, 'Drama', 1), (2, false, NULL, -1), (3, false, NULL, -1), (4, true, NULL, 0)) AS v(n, parsed, primary_genre, subgenres)""")
+@query("SELECT doc_id, doc_id % 4 IN (0, 3) AS parsed, CASE WHEN doc_id % 4 = 0 THEN lang END AS primary_genre, CASE doc_id % 4 WHEN 0 THEN 1 WHEN 3 THEN 0 ELSE -1 END AS subgenres FROM documents")
 def strict_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raws = [(1, 'Here: ```json\n{"primary_genre":"Drama","subgenres":[{"label":"Heist","confidence":0.9}]}\n```'), (2, '{"primary_genre":"Drama","subgenres":["Heist"]}'), (3, "no braces"), (4, '{"moods":null}')]
-    v = spark.createDataFrame(raws, "n int, raw string").withColumn("v", votes.parse_strict(F.col("raw")))
-    return v.select("n", F.col("v").isNotNull().alias("parsed"), "v.primary_genre", F.when(F.col("v").isNotNull(), F.size("v.subgenres")).otherwise(-1).alias("subgenres"))
+    """Answers in prose: sound ones, bare strings for labels, no braces, and lists that are null."""
+    raw = F.expr("""CASE doc_id % 4 WHEN 0 THEN concat('Here: ```json\n{"primary_genre":"', lang, '","subgenres":[{"label":"', source, '","confidence":0.9}]}\n```') WHEN 1 THEN concat('{"primary_genre":"Drama","subgenres":["', source, '"]}') WHEN 2 THEN 'no braces' ELSE '{"moods":null}' END""")
+    v = table(spark, sf_dir, "documents").select("doc_id", votes.parse_strict(raw).alias("v"))
+    return v.select("doc_id", F.col("v").isNotNull().alias("parsed"), "v.primary_genre", F.when(F.col("v").isNotNull(), F.size("v.subgenres")).otherwise(-1).alias("subgenres"))
 
 
 @query(f""", g AS (SELECT tmdb_id, string_agg(genre, ', ' ORDER BY pos) AS s FROM title_genres GROUP BY 1), k AS (SELECT tmdb_id, string_agg('k' || keyword_id, ', ' ORDER BY pos) AS s FROM title_keywords GROUP BY 1)

@@ -98,6 +98,11 @@ def write_list(df: DataFrame, path: str) -> int:
     return n
 
 
+def version_of(labels_sha: Column, vectors_sha: Column) -> Column:
+    """The version of a dataset whose files have these hashes."""
+    return F.substring(F.sha2(F.concat_ws(":", labels_sha, vectors_sha), 256), 1, 12)
+
+
 def dataset_version(labels_sha: str, vectors_sha: str) -> str:
     return hashlib.sha256(f"{labels_sha}:{vectors_sha}".encode()).hexdigest()[:12]
 
