@@ -30,7 +30,7 @@ from titlewright.session import discard, materialize
 _ALL = -1
 _SLICES = 1 << 24
 _LAST = 2048
-_BINS = 512
+_BINS = 256
 
 
 @dataclass(frozen=True)
@@ -45,21 +45,28 @@ class Tables:
     bands: int = 12
     whole: int = 512
     parts: int = 4
-    slice_rows: int = 16_384
+    slice_rows: int = 32_768
     block: int = 65_536
     query_block: int = 4096
     seed: int = 7
 
 
-def hadamard(x: np.ndarray) -> np.ndarray:
-    """The Walsh-Hadamard transform of each row, whose length is a power of two, in n log n steps."""
-    rows, n = x.shape
+def _butterflies(x: np.ndarray) -> np.ndarray:
+    """The Walsh-Hadamard transform of each column, whose length is a power of two, in n log n steps of whole rows."""
+    n, other = len(x), np.empty_like(x)
     h = 1
     while h < n:
-        y = x.reshape(rows, n // (2 * h), 2, h)
-        x = np.concatenate((y[:, :, :1] + y[:, :, 1:], y[:, :, :1] - y[:, :, 1:]), 2).reshape(rows, n)
+        pairs, out = x.reshape(n // (2 * h), 2, h, -1), other.reshape(n // (2 * h), 2, h, -1)
+        np.add(pairs[:, 0], pairs[:, 1], out=out[:, 0])
+        np.subtract(pairs[:, 0], pairs[:, 1], out=out[:, 1])
+        x, other = other, x
         h *= 2
-    return x / np.sqrt(n)
+    return x
+
+
+def hadamard(x: np.ndarray) -> np.ndarray:
+    """The orthonormal transform of each row."""
+    return _butterflies(np.ascontiguousarray(x.T)).T / np.sqrt(x.shape[1])
 
 
 def _axes(dim: int) -> int:
@@ -96,15 +103,16 @@ def turned(x: np.ndarray, axes: tuple[int, ...], cfg: Tables):
     """For each table the directions of x, filled up with zeros to a power of two and turned, once for each component: signed
     axes as columns, as many of them as the component has."""
     n = _axes(x.shape[1])
-    wide = np.zeros((len(x), n))
-    wide[:, : x.shape[1]] = _directions(x)
+    wide = np.zeros((n, len(x)), np.float32)
+    wide[: x.shape[1]] = _directions(x).T
     for t in range(cfg.tables):
         out = []
         for part, some in enumerate(axes):
             y = wide
-            for signs in np.random.default_rng((cfg.seed, t, part)).integers(0, 2, (3, n)) * 2.0 - 1:
-                y = hadamard(y * signs)
-            out.append(np.concatenate((y[:, :some], -y[:, :some]), 1))
+            for signs in np.random.default_rng((cfg.seed, t, part)).integers(0, 2, (3, n, 1)).astype(np.float32) * 2 - 1:
+                y = _butterflies(y * signs)
+            near = y[:some].T * np.float32(n**-1.5)
+            out.append(np.concatenate((near, -near), 1))
         yield out
 
 
@@ -134,7 +142,7 @@ def _halves(parts: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _visited(parts: list[np.ndarray], row: int, n: int) -> np.ndarray:
-    """The n cells that a query is nearest to, and those that are as near as the last of them but for 1/512 of the range."""
+    """The n cells that a query is nearest to, and those that are as near as the last of them but for 1/256 of the range."""
     a, b = _halves(parts, row)
     width = (np.ptp(a) + np.ptp(b)) / (_BINS - 1) + 1e-300
     counts = np.convolve(*(np.bincount(((x - x.min()) / width).astype(np.int64), minlength=_BINS) for x in (a, b)))
@@ -181,41 +189,57 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str, dim: int) -> np.ndarr
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), dim).astype(np.float64)
 
 
-_HASHED = "slice bigint, is_query boolean, vec_id bigint, vec binary, cells binary"
+_HASHED = "vec_id bigint, vec binary, places array<struct<slice:bigint,cells:binary>>"
+_PLACES = pa.list_(pa.struct([("slice", pa.int64()), ("cells", pa.binary())]))
 
 
 def _hash_rows(it, cfg: Tables, dim: int, band_of: dict[int, int], bands: list[Band], kind: str):
-    """Each row in its slice of each table, with its cell; rows of a band of few rows in the slice of all."""
+    """Each row with its slice and cell in each table; rows of a band of few rows with the slice of all."""
     for batch in it:
         x = _matrix(batch.column("vec"), kind, dim)
         own = np.array([band_of[e] for e in batch.column("exponent").to_pylist()], np.int64)
         for lo in range(0, len(x), 2048):
             for number in np.unique(own[lo : lo + 2048]).tolist():
                 at = lo + np.flatnonzero(own[lo : lo + 2048] == number)
-                ids, vecs = batch.column("vec_id").take(pa.array(at)), batch.column("vec").take(pa.array(at))
-                cells = np.zeros((len(at), 1), np.int64) if number == _ALL else _cells(x[at], bands[number], cfg)
-                for t in range(cells.shape[1]):
-                    where = np.full(len(at), _ALL) if number == _ALL else _slice(bands[number], t, cells[:, t], cfg)
-                    yield pa.RecordBatch.from_arrays([longs(where), pa.array([False] * len(at)), ids, vecs, pa.array([c.tobytes() for c in cells[:, t]], pa.binary())], ["slice", "is_query", "vec_id", "vec", "cells"])
+                if number == _ALL:
+                    where, cells = np.full((len(at), 1), _ALL), np.zeros((len(at), 1), np.int64)
+                else:
+                    cells = _cells(x[at], bands[number], cfg)
+                    where = np.stack([_slice(bands[number], t, cells[:, t], cfg) for t in range(cfg.tables)], 1)
+                n, width = where.shape
+                each = pa.StructArray.from_arrays([longs(where.reshape(-1)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), n * width, [None, pa.py_buffer(np.ascontiguousarray(cells).tobytes())]).cast(pa.binary())], ["slice", "cells"])
+                places = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(width)), each)
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), batch.column("vec").take(pa.array(at)), places], ["vec_id", "vec", "places"])
+
+
+def _packed(cells: np.ndarray) -> bytes:
+    """Cells in order: the first, then the steps, in two bytes each if they are small enough."""
+    steps = np.diff(cells)
+    narrow = not len(steps) or steps.max() < 1 << 16
+    return cells[:1].tobytes() + (b"\1" if narrow else b"\0") + steps.astype(np.uint16 if narrow else np.int64).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint16 if data[8] else np.int64, -1, 9)
+    return np.cumsum(np.concatenate((np.frombuffer(data, np.int64, 1), steps.astype(np.int64))))
 
 
 def _probe_rows(it, cfg: Tables, dim: int, bands: list[Band], any_whole: bool, kind: str, share: float):
-    """Each query in every slice that it visits, with the cells that it visits there."""
+    """Each query with every slice that it visits and the cells that it visits there."""
     for batch in it:
         x = _matrix(batch.column("vec"), kind, dim)
         for lo in range(0, len(x), 128):
-            ids, vecs = batch.column("vec_id").slice(lo, 128).to_pylist(), batch.column("vec").slice(lo, 128).to_pylist()
-            rows = [(_ALL, i, b"") for i in range(len(ids))] if any_whole else []
+            some = x[lo : lo + 128]
+            places = [[{"slice": _ALL, "cells": b""}] if any_whole else [] for _ in some]
             for band in bands:
-                for t, parts in enumerate(turned(x[lo : lo + 128], band.axes, cfg)):
-                    for i in range(len(ids)):
-                        cells = _visited(parts, i, max(1, math.ceil(share * band.cells)))
+                n = max(1, math.ceil(share * band.cells))
+                for t, parts in enumerate(turned(some, band.axes, cfg)):
+                    for i in range(len(some)):
+                        cells = _visited(parts, i, n)
                         where = _slice(band, t, cells, cfg)
-                        cut = np.flatnonzero(np.diff(where)) + 1
-                        rows += [(int(where[s]), i, cells[s:e].tobytes()) for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(cells)], strict=True)]
-            for k in range(0, len(rows), 4096):
-                some = rows[k : k + 4096]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([True] * len(some)), pa.array([ids[r[1]] for r in some], pa.int64()), pa.array([vecs[r[1]] for r in some], pa.binary()), pa.array([r[2] for r in some], pa.binary())], ["slice", "is_query", "vec_id", "vec", "cells"])
+                        cut = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(cells)] if band.slices > 1 else [0, len(cells)]
+                        places[i] += [{"slice": int(where[s]), "cells": _packed(cells[s:e])} for s, e in zip(cut, cut[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").slice(lo, 128), batch.column("vec").slice(lo, 128), pa.array(places, _PLACES)], ["vec_id", "vec", "places"])
 
 
 def _vector_rows(it, dim: int, kind: str):
@@ -280,7 +304,7 @@ def _score_rows(it, dim: int, kind: str, k: int):
                 rows = slice(None)
                 n = len(ids)
             else:
-                visit = np.frombuffer(wanted, np.int64)
+                visit = _unpacked(wanted)
                 if near:
                     visit = visit[(visit >= first) & (visit <= cell[-1])] - first
                     lo, hi = begins[visit], begins[visit + 1]
@@ -378,11 +402,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
 
     def ranked(data: DataFrame, asks: DataFrame) -> DataFrame:
         # A row for each slice: far fewer than there are vectors. Spark broadcasts it if it is small.
-        count = lambda df, block, name: df.groupBy("slice").agg(F.ceil(F.count("*") / block).alias(name))
+        count = lambda df, block, name: df.select(F.explode("places.slice").alias("slice")).groupBy("slice").agg(F.ceil(F.count("*") / block).alias(name))
+        row = lambda df, query: df.select("vec_id", "vec", F.lit(query).alias("is_query"), F.inline("places"))
         blocks = count(data, cfg.block, "nd").join(count(asks, cfg.query_block, "nq"), "slice")
         spread, zero = F.xxhash64("vec_id"), F.lit(0).cast("bigint")
-        held = data.join(blocks, "slice").withColumn("db", F.pmod(spread, "nd")).withColumn("qb", F.explode(F.sequence(zero, F.col("nq") - 1)))
-        asked = asks.join(blocks, "slice").withColumn("db", F.explode(F.sequence(zero, F.col("nd") - 1))).withColumn("qb", F.pmod(spread, "nq"))
+        held = row(data, False).join(blocks, "slice").withColumn("db", F.pmod(spread, "nd")).withColumn("qb", F.explode(F.sequence(zero, F.col("nq") - 1)))
+        asked = row(asks, True).join(blocks, "slice").withColumn("db", F.explode(F.sequence(zero, F.col("nd") - 1))).withColumn("qb", F.pmod(spread, "nq"))
         columns = ["slice", "db", "qb", "is_query", "vec_id", "vec", "cells"]
         dealt = held.select(*columns).unionByName(asked.select(*columns)).repartition("slice", "db", "qb").sortWithinPartitions("slice", "db", "qb")
         found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
@@ -394,8 +419,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     few = queries.join(got, F.col("vec_id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "vec")
     few = materialize(few, "few")
     if not few.isEmpty():
-        one = [F.lit(_ALL).cast("bigint").alias("slice"), "vec_id", "vec", F.lit(bytes(8)).alias("cells")]
-        rest = materialize(ranked(base.select(*one, F.lit(False).alias("is_query")), few.select(*one, F.lit(True).alias("is_query"))), "rest")
+        one = ["vec_id", "vec", F.array(F.struct(F.lit(_ALL).cast("bigint").alias("slice"), F.lit(bytes(8)).alias("cells"))).alias("places")]
+        rest = materialize(ranked(base.select(*one), few.select(*one)), "rest")
         out = materialize(out.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest), "ranked")
     discard(base, data, asks, few)
     return out
