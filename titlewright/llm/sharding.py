@@ -53,7 +53,10 @@ def _splitters(part: DataFrame, rate: Column, ranges: Column, salt: int) -> list
 
 def ranged(rows: DataFrame, rounds: int = 4) -> DataFrame:
     """rows with the column range. Ranges are in the order of (key, doc_id) and hold about 50,000 records, up to 4,096 of
-    them at first; those with over twice an even share of records or bytes are subdivided, in up to `rounds` rounds."""
+    them at first; those with over twice an even share of records or bytes are subdivided, in up to `rounds` rounds. Tables of
+    fewer records than ranges stay one range, without a sample. Ranges only decide which task orders which records: where one
+    record outweighs a range, or the rounds end, it stays overfull and the shards are the same. Null ids come first among equal
+    keys, repeated rows fall into one range, and an empty table has none."""
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     count = min(_MOST_RANGES, max(64, 1 << max(0, n // 50_000).bit_length()))
     at: list[tuple[int, int]] = []
@@ -102,13 +105,21 @@ def assign_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
-    """The rows of docs below path, in a folder for each shard (shard=0, ...), with the column slot."""
-    keyed = docs.select("*", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("shard_size"), F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("shard_crc32"))
-    numbered = keyed.withColumn("shard_turn", F.row_number().over(Window.partitionBy("doc_id", "shard_size", "shard_crc32").orderBy(F.lit(0))))
-    turns = assign_shards(docs, shards).withColumn("turn", F.row_number().over(Window.partitionBy("doc_id", "size", "text_crc32").orderBy("shard", "slot")))
-    turns = turns.select(F.col("doc_id").alias("own_id"), F.col("size").alias("shard_size"), F.col("text_crc32").alias("shard_crc32"), F.col("turn").alias("shard_turn"), "shard", "slot")
-    both = numbered.join(turns, ["shard_size", "shard_crc32", "shard_turn"]).where(F.col("doc_id").eqNullSafe(F.col("own_id")))
-    both.drop("own_id", "shard_size", "shard_crc32", "shard_turn").write.partitionBy("shard").parquet(path)
+    """The rows of docs below path, in a folder for each shard (shard=0, ...), with the column slot, by the law of assign_shards.
+
+    Columns of docs named shard and slot are replaced by these; all others are kept. Null and empty texts and null ids are rows
+    like any other. Rows that share id, size and check sum take these rows' slots in any order. Texts, however long, travel once,
+    with the join to their place. An empty table writes no rows.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    own = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]).alias("own")
+    keys = ["own_id", "own_size", "own_crc32"]
+    keyed = docs.select(own, F.col("doc_id").cast("bigint").alias("own_id"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("own_size"), F.crc32(text).alias("own_crc32"))
+    numbered = keyed.withColumn("own_turn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    turns = assign_shards(docs.select("doc_id", "text"), shards).select(F.col("doc_id").alias("its_id"), F.col("size").alias("own_size"), F.col("text_crc32").alias("own_crc32"), "shard", "slot")
+    turns = turns.withColumn("own_turn", F.row_number().over(Window.partitionBy("its_id", "own_size", "own_crc32").orderBy("shard", "slot")))
+    both = numbered.join(turns, ["own_size", "own_crc32", "own_turn"]).where(F.col("own_id").eqNullSafe(F.col("its_id")))
+    both.select("own.*", "shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 #: text_crc32 folds over bytes with a table that a rule builds: eight shifts of each byte.
