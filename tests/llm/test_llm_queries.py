@@ -105,13 +105,42 @@ def test_op7(spark):
     assert hits >= 0.9 * total
 
 
+def packets(ts):
+    """(PID, unit start, random access, payload) of each packet of a transport stream."""
+    for i in range(0, len(ts), 188):
+        p = ts[i : i + 188]
+        assert len(p) == 188 and p[0] == 0x47
+        begin, random_access = 4, False
+        if p[3] & 0x20:
+            begin = 5 + p[4]
+            random_access = p[4] > 0 and bool(p[5] & 0x40)
+        yield (p[1] << 8 | p[2]) & 0x1FFF, bool(p[1] & 0x40), random_access, i, p[begin:] if p[3] & 0x10 else b""
+
+
 def test_op9(spark):
+    from titlewright.llm.transport import DATA_PID, store_transport
+
     got = {r["doc_id"]: r for r in queries.op9_media_columns(spark, SF).collect()}
+    media = {r["doc_id"]: bytes(r["media"]) for r in store_transport(documents(spark)).collect()}
     for r in documents(spark).collect():
         raw = (r["text"] or "").encode()
         full = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
-        g = got[r["doc_id"]]
+        g, ts = got[r["doc_id"]], media[r["doc_id"]]
         assert (g["n_bytes"], g["payload_bytes"], g["payload_sha256"], g["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-16:]))
+        assert (g["media_bytes"], g["media_sha256"]) == (len(ts), hashlib.sha256(ts).hexdigest())
+        mine = [p for p in packets(ts) if p[0] == DATA_PID]
+        units, data = [], b""
+        for _, start, random_access, at, body in mine:
+            if start:  # a header of nine bytes and the time stamp behind it
+                pts = body[9:14]
+                units.append((((pts[0] >> 1) & 7) << 30 | pts[1] << 22 | (pts[2] >> 1) << 15 | pts[3] << 7 | pts[4] >> 1, random_access, at))
+                body = body[9 + body[8] :]
+            data += body
+        assert data == full
+        feature = dict(x.split("=") for x in g["feature"].split(";"))
+        points = [(t, at) for t, access, at in units if access]
+        assert [(p["pts"], p["offset"]) for p in g["points"]] == points and points
+        assert feature == {"streams": "1", "kind": "6", "packets": str(len(ts) // 188), "units": str(len(units)), "points": str(len(points)), "first": str(units[0][0]), "last": str(units[-1][0]), "lost": "0", "broken": "0"}
 
 
 def test_op10(spark):

@@ -77,7 +77,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_transport(store_transport(_table(spark, sf_dir, "documents")), digest=True).drop("points")
+    return read_transport(store_transport(_table(spark, sf_dir, "documents")), digest=True)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

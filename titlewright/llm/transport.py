@@ -277,8 +277,11 @@ def _read_rows(it, digest: bool):
 
 def read_transport(media: DataFrame, digest: bool = False) -> DataFrame:
     """Each stream taken apart: the payload and times of its first elementary stream, a summary and the random-access points
-    with their times and offsets; other columns are kept. With digest, hashes stand for payload and media. A null or
-    foreign stream has an empty payload and no points."""
+    with their times and offsets; other columns are kept, but for those of the result's own names, which are replaced. With
+    digest, hashes stand for payload and media. A null or foreign stream has an empty payload and no points. Repeated rows are
+    read alike, an empty table gives no rows, and a stream, however long, is held in memory as a whole."""
+    made = {"payload_bytes", "feature", "points", *(("payload_sha256", "tail_crc32", "media_bytes", "media_sha256") if digest else ("payload", "times"))}
+    media = media.select(*[F.col(f"`{c}`").alias(c) for c in media.columns if c not in made])
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in media.schema if f.name != "media")
     own = "payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string" if digest else "payload binary, times array<bigint>"
     return map_arrow(media, lambda it: _read_rows(it, digest), f"{kept}, payload_bytes bigint, {own}, feature string, {_POINTS}")
