@@ -420,7 +420,10 @@ def test_transport(spark, corpus, rows):
         assert digests[i]["media_bytes"] == len(media[i]) and len(media[i]) % PACKET == 0
         assert got[i]["times"] == [k * 12 * 2160 for k in range(len(got[i]["times"]))] and got[i]["points"][0]["pts"] == 0
     assert read_transport(store_transport(empty(corpus))).collect() == []
-    foreign = spark.createDataFrame([(1, None), (2, b""), (3, b"no stream")], "doc_id bigint, media binary")
+    foreign = spark.createDataFrame([(1, None, "x", 0), (2, b"", "y", 0), (3, b"no stream", "z", 0)], "doc_id bigint, media binary, payload_bytes string, points int")
+    for digest in (False, True):
+        back = read_transport(foreign, digest)
+        assert len(set(back.columns)) == len(back.columns) and [r["payload_bytes"] for r in back.collect()] == [0, 0, 0]
     assert [r["payload"] for r in read_transport(foreign).collect()] == [b"", b"", b""]
 
 
@@ -669,8 +672,13 @@ def test_sharding(spark, corpus, rows, tmp_path):
     assert all(abs(bytes_[k] - even) <= most for k in range(16))
     assert assign_shards(empty(corpus)).collect() == []
     path = str(tmp_path / "shards")
-    write_shards(corpus.limit(40), path, 4)
-    assert spark.read.parquet(path).count() == 40
+    own = corpus.limit(40).withColumn("slot", F.lit("mine")).withColumn("shard", F.lit(7)).withColumn("own_id", F.col("doc_id") + 1).unionByName(corpus.limit(1).withColumns({"slot": F.lit(""), "shard": F.lit(0), "own_id": F.lit(0), "doc_id": F.lit(None).cast("bigint")}))
+    write_shards(own, path, 4)
+    back = spark.read.parquet(path)
+    assert back.count() == 41 and sorted(back.columns) == sorted(own.columns) and dict(back.dtypes)["slot"] == "bigint"
+    want = Counter((r["doc_id"], r["shard"], r["slot"]) for r in assign_shards(own, 4).collect())
+    assert Counter((r["doc_id"], r["shard"], r["slot"]) for r in back.collect()) == want and all(r["doc_id"] is None or r["own_id"] == r["doc_id"] + 1 for r in back.collect())
+    write_shards(own.limit(0), path + "none", 4)
 
 
 def test_hot_keys_are_subdivided(spark):

@@ -11,23 +11,21 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import re
-import tempfile
-import uuid
 from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlewright.llm.arrow import longs, map_arrow
+from titlewright.llm.files import create_bytes, open_fs
 from titlewright.llm.transducer import Transducer, compile_words, packed
-from titlewright.session import discard, materialize
+from titlewright.session import discard, materialize, scratch
 
 #: Fixed value: the splitting rule of byte-level BPE tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -231,8 +229,13 @@ def _letters(word: bytes) -> bool:
 def _encode_rows(it, path: str, name: str, full: bool):
     if _WORKER.get("name") != name:
         _WORKER.clear()
-        with open(SparkFiles.get(name), "rb") as f:
-            _WORKER.update(name=name, encoder=Encoder(path, Transducer(f)))
+        system, file = open_fs(name)
+        if isinstance(system, fs.LocalFileSystem):  # a mounted folder: workers of one machine share the mapped pages
+            with open(file, "rb") as f:
+                _WORKER.update(name=name, encoder=Encoder(path, Transducer(f)))
+        else:
+            with system.open_input_file(file) as f:
+                _WORKER.update(name=name, encoder=Encoder(path, Transducer(f.read())))
     encoder = _WORKER["encoder"]
     for batch in it:
         texts = batch.column(1)
@@ -252,18 +255,15 @@ def _encode_rows(it, path: str, name: str, full: bool):
 def bpe(docs: DataFrame, path: str, lexicon_words: int = 262_144, full: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with full, the ids, for every row.
 
-    path: the tokenizer's file, the same on all machines. lexicon_words bounds the lexicon, a few MB that Spark ships to each
-    executor as a file; what is outside it is merged word by word, so the bound has no effect on results. Null and empty texts
+    path: the tokenizer's file, the same on all machines. lexicon_words bounds the lexicon, a file of a few MB in the shared
+    folder; what is outside it is merged word by word, so the bound has no effect on results. Null and empty texts
     have no tokens. Repeated rows are encoded alike, null ids stay null, other columns are ignored, an empty table gives none.
     """
     spark = docs.sparkSession
     src = docs.select("doc_id", "text")
     encoder = Encoder(path)
     entries = {b" " + w: packed(encoder.vocab.merge(b" " + w)) for w in frequent_words(src, lexicon_words) if _letters(w)}
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    folder = os.path.realpath(tempfile.mkdtemp())  # the driver serves the file from here for as long as it runs
-    with open(local := os.path.join(folder, name), "wb") as f:
-        f.write(compile_words(entries))
-    spark.sparkContext.addFile(local)
+    name = scratch(spark, "lexicon")  # read for as long as the result is; goes when the driver ends
+    create_bytes(spark, name, compile_words(entries))
     kind = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * full
     return map_arrow(src.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), lambda it: _encode_rows(it, path, name, full), kind)

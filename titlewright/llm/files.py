@@ -26,16 +26,20 @@ def _hadoop(spark, uri: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def create_text(spark, uri: str, text: str) -> None:
-    """A new small file, through Hadoop's file system; an existing one is an error."""
+def create_bytes(spark, uri: str, data: bytes) -> None:
+    """A new file of a few MB at most, through Hadoop's file system; an existing one is an error."""
     system, path = _hadoop(spark, uri)
     out = system.create(path, False)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def create_text(spark, uri: str, text: str) -> None:
+    create_bytes(spark, uri, text.encode())
+
+
 def read_text(spark, uri: str) -> str:
     return spark.read.text(uri, wholetext=True).first()[0]
 
