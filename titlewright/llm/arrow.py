@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _MOST = 8 << 20
 
 
-def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """df.mapInArrow with batches of 8 MB at most, for this session from now on: whole texts in batches by rows alone would take
     hundreds of megabytes on both sides."""
     now = df.sparkSession.conf.get(_BATCH, None) or ""

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from titlewright.llm.arrow import longs, map_arrow
 from titlewright.session import discard, materialize
@@ -145,11 +146,12 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, dige
 
     Lines end at \\n only. A null or empty text is one empty line. Documents are counted by doc_id; rows that repeat an id
     with the same text are treated alike, rows of one id with different texts count as one document and each keep or lose
-    their own lines. Rows with a null id take no part and lose nothing. An empty table gives no rows.
+    their own lines. Rows with a null id take no part and lose nothing. Carried columns of the result's names stand beside these,
+    other columns are ignored. A text, however long, is one worker's. An empty table gives no rows.
     """
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text", *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
+    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text", *[F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(carry)])
     maps = keep_bitmaps(src.select("doc_id", "text_key", "text"), least_chars, least_docs)
     both = src.join(maps, ["doc_id", "text_key"], "left").withColumn("raw", F.col("text").cast("binary")).drop("text_key", "text")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema if f.name not in ("raw", "bitmap"))
-    out = map_arrow(both, lambda it: _apply(it, digest), f"{kinds}, n_lines bigint, n_dropped bigint, kept string")
+    made = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept", T.StringType())]
+    out = map_arrow(both, lambda it: _apply(it, digest), T.StructType([*(f for f in both.schema if f.name not in ("raw", "bitmap")), *made]))
     return out.select("doc_id", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)], "n_lines", "n_dropped", F.col("kept").alias("kept_sha256") if digest else F.col("kept"))

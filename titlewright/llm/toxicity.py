@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from titlewright.llm.arrow import longs, map_arrow
 from titlewright.session import discard, materialize
@@ -244,14 +245,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], c
     return model
 
 
-def _predict_rows(it, model: Model, width: int):
+def _predict_rows(it, model: Model, width: int, text_at: int):
     known: dict[bytes, tuple[int, ...]] = {}
     find, n_words = model.vocabulary.get, len(model.vocabulary)
     for batch in it:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
             x = np.zeros((part.num_rows, n_words + _DENSE))
-            for row, text in enumerate(part.column(width).to_pylist()):
+            for row, text in enumerate(part.column(text_at).cast(pa.binary()).to_pylist()):
                 w = _words(text or b"")
                 once = set(w)
                 for word in once:
@@ -269,10 +270,14 @@ def _predict_rows(it, model: Model, width: int):
 
 def score_chain(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` of docs, p_<category> for each category and toxic, which is whether the last category's probability
-    reaches its threshold. Whole texts are read; null and empty ones have no words and follow the other features. Repeated rows
-    score alike, null ids stay, other columns are ignored, and an empty table gives no rows."""
-    src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").cast("binary").alias("raw"))
-    kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + ", ".join(f"p{i} double" for i in range(len(model.categories)))
-    out = map_arrow(src, lambda it: _predict_rows(it, model, len(keep)), kinds)
+    reaches its threshold. Whole texts are read, however long; null and empty ones have no words and follow the other features.
+    Repeated rows score alike, null ids stay, other columns are ignored, kept ones of the result's names stand beside these, and
+    an empty table gives no rows."""
+    given = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    kinds = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
+    at = keep.index("text") if "text" in keep and isinstance(docs.schema["text"].dataType, T.StringType) else len(keep)
+    src = docs.select(*given) if at < len(keep) else docs.select(*given, F.col("text").cast("binary").alias("raw"))
+    schema = T.StructType([*kinds, *(T.StructField(f"p{i}", T.DoubleType()) for i in range(len(model.categories)))])
+    out = map_arrow(src, lambda it: _predict_rows(it, model, len(keep), at), schema)
     toxic = (F.col(f"p{len(model.categories) - 1}") >= F.lit(model.thresholds[-1])).alias("toxic")
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"p{i}").alias(f"p_{c}") for i, c in enumerate(model.categories)], toxic)
