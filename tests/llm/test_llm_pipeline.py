@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests_support import compare
@@ -68,3 +69,21 @@ def test_near_duplicates_keep_texts_that_share_an_id(spark):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got if r["text"] not in (b, b + " z")) == [(0, a), (0, a), (5, a), (7, c), (8, ""), (8, ""), (9, "")]
     assert [r["doc_id"] for r in got if r["text"] in (b, b + " z")] == [5]
     assert corpus_pipeline.near_duplicate_groups(spark, df.limit(0), "").collect() == []
+
+
+def test_stages_with_odd_columns_and_rows(spark, sf_dir):
+    names = ["own", "own_doc_id", "text_key", "kept", "n_lines", "toxic", "p_toxic", "raw", "topic", "tokens", "p", "selected", "residual", "group_key", "k0", "bitmap", "a.b"]
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = base.where("doc_id < 60 or doc_id >= 1000").unionByName(base.where("doc_id = 7").withColumn("doc_id", F.lit(None).cast("bigint")))
+    rows = rows.unionByName(base.where("doc_id = 9").withColumn("text", F.repeat("text", 300)).withColumn("doc_id", F.lit(5000).cast("bigint")))
+    odd = rows.withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))) for n in names})
+    ids = lambda df: sorted(r[0] if r[0] is not None else -1 for r in df.select("doc_id").collect())
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, odd, sf_dir)
+        assert ids(got) == ids(stage(spark, rows, sf_dir)), name
+        if name != "encoding":
+            assert got.columns == odd.columns, name
+            kept = got.collect()
+            assert kept and all(r[n] == f"{n}{'?' if r['doc_id'] is None else r['doc_id']}" for r in kept for n in names), name
+            assert -1 in ids(got) or name == "mixture", name
+        assert stage(spark, odd.limit(0), sf_dir).collect() == [], name
