@@ -126,14 +126,14 @@ def finalize_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, held against the files that it describes."""
     at = build.Layout(_finalized(spark, sf_dir))
     meta = spark.read.option("multiLine", True).json(at.meta)
-    content = lambda path, name: spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias(name), F.col("content").alias(f"{name}_bytes"))
-    unzipped = spark.read.text(at.labels + ".gz", wholetext=True).select(F.sha2("value", 256).alias("unzipped"))
-    all_ = meta.join(content(at.labels, "labels")).join(content(at.vectors, "vectors")).join(unzipped)  # one row each
-    little = lambda at_: F.conv(F.hex(F.reverse(F.substring("vectors_bytes", at_, 4))), 16, 10).cast("bigint")
-    hashes = (F.col("labels") == F.col("labelsSha256")) & (F.col("vectors") == F.col("vectorsSha256")) & (F.length("labels_bytes") == F.col("labelsBytes")) & (F.length("vectors_bytes") == F.col("vectorsBytes"))
-    return all_.select(
-        "count", F.col("dims").cast("int").alias("dims"), F.lit(len(meta.columns)).alias("fields"), F.col("vectorsBytes").alias("vectors_bytes"), hashes.alias("hashes"), (F.col("datasetVersion") == sinks.version_of(F.col("labels"), F.col("vectors"))).alias("version"),
-        (F.col("unzipped") == F.col("labels")).alias("gzip"), ((little(1) == F.col("count")) & (little(5) == F.col("dims"))).alias("aligned"), F.col("builtAt").alias("built"),
+    labels, vectors = F.lit(storage.sha256(spark, at.labels)), F.lit(storage.sha256(spark, at.vectors))
+    unzipped = spark.read.text(at.labels + ".gz", wholetext=True).select(F.sha2("value", 256)).first()[0]
+    head = spark.read.format("binaryFile").load(at.vectors).select(F.substring("content", 1, 8)).first()[0]
+    hashes = (labels == F.col("labelsSha256")) & (vectors == F.col("vectorsSha256")) & (F.lit(storage.size(spark, at.labels)) == F.col("labelsBytes")) & (F.lit(storage.size(spark, at.vectors)) == F.col("vectorsBytes"))
+    aligned = (F.lit(int.from_bytes(head[:4], "little")) == F.col("count")) & (F.lit(int.from_bytes(head[4:], "little")) == F.col("dims"))
+    return meta.select(
+        "count", F.col("dims").cast("int").alias("dims"), F.lit(len(meta.columns)).alias("fields"), F.col("vectorsBytes").alias("vectors_bytes"), hashes.alias("hashes"), (F.col("datasetVersion") == sinks.version_of(labels, vectors)).alias("version"),
+        (F.lit(unzipped) == labels).alias("gzip"), aligned.alias("aligned"), F.col("builtAt").alias("built"),
     )
 
 
