@@ -40,7 +40,7 @@ def test_assemble_finalize_publish_score(spark, tmp_path, capsys):
     assert sorted((r["tmdbId"], r["mediaType"]) for r in json.loads((tmp_path / "escalate/batch-7.json").read_text())) == [(40, "movie"), (40, "tv"), (43, "movie")]
     assert main(["assemble", *out, "--batch-id", "7"], spark) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"batchId": 7, "classifiedTotal": 4, "noPrimary": 1, "missingVotes": 1}
-    assert "bad-vote-pass batch-7-pass3.json" in "".join(f.read_text() for f in (tmp_path / "enrich-log").glob("part-*"))
+    assert "bad-vote-pass batch-7-pass3.json" in "".join(f.read_text() for f in (tmp_path / "enrich-log.txt").glob("part-*"))
     assert main(["assemble", *out, "--batch-id", "7", "--force"], spark) == 0  # supersedes, changes nothing
     assert main(["publish", *out, "--to", str(tmp_path / "latest")], spark) == 1  # nothing is there yet
     assert main(["finalize", *out], spark) == 0
