@@ -203,7 +203,9 @@ def _count_rows(it, most: int = 400_000):
 
 def frequent_words(docs: DataFrame, words: int) -> list[bytes]:
     """The most frequent words without their marks, `words` at most, counted over all documents: all those that are at least as
-    frequent as a bound, which is the least one (among steps of a sixteenth of a doubling) that gives no more than that."""
+    frequent as a bound, which is the least one (among steps of a sixteenth of a doubling) that gives no more than that. Ties are
+    in or out together; repeated rows count each time; null and empty texts have no words; words of over 64 bytes or of one
+    occurrence are left to the merging of texts, however long these are; an empty table gives none."""
     src = docs.select(F.col("text").cast("binary").alias("text"))
     counts = map_arrow(src, _count_rows, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 and length(word) <= 64")
     counts = materialize(counts, "words")

@@ -577,8 +577,9 @@ def _compacted(it, buckets: int, runs: list[Run]):
 
 def compact(spark: SparkSession, index: Index) -> None:
     """Merge the newest runs while `fan_in` of them are of one level. Runs hold disjoint fingerprints, so that a merge of
-    sorted runs neither finds nor drops doubles. Buckets are split where the new run is too large for those of the old ones. The
-    old runs go only when the manifest names the new one."""
+    sorted runs neither finds nor drops doubles; it reads no texts, and runs without fingerprints merge into one without. Buckets are
+    split where the new run is too large for those of the old ones. The old runs go only when the manifest names the new one; what a
+    merge or a batch that was cut off has written is in no manifest and does no harm."""
     while len(index.runs) >= index.fan_in and len({r.level for r in index.runs[-index.fan_in :]}) == 1:
         old = index.runs[-index.fan_in :]
         size = sum(r.size for r in old)
