@@ -608,6 +608,25 @@ def test_neighbours_that_no_bucket_has(spark):
     assert got[0] == sorted(s, key=lambda i: (-s[i], i))[:20]
 
 
+
+def test_neighbours_probe_in_bounded_rows(spark):
+    """What a query carries doesn't grow with the cells that it visits, and rounds of tables find what all tables at once do."""
+    import pyarrow as pa
+
+    from titlewright.llm.neighbours import Tables, _band, _probe_rows, nearest
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(128, 64)).astype("<f4")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(128), pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "vec"])
+    cfg = Tables(tables=2)
+    out = next(_probe_rows(iter([batch]), cfg, 64, [_band(0, 1_000_000, 64, cfg)], False, "<f4", 0.1))
+    assert out.num_rows == 128 and out.nbytes < 4_000_000  # 2 x 200,000 cells a query as a list
+    x = rng.normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    once, rounds, sliced = (sorted(map(tuple, nearest(df, cfg=c).collect())) for c in (Tables(), Tables(round_bytes=3 * 3000 * 192), Tables(slice_rows=100, query_block=50)))
+    assert once == rounds == sliced and len(once) == 3000
+
+
 def test_neighbours_of_extreme_lengths(spark):
     from titlewright.llm.neighbours import nearest
 

@@ -7,9 +7,11 @@ band the nearest direction is nearly the largest inner product. A band of few ro
 query visits the cells whose axes it is nearest to, the same share of all cells in each table. That share is measured: a bounded
 sample of queries is scored against all rows, and it is the least one that finds the wanted part of their neighbours.
 
-Cells that follow each other are a slice, and a query goes once to each slice that it visits, with the list of its cells. Slices
+Cells that follow each other are a slice, and a query goes once to each slice that it may visit, with how near a cell has to be;
+which cells these are is found where the slice is scored, since their list grows with the table. Slices
 are dealt out in blocks of bounded size on both sides, so no cell is capped and none has to fit in a task. Every candidate found
-is scored exactly; a query that finds too few is scored against all rows.
+is scored exactly; a query that finds too few is scored against all rows. Tables that would take too much to shuffle at once go a
+few at a time, and what a query has found by then is the least that later ones have to reach.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlewright.llm.arrow import groups, longs, map_arrow
-from titlewright.session import discard, materialize
+from titlewright.session import discard, materialize, release_shuffles
 
 #: The slice of the rows that every query meets.
 _ALL = -1
@@ -37,7 +39,7 @@ _BINS = 256
 class Tables:
     """tables: hash tables. recall: part of the sample's neighbours that the visited cells have to hold; sample: queries that it is
     measured on. bands: of lengths, at most. whole: rows of a band that isn't hashed. parts: components, at most. slice_rows, block and query_block: rows of
-    a slice on average, candidates and queries of a block at most."""
+    a slice on average, candidates and queries of a block at most. round_bytes: of candidates that are dealt out at once, if one table allows it."""
 
     tables: int = 20
     recall: float = 0.98
@@ -47,7 +49,8 @@ class Tables:
     parts: int = 4
     slice_rows: int = 32_768
     block: int = 65_536
-    query_block: int = 4096
+    query_block: int = 32_768
+    round_bytes: int = 1 << 30
     seed: int = 7
 
 
@@ -99,13 +102,13 @@ def _directions(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def turned(x: np.ndarray, axes: tuple[int, ...], cfg: Tables):
-    """For each table the directions of x, filled up with zeros to a power of two and turned, once for each component: signed
-    axes as columns, as many of them as the component has."""
+def turned(x: np.ndarray, axes: tuple[int, ...], cfg: Tables, only: int | None = None):
+    """For each table, or only one, the directions of x, filled up with zeros to a power of two and turned, once for each
+    component: signed axes as columns, as many of them as the component has."""
     n = _axes(x.shape[1])
     wide = np.zeros((n, len(x)), np.float32)
     wide[: x.shape[1]] = _directions(x).T
-    for t in range(cfg.tables):
+    for t in range(cfg.tables) if only is None else (only,):
         out = []
         for part, some in enumerate(axes):
             y = wide
@@ -141,18 +144,41 @@ def _halves(parts: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _visited(parts: list[np.ndarray], row: int, n: int) -> np.ndarray:
-    """The n cells that a query is nearest to, and those that are as near as the last of them but for 1/256 of the range."""
-    a, b = _halves(parts, row)
+def _level(a: np.ndarray, b: np.ndarray, n: int) -> float:
+    """How near a query's n nearest cells are, by the scores of their halves, less at most 1/256 of the range."""
     width = (np.ptp(a) + np.ptp(b)) / (_BINS - 1) + 1e-300
     counts = np.convolve(*(np.bincount(((x - x.min()) / width).astype(np.int64), minlength=_BINS) for x in (a, b)))
     enough = np.flatnonzero(np.cumsum(counts[::-1]) >= n)
-    level = a.min() + b.min() + (len(counts) - 1 - enough[0]) * width - 1e-12 if len(enough) else -np.inf
-    order = np.argsort(a)
-    begin = np.searchsorted(a[order], level - b, "left")
-    many = len(a) - begin
+    return float(a.min() + b.min() + (len(counts) - 1 - enough[0]) * width - 1e-12) if len(enough) else -math.inf
+
+
+def _near(a: np.ndarray, b: np.ndarray, level: float, first: int, last: int) -> np.ndarray:
+    """The cells from first to last that are as near to a query as level."""
+    from_, to = first // len(b), last // len(b) + 1
+    order = from_ + np.flatnonzero(a[from_:to] >= level - b.max() - 1e-12)
+    high = np.argsort(b)
+    begin = np.searchsorted(b[high], level - a[order], "left")
+    many = len(b) - begin
     at = np.arange(many.sum()) + np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many)
-    return np.sort(order[at] * len(b) + np.repeat(np.arange(len(b)), many))
+    cells = np.sort(np.repeat(order * len(b), many) + high[at])
+    return cells[np.searchsorted(cells, first, "left") : np.searchsorted(cells, last, "right")]
+
+
+def _visited(parts: list[np.ndarray], row: int, n: int) -> np.ndarray:
+    """The n cells that a query is nearest to, and those that are as near as the last of them but for 1/256 of the range."""
+    a, b = _halves(parts, row)
+    return _near(a, b, _level(a, b, n), 0, len(a) * len(b) - 1)
+
+
+def _met(a: np.ndarray, b: np.ndarray, level: float, band: Band) -> np.ndarray:
+    """The slices of a table that may have cells as near as level."""
+    if band.slices == 1:
+        return np.zeros(1, np.int64)
+    # A slice has whole runs of the first components' cells, and parts of one at either end.
+    cut = np.arange(band.slices + 1) * (band.cells / band.slices) / len(b)
+    pairs = np.stack((np.maximum(np.floor(cut[:-1]) - 1, 0), np.minimum(np.floor(cut[1:]) + 2, len(a))), 1).astype(np.int64)
+    most = np.maximum.reduceat(np.append(a, -np.inf), pairs.reshape(-1))[::2]
+    return np.flatnonzero(most >= level - b.max() - 1e-12)
 
 
 def _rank_shares(queries: np.ndarray, owner: np.ndarray, neighbours: np.ndarray, band: Band, cfg: Tables) -> np.ndarray:
@@ -189,8 +215,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str, dim: int) -> np.ndarr
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), dim).astype(np.float64)
 
 
-_HASHED = "vec_id bigint, vec binary, places array<struct<slice:bigint,cells:binary>>"
-_PLACES = pa.list_(pa.struct([("slice", pa.int64()), ("cells", pa.binary())]))
+_HASHED = "vec_id bigint, vec binary, places array<struct<slice:bigint,cell:bigint,level:double>>"
+
+
+def _places(where: np.ndarray, cells: np.ndarray, levels: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The column places: counts says how many each row has."""
+    each = pa.StructArray.from_arrays([longs(where), longs(cells), pa.array(levels)], ["slice", "cell", "level"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), each)
 
 
 def _hash_rows(it, cfg: Tables, dim: int, band_of: dict[int, int], bands: list[Band], kind: str):
@@ -207,39 +238,30 @@ def _hash_rows(it, cfg: Tables, dim: int, band_of: dict[int, int], bands: list[B
                     cells = _cells(x[at], bands[number], cfg)
                     where = np.stack([_slice(bands[number], t, cells[:, t], cfg) for t in range(cfg.tables)], 1)
                 n, width = where.shape
-                each = pa.StructArray.from_arrays([longs(where.reshape(-1)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), n * width, [None, pa.py_buffer(np.ascontiguousarray(cells).tobytes())]).cast(pa.binary())], ["slice", "cells"])
-                places = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(width)), each)
+                places = _places(where.reshape(-1), np.ascontiguousarray(cells).reshape(-1), np.zeros(n * width), np.full(n, width))
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), batch.column("vec").take(pa.array(at)), places], ["vec_id", "vec", "places"])
 
 
-def _packed(cells: np.ndarray) -> bytes:
-    """Cells in order: the first, then the steps, in two bytes each if they are small enough."""
-    steps = np.diff(cells)
-    narrow = not len(steps) or steps.max() < 1 << 16
-    return cells[:1].tobytes() + (b"\1" if narrow else b"\0") + steps.astype(np.uint16 if narrow else np.int64).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, np.uint16 if data[8] else np.int64, -1, 9)
-    return np.cumsum(np.concatenate((np.frombuffer(data, np.int64, 1), steps.astype(np.int64))))
-
-
 def _probe_rows(it, cfg: Tables, dim: int, bands: list[Band], any_whole: bool, kind: str, share: float):
-    """Each query with every slice that it visits and the cells that it visits there."""
+    """Each query with every slice that it may visit and how near a cell has to be there."""
     for batch in it:
         x = _matrix(batch.column("vec"), kind, dim)
         for lo in range(0, len(x), 128):
             some = x[lo : lo + 128]
-            places = [[{"slice": _ALL, "cells": b""}] if any_whole else [] for _ in some]
+            own: list[list] = [[np.array([_ALL])] if any_whole else [] for _ in some]
+            near: list[list] = [[np.zeros(1)] if any_whole else [] for _ in some]
             for band in bands:
                 n = max(1, math.ceil(share * band.cells))
                 for t, parts in enumerate(turned(some, band.axes, cfg)):
                     for i in range(len(some)):
-                        cells = _visited(parts, i, n)
-                        where = _slice(band, t, cells, cfg)
-                        cut = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(cells)] if band.slices > 1 else [0, len(cells)]
-                        places[i] += [{"slice": int(where[s]), "cells": _packed(cells[s:e])} for s, e in zip(cut, cut[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id").slice(lo, 128), batch.column("vec").slice(lo, 128), pa.array(places, _PLACES)], ["vec_id", "vec", "places"])
+                        a, b = _halves(parts, i)
+                        level = _level(a, b, n)
+                        met = _met(a, b, level, band)
+                        own[i].append((band.number * cfg.tables + t) * _SLICES + met)
+                        near[i].append(np.full(len(met), level))
+            counts = np.array([sum(map(len, x)) for x in own], np.int64)
+            where, levels = (np.concatenate([y for x in many for y in x] or [np.zeros(0)]) for many in (own, near))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").slice(lo, 128), batch.column("vec").slice(lo, 128), _places(where, np.zeros(len(where), np.int64), levels, counts)], ["vec_id", "vec", "places"])
 
 
 def _vector_rows(it, dim: int, kind: str):
@@ -266,62 +288,78 @@ def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
 
 
-def _best(q: np.ndarray, own: int, c: np.ndarray, ids: np.ndarray, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of a query's k best candidates; `most` rows at most share an id. Sums are the same for equal vectors,
-    wherever they stand; of many candidates those that can't be among the best go by a rough product first."""
+def _best(q: np.ndarray, own: int, c: np.ndarray, ids: np.ndarray, k: int, most: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of a query's k best candidates that reach the floor, if it has one; `most` rows at most share an id. Sums are
+    the same for equal vectors, wherever they stand; of many candidates those that can't be among the best go by a rough product first."""
     near = np.flatnonzero(ids != own)
     many = (k + 1) * most
     if len(near) > 4 * many:
         with np.errstate(all="ignore"):
             rough, slack = c[near] @ q, 1e-9 * (1 + np.sqrt((c[near] ** 2).sum(1).max())) * (1 + np.sqrt((q * q).sum()))
         if np.isfinite(slack) and np.isfinite(rough).all():
-            near = near[rough >= np.partition(rough, len(rough) - many)[len(rough) - many] - slack]
+            near = near[rough >= max(floor, np.partition(rough, len(rough) - many)[len(rough) - many]) - slack]
     with np.errstate(all="ignore"):
         exact = (c[near] * q).sum(1)
+    if floor > -math.inf:
+        near, exact = near[exact >= floor], exact[exact >= floor]
     best = _top(exact, ids[near], k)
     return ids[near][best], exact[best]
 
 
-def _score_rows(it, dim: int, kind: str, k: int):
+def _score_rows(it, dim: int, kind: str, k: int, bands: list[Band], cfg: Tables):
     """Of each block of a slice, each query's k best candidates in the cells that it visits, packed."""
     for t in groups(it, ["slice", "db", "qb"]):
         query = t.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
         if not query.any() or query.all():
             continue
-        whole = t.column("slice")[0].as_py() == _ALL
+        at = t.column("slice")[0].as_py()
+        whole = at == _ALL
         data, asks = t.filter(pa.array(~query)), t.filter(pa.array(query))
-        cell = np.frombuffer(b"".join(data.column("cells").to_pylist()), np.int64)
+        cell = data.column("cell").to_numpy()
         order = np.argsort(cell, kind="stable")
         cell, ids, c = cell[order], data.column("vec_id").to_numpy()[order], _matrix(data.column("vec"), kind, dim)[order]
         most = int(np.unique(ids, return_counts=True)[1].max())
-        q, own = _matrix(asks.column("vec"), kind, dim), asks.column("vec_id").to_numpy()
-        first = cell[0]
-        near = not whole and cell[-1] - first < 8 * len(cell) + 1024  # cells are dense enough for a table of where each begins
-        begins = np.searchsorted(cell, first + np.arange(cell[-1] - first + 2)) if near else None
+        owners, levels, floors = (asks.column(x).to_numpy() for x in ("vec_id", "level", "floor"))
+        first, last = int(cell[0]), int(cell[-1])
+        near = not whole and last - first < 8 * len(cell) + 1024  # cells are dense enough for a table of where each begins
+        begins = np.searchsorted(cell, first + np.arange(last - first + 2)) if near else None
         got, out_ids, out_scores = [], [], []
-        for i, wanted in enumerate(asks.column("cells").to_pylist()):
-            if whole:
-                rows = slice(None)
-                n = len(ids)
-            else:
-                visit = _unpacked(wanted)
-                if near:
-                    visit = visit[(visit >= first) & (visit <= cell[-1])] - first
-                    lo, hi = begins[visit], begins[visit + 1]
+        for lo in range(0, len(owners), 1024):
+            q = _matrix(asks.column("vec").slice(lo, 1024), kind, dim)
+            if not whole:
+                parts = next(turned(q, bands[at // _SLICES // cfg.tables].axes, cfg, at // _SLICES % cfg.tables))
+            for i, own in enumerate(owners[lo : lo + 1024].tolist()):
+                if whole:
+                    rows = slice(None)
                 else:
-                    lo, hi = np.searchsorted(cell, visit, "left"), np.searchsorted(cell, visit, "right")
-                n = int((hi - lo).sum())
-                if not n:
-                    continue
-                rows = np.repeat(lo - np.concatenate(([0], np.cumsum(hi - lo)[:-1])), hi - lo) + np.arange(n)
-            found, score = _best(q[i], own[i], c[rows], ids[rows], k, most)
-            if len(found):
-                got.append(own[i])
-                out_ids.append(found.astype(np.int64).tobytes())
-                out_scores.append(score.tobytes())
+                    visit = _near(*_halves(parts, i), levels[lo + i], first, last)
+                    begin, end = (begins[visit - first], begins[visit - first + 1]) if near else (np.searchsorted(cell, visit, "left"), np.searchsorted(cell, visit, "right"))
+                    n = int((end - begin).sum())
+                    if not n:
+                        continue
+                    rows = np.repeat(begin - np.concatenate(([0], np.cumsum(end - begin)[:-1])), end - begin) + np.arange(n)
+                found, score = _best(q[i], own, c[rows], ids[rows], k, most, floors[lo + i])
+                if len(found):
+                    got.append(own)
+                    out_ids.append(found.astype(np.int64).tobytes())
+                    out_scores.append(score.tobytes())
         yield pa.RecordBatch.from_arrays([longs(np.array(got, np.int64)), pa.array(out_ids, pa.binary()), pa.array(out_scores, pa.binary())], ["query_id", "ids", "scores"])
 
 
+_PACKED = "query_id bigint, ids binary, scores binary"
+
+
+def _packed_rows(it, k: int):
+    """The k best that each query has found so far, packed, and the least score that a better one needs."""
+    for t in groups(it, ["query_id"]):
+        ids = np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64)
+        score = np.frombuffer(b"".join(t.column("scores").to_pylist()), np.float64)
+        best = _top(score, ids, k)
+        last = float(score[best[-1]]) if len(best) == k else -math.inf
+        columns = [t.column("query_id")[:1].combine_chunks(), pa.array([ids[best].tobytes()]), pa.array([score[best].tobytes()]), pa.array([-math.inf if math.isnan(last) else last])]
+        yield pa.RecordBatch.from_arrays(columns, ["query_id", "ids", "scores", "floor"])
+
+
 def _merge_rows(it, k: int):
     for t in groups(it, ["query_id"]):
         ids = np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64)
@@ -400,27 +438,52 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, cfg: Tables | None
     data = materialize(map_arrow(base, lambda it: _hash_rows(it, cfg, dim, band_of, bands, kind), _HASHED), "hashed")
     asks = materialize(map_arrow(queries, lambda it: _probe_rows(it, cfg, dim, bands, any_whole, kind, share), _HASHED), "probing")
 
-    def ranked(data: DataFrame, asks: DataFrame) -> DataFrame:
+    def found(data: DataFrame, asks: DataFrame) -> DataFrame:
         # A row for each slice: far fewer than there are vectors. Spark broadcasts it if it is small.
         count = lambda df, block, name: df.select(F.explode("places.slice").alias("slice")).groupBy("slice").agg(F.ceil(F.count("*") / block).alias(name))
-        row = lambda df, query: df.select("vec_id", "vec", F.lit(query).alias("is_query"), F.inline("places"))
+        row = lambda df, query, floor: df.select("vec_id", "vec", F.lit(query).alias("is_query"), floor.alias("floor"), F.inline("places"))
         blocks = count(data, cfg.block, "nd").join(count(asks, cfg.query_block, "nq"), "slice")
         spread, zero = F.xxhash64("vec_id"), F.lit(0).cast("bigint")
-        held = row(data, False).join(blocks, "slice").withColumn("db", F.pmod(spread, "nd")).withColumn("qb", F.explode(F.sequence(zero, F.col("nq") - 1)))
-        asked = row(asks, True).join(blocks, "slice").withColumn("db", F.explode(F.sequence(zero, F.col("nd") - 1))).withColumn("qb", F.pmod(spread, "nq"))
-        columns = ["slice", "db", "qb", "is_query", "vec_id", "vec", "cells"]
+        held = row(data, False, F.lit(-math.inf)).join(blocks, "slice").withColumn("db", F.pmod(spread, "nd")).withColumn("qb", F.explode(F.sequence(zero, F.col("nq") - 1)))
+        asked = row(asks, True, F.col("floor")).join(blocks, "slice").withColumn("db", F.explode(F.sequence(zero, F.col("nd") - 1))).withColumn("qb", F.pmod(spread, "nq"))
+        columns = ["slice", "db", "qb", "is_query", "vec_id", "vec", "cell", "level", "floor"]
         dealt = held.select(*columns).unionByName(asked.select(*columns)).repartition("slice", "db", "qb").sortWithinPartitions("slice", "db", "qb")
-        found = map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k), "query_id bigint, ids binary, scores binary")
-        return map_arrow(found.repartition("query_id").sortWithinPartitions("query_id"), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
-
-    out = materialize(ranked(data, asks), "ranked")
+        return map_arrow(dealt, lambda it: _score_rows(it, dim, kind, k, bands, cfg), _PACKED)
+
+    def by_query(rows: DataFrame) -> DataFrame:
+        return rows.repartition("query_id").sortWithinPartitions("query_id")
+
+    def ranked(data: DataFrame, asks: DataFrame, rounds: list[range]) -> DataFrame:
+        """What the queries find in each round's tables; the slice of all belongs to the first."""
+        none, so_far = F.lit(-math.inf), None
+        for n, tables in enumerate(rounds):
+            table = lambda p: F.when(p["slice"] == _ALL, F.lit(0)).otherwise(F.shiftright(p["slice"], _SLICES.bit_length() - 1) % cfg.tables)
+            some = [df.withColumn("places", F.filter("places", lambda p: table(p).between(tables[0], tables[-1]))) if len(rounds) > 1 else df for df in (data, asks)]  # noqa: B023
+            floors = so_far.select(F.col("query_id").alias("vec_id"), "floor") if so_far else None
+            some[1] = some[1].join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", none)) if floors else some[1].withColumn("floor", none)
+            got = found(*some)
+            if so_far:
+                got = got.unionByName(so_far.drop("floor"))
+            if n == len(rounds) - 1:
+                return map_arrow(by_query(got), lambda it: _merge_rows(it, k), "query_id bigint, rank int, vec_id bigint, score double")
+            before, so_far = so_far, materialize(map_arrow(by_query(got), lambda it: _packed_rows(it, k), f"{_PACKED}, floor double"), "found")
+            discard(*[before] if before else ())
+            kept.append(so_far)
+            release_shuffles(vectors.sparkSession)
+
+    # One table first, so that most of what later ones hold can be passed over where it is scored.
+    at_once = max(1, cfg.round_bytes // max(1, sum(counts.values()) * (np.dtype(kind).itemsize * dim + 64)))
+    rounds = [range(cfg.tables)] if at_once >= cfg.tables else [range(1), *(range(t, min(cfg.tables, t + at_once)) for t in range(1, cfg.tables, at_once))]
+    kept: list[DataFrame] = []
+    out = materialize(ranked(data, asks, rounds), "ranked")
     enough = min(k, base.select("vec_id").distinct().limit(k + 1).count() - 1)
     got = out.groupBy("query_id").agg(F.count("*").alias("n"))
     few = queries.join(got, F.col("vec_id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "vec")
     few = materialize(few, "few")
     if not few.isEmpty():
-        one = ["vec_id", "vec", F.array(F.struct(F.lit(_ALL).cast("bigint").alias("slice"), F.lit(bytes(8)).alias("cells"))).alias("places")]
-        rest = materialize(ranked(base.select(*one), few.select(*one)), "rest")
+        zero = F.lit(0).cast("bigint")
+        one = ["vec_id", "vec", F.array(F.struct(F.lit(_ALL).cast("bigint").alias("slice"), zero.alias("cell"), F.lit(0.0).alias("level"))).alias("places")]
+        rest = materialize(ranked(base.select(*one), few.select(*one), [range(1)]), "rest")
         out = materialize(out.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest), "ranked")
-    discard(base, data, asks, few)
+    discard(base, data, asks, few, *kept)
     return out
